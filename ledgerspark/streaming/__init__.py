@@ -1,0 +1,6 @@
+"""Intentionally empty: the product reconciles in batches.
+
+Late rows are picked up by the next ingest run, which marks their own month as pending
+(see ``ledgerspark.plans.ingest``). The file stream source is no fit for it: it tracks
+paths only, so it would miss corrected files and copies under new names.
+"""
