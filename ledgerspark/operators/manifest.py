@@ -40,41 +40,50 @@ def payload_times(values: Column) -> Column:
     )
 
 
-def file_coverage(path: Column, values: Column, extension: str = ".json") -> dict[str, Column]:
-    """``file_date`` (YYYYMMDD) and ``months`` of a file.
+def add_file_coverage(
+    files: DataFrame, values: str, path: str = "path", extension: str = ".json"
+) -> DataFrame:
+    """Add ``file_date`` (YYYYMMDD) and ``months``; drops the ``values`` column.
 
-    The payload decides; the date in the file name is the fallback; neither is an error.
-    Records with a NULL event time add the undated month.
+    ``values`` holds the event-time texts of the file's records. The payload decides; the
+    date in the file name is the fallback; neither is an error. Records with a NULL event
+    time add the undated month.
     """
-    times = payload_times(values)
-    named = file_name_date(path, extension)
+    times, named = F.col("_times"), F.col("_named")
     failure = F.raise_error(
-        F.concat(F.lit("No parseable date in the name or records of "), path)
+        F.concat(F.lit("No parseable date in the name or records of "), F.col(path))
     ).cast("int")
-
-    def day_number(value: Column) -> Column:
-        return F.year(value) * 10000 + F.month(value) * 100 + F.dayofmonth(value)
-
-    file_date = (
-        F.when(times.isNotNull(), day_number(F.array_min(times)))
-        .when(
-            named.isNotNull(),
-            named["year"] * 10000 + named["month"] * 100 + named["day"],
-        )
-        .otherwise(failure)
-    )
+    named_month = named["year"] * 100 + named["month"]
     dated = F.when(
         times.isNotNull(),
-        F.array_distinct(F.transform(times, lambda t: F.year(t) * 100 + F.month(t))),
-    ).otherwise(F.array(named["year"] * 100 + named["month"]))
+        F.array_distinct(F.transform(times, lambda v: F.year(v) * 100 + F.month(v))),
+    ).otherwise(F.array(named_month))
     has_undated = F.coalesce(F.exists(values, lambda v: v.isNull()), F.lit(False))
     undated = F.when(has_undated, F.array(F.lit(UNDATED))).otherwise(
         F.array().cast("array<int>")
     )
-    return {
-        "file_date": file_date.cast("int"),
-        "months": F.array_sort(F.array_union(dated, undated)).cast("array<int>"),
-    }
+    first = F.array_min(times)
+    first_day = F.year(first) * 10000 + F.month(first) * 100 + F.dayofmonth(first)
+    file_date = (
+        F.when(times.isNotNull(), first_day)
+        .when(named.isNotNull(), named_month * 100 + named["day"])
+        .otherwise(failure)
+    )
+    return (
+        files.withColumns(
+            {
+                "_times": payload_times(F.col(values)),
+                "_named": file_name_date(F.col(path), extension),
+            }
+        )
+        .withColumns(
+            {
+                "file_date": file_date,
+                "months": F.array_sort(F.array_union(dated, undated)),
+            }
+        )
+        .drop("_times", "_named", values)
+    )
 
 
 def new_files(current: DataFrame, manifest: DataFrame) -> DataFrame:

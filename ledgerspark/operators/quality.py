@@ -62,30 +62,54 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def own_exchange(aggregated: DataFrame) -> DataFrame:
+    """Keep an aggregate from lending its partitioning to a later join.
+
+    AQE splits hot partitions only where both sides of a join are shuffled for the join
+    itself. A join straight on top of an aggregate reuses the shuffle of the aggregate,
+    and a hot key on its other side would then stay in one task.
+    """
+    return aggregated.hint("rebalance")
+
+
 def add_occurrences(staged: DataFrame, *, write_counts: bool = False) -> DataFrame:
     """Row counts per transaction id (0 for a null id) and per surrogate key.
 
-    The joins carry no hint: AQE splits the partitions of hot keys (NULL ids included)
-    and turns a join into a broadcast when the repeated keys prove small. With
-    ``write_counts`` they are written to the scratch area first, so that Catalyst knows
-    their true size before it plans: if it is small, the wide rows are never shuffled.
+    The joins carry no hint: AQE splits the partitions of hot keys and turns a join into
+    a broadcast when the repeated keys prove small. Rows without an id stay out of the id
+    join, where they would all meet in one partition. With ``write_counts`` the repeated
+    keys are written to the scratch area first, so that Catalyst knows their true size
+    before it plans: if it is small, the wide rows are never shuffled.
     """
     ids = repeated_keys(staged, "transaction_id")
     sks = repeated_keys(staged, "transaction_partner_sk")
     if write_counts:
         ids = materialize(ids, "repeated-ids")
         sks = materialize(sks, "repeated-sks")
+    else:
+        ids, sks = own_exchange(ids), own_exchange(sks)
     ids = ids.withColumnRenamed("occurrences", "_id_count")
     sks = sks.withColumnRenamed("occurrences", "_sk_count")
-    once = F.lit(1).cast("bigint")
+    id_type = staged.schema["transaction_id"].dataType
+    once, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    columns = [F.col(c) for c in staged.columns]
+    with_id = (
+        staged.where(F.col("transaction_id").isNotNull())
+        .join(ids, "transaction_id", "left")
+        .select(*columns, F.coalesce("_id_count", once).alias("transaction_id_occurrences"))
+    )
+    # The literal lets Catalyst drop this branch where only accepted rows are asked for.
+    without_id = (
+        staged.where(F.col("transaction_id").isNull())
+        .withColumn("transaction_id", F.lit(None).cast(id_type))
+        .select(*columns, none.alias("transaction_id_occurrences"))
+    )
     return (
-        staged.join(ids, "transaction_id", "left")
+        with_id.unionByName(without_id)
         .join(sks, "transaction_partner_sk", "left")
         .select(
-            *[F.col(c) for c in staged.columns],
-            F.when(F.col("transaction_id").isNull(), F.lit(0).cast("bigint"))
-            .otherwise(F.coalesce("_id_count", once))
-            .alias("transaction_id_occurrences"),
+            *columns,
+            "transaction_id_occurrences",
             F.coalesce("_sk_count", once).alias("transaction_partner_sk_occurrences"),
         )
     )

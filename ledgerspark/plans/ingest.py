@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from ledgerspark.functions.eventtime import add_event_time
 from ledgerspark.operators import manifest as m
 from ledgerspark.operators.coverage import day_coverage, missing_days, pending_month_ids
 from ledgerspark.schema import load_schema, save_schema
-from ledgerspark.session import materialize, scratch_path
+from ledgerspark.session import materialize, scratch_folder
 from ledgerspark.sinks.months import append_months, rebuild_months
 from ledgerspark.sinks.runlog import append_run, run_record
 from ledgerspark.sinks.tables import read_or_empty, replace_table, write_table
@@ -95,34 +96,43 @@ def plan_bronze(spark: SparkSession, config: IngestConfig) -> BronzePlan:
     )
     unseen = materialize(m.unseen_files(current, manifest), "unseen")
     changed = materialize(m.changed_files(current, manifest), "changed")
-    ignored = m.ignored_duplicates(current, manifest, unseen)
-    impacted_frame = m.impacted_months(changed)
-    interrupted = _interrupted_months(spark, config)
-    if interrupted is not None:
-        # The last write died: rebuild whatever it may have touched instead of appending.
-        extra = unseen.select(F.explode("months").alias("month_id")).unionByName(
-            spark.createDataFrame([(v,) for v in interrupted], "month_id int")
-        )
-        impacted_frame = impacted_frame.unionByName(extra).distinct()
-    impacted = sorted(row["month_id"] for row in impacted_frame.collect())
-    months = spark.createDataFrame([(v,) for v in impacted], "month_id int")
-    to_read = m.files_to_read(current, months, unseen)
-    reread = to_read.join(unseen.select("path"), "path", "left_anti")
+    impacted = _impacted(spark, config, changed, unseen)
+    reread_paths: list[str] = []
     if impacted:
+        months = spark.createDataFrame([(v,) for v in impacted], "month_id int")
+        to_read = m.files_to_read(current, months, unseen)
+        reread = to_read.join(unseen.select("path"), "path", "left_anti")
         # A copy that was ignored when it arrived must stay ignored in a rebuild.
-        reread = m.first_copies(reread)
+        reread_paths = landing.path_list(m.first_copies(reread))
     return BronzePlan(
         current=current,
         manifest=manifest,
         unseen=unseen,
         changed=changed,
-        ignored=ignored,
+        ignored=m.ignored_duplicates(current, manifest, unseen),
         impacted=impacted,
-        new_paths=landing.path_list(landing.in_source_order(unseen)),
-        reread_paths=landing.path_list(landing.in_source_order(reread)) if impacted else [],
+        new_paths=landing.path_list(unseen),
+        reread_paths=reread_paths,
     )
 
 
+def _impacted(
+    spark: SparkSession, config: IngestConfig, changed: DataFrame, unseen: DataFrame
+) -> list[int]:
+    """Ids of the months to rebuild: a few numbers, whatever the data size."""
+    months = {row["month_id"] for row in m.impacted_months(changed).collect()}
+    interrupted = _interrupted_months(spark, config)
+    if interrupted is not None:
+        # The last write died: rebuild whatever it may have touched instead of appending.
+        months |= {*interrupted, *_months_of(unseen)}
+    return sorted(months)
+
+
+def _months_of(files: DataFrame) -> list[int]:
+    found = files.select(F.explode("months").alias("month_id")).distinct()
+    return sorted(row["month_id"] for row in found.collect())
+
+
 def _interrupted_months(spark: SparkSession, config: IngestConfig) -> list[int] | None:
     text = fs.read_text(spark, config.state("write_in_progress.json"))
     return None if text is None else json.loads(text)
@@ -154,35 +164,26 @@ def _write_bronze(spark: SparkSession, config: IngestConfig, plan: BronzePlan) -
         return sorted(append_months(rows, bronze, rebalance=config.rebalance).months)
 
     # Parse once into a staging area; nothing in bronze changes if a record is bad.
-    staged_root = scratch_path(spark, "bronze-staging")
-    for is_new, paths in ((True, plan.new_paths), (False, plan.reread_paths)):
-        if paths:
-            rows = _bronze_rows(spark, config, paths, schema)
-            append_months(rows, f"{staged_root}/is_new={is_new}", rebalance=config.rebalance)
-    in_impacted = month_predicate(plan.impacted)
-    rows = {
-        is_new: scan_bronze(spark, f"{staged_root}/is_new={is_new}") for is_new in (True, False)
-    }
-    rebuilt = None
-    for frame in rows.values():
-        if frame is not None:
-            part = frame.where(in_impacted)
-            rebuilt = part if rebuilt is None else rebuilt.unionByName(part)
-    touched: set[int] = set(plan.impacted)
-    if rebuilt is not None:
-        rebuild_months(rebuilt, bronze, plan.impacted)
-    if rows[True] is not None:
-        # Rows of files read again only for an impacted month are already in bronze.
-        touched |= append_months(rows[True].where(~in_impacted), bronze).months
+    with scratch_folder(spark, "bronze-staging") as staging:
+        sides = {"new": plan.new_paths, "reread": plan.reread_paths}
+        for side, paths in sides.items():
+            if paths:
+                rows = _bronze_rows(spark, config, paths, schema)
+                append_months(rows, f"{staging}/{side}", rebalance=config.rebalance)
+        staged = {side: scan_bronze(spark, f"{staging}/{side}") for side in sides}
+        in_impacted = month_predicate(plan.impacted)
+        rebuilt = [rows.where(in_impacted) for rows in staged.values() if rows is not None]
+        touched = set(plan.impacted)
+        if rebuilt:
+            rebuild_months(reduce(DataFrame.unionByName, rebuilt), bronze, plan.impacted)
+        if staged["new"] is not None:
+            # Other rows of files read again for an impacted month are already in bronze.
+            touched |= append_months(staged["new"].where(~in_impacted), bronze).months
     return sorted(touched)
 
 
 def _planned_months(plan: BronzePlan) -> list[int]:
-    found = m.changed_or_new(plan.changed, plan.unseen).select(
-        F.explode("months").alias("month_id")
-    )
-    months = {row["month_id"] for row in found.distinct().collect()}
-    return sorted(months | set(plan.impacted))
+    return sorted({*plan.impacted, *_months_of(m.changed_or_new(plan.changed, plan.unseen))})
 
 
 def run_bronze(spark: SparkSession, config: IngestConfig) -> BronzePlan:

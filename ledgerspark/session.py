@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerspark import fs
+
 # The settings the library is designed for. Skewed joins and skewed partitioned writes
 # are split at run time by adaptive execution; event times never change zone.
 RECOMMENDED_CONF = {
@@ -52,6 +56,26 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage in a way that survives lost executors, and gives Catalyst the true
     size of the result, so that it broadcasts it in a later join only if it is small.
     """
-    path = scratch_path(df.sparkSession, label)
+    return _store(df, scratch_path(df.sparkSession, label))
+
+
+def _store(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A scratch path that is removed afterwards, also when the work fails."""
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        fs.delete(spark, path)
+
+
+@contextmanager
+def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Like :func:`materialize`, for use inside a block; the files go with the block."""
+    with scratch_folder(df.sparkSession, label) as path:
+        yield _store(df, path)

@@ -25,7 +25,7 @@ from ledgerspark.operators.merge import (
     require_merge_keys,
     upsert_rows,
 )
-from ledgerspark.session import materialize
+from ledgerspark.session import materialized
 from ledgerspark.sinks import months as month_sink
 
 MARKER = "_published"
@@ -135,8 +135,14 @@ def upsert_table(
     already comes straight from files.
     """
     require_merge_keys(df, keys)
-    spark = df.sparkSession
-    source = df if stored_source else materialize(df, "upsert-source")
+    if stored_source:
+        return _upsert(df, root, list(keys), by_month)
+    with materialized(df, "upsert-source") as source:
+        return _upsert(source, root, list(keys), by_month)
+
+
+def _upsert(source: DataFrame, root: str, keys: list[str], by_month: bool) -> int:
+    spark = source.sparkSession
     repeated = repeated_merge_keys(source, keys).limit(1).collect()
     if repeated:
         raise ValueError(f"The source repeats the merge key {repeated[0].asDict()}.")
@@ -148,7 +154,7 @@ def upsert_table(
     target = read_table(spark, root)
     path = current_path(spark, root)
     if _is_by_month(spark, path):
-        _upsert_months(target, source, path, list(keys))
+        _upsert_months(target, source, path, keys)
     else:
         replace_table(upsert_rows(target, source, keys), root)
     return rows

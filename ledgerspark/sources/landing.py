@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerspark import fs
-from ledgerspark.operators.manifest import STATE_COLUMNS, file_coverage
+from ledgerspark.operators.manifest import STATE_COLUMNS, add_file_coverage
 from ledgerspark.schema import storable
 
 
@@ -55,18 +55,14 @@ def _describe(files: DataFrame, time_column: str, extension: str) -> DataFrame:
     """
     records = T.ArrayType(T.StructType([T.StructField(time_column, T.StringType())]))
     parsed = F.from_json(F.col("content").cast("string"), records)
-    coverage = file_coverage(F.col("path"), F.col("_values"), extension)
-    return (
-        files.select(
-            "path",
-            F.col("length").alias("size_bytes"),
-            F.col("modificationTime").alias("modified_at"),
-            F.sha2("content", 256).alias("content_digest"),
-            F.transform(parsed, lambda r: r[time_column]).alias("_values"),
-        )
-        .withColumns(coverage)
-        .select(*STATE_COLUMNS)
+    described = files.select(
+        "path",
+        F.col("length").alias("size_bytes"),
+        F.col("modificationTime").alias("modified_at"),
+        F.sha2("content", 256).alias("content_digest"),
+        F.transform(parsed, lambda r: r[time_column]).alias("_values"),
     )
+    return add_file_coverage(described, "_values", extension=extension).select(*STATE_COLUMNS)
 
 
 def describe_directory(
@@ -103,8 +99,13 @@ def describe_directory(
 
 
 def path_list(files: DataFrame) -> list[str]:
-    """Paths on the driver, where Spark's own file index keeps them as well."""
-    return [row["path"] for row in files.select("path").toLocalIterator(prefetchPartitions=True)]
+    """Paths in source order (first date, then path), names only.
+
+    They go to the driver because Spark's reader takes a list, which its own file index
+    keeps there too.
+    """
+    ordered = in_source_order(files) if "file_date" in files.columns else files
+    return [row["path"] for row in ordered.select("path").collect()]
 
 
 def in_source_order(files: DataFrame) -> DataFrame:

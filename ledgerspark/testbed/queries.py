@@ -321,8 +321,7 @@ def payload_dates(spark, sf_dir):
             last,
         ).alias("values"),
     )
-    parts = manifest.file_coverage(F.col("path"), F.col("values"))
-    return comparable(files.withColumns(parts).drop("values"))
+    return comparable(manifest.add_file_coverage(files, "values"))
 
 
 @query

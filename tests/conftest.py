@@ -14,8 +14,10 @@ def spark():
         "tests",
         **{
             "spark.master": "local[8]",
-            "spark.sql.shuffle.partitions": "8",
+            "spark.default.parallelism": "2",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -1,0 +1,190 @@
+"""Write modes, versions, partition rebuilds and recovery."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerspark import fs
+from ledgerspark.operators.merge import sync_rows, upsert_rows
+from ledgerspark.sinks import months, tables
+
+DDL = "id bigint, v string"
+MONTH_DDL = "id bigint, v string, year int, month int"
+
+
+def frame(spark, rows, ddl=DDL):
+    return spark.createDataFrame(rows, ddl)
+
+
+def content(spark, root):
+    return sorted(
+        (tuple(r) for r in tables.read_table(spark, root).select("id", "v").collect()), key=repr
+    )
+
+
+def test_replace_swaps_versions(spark, tmp_path):
+    root = str(tmp_path / "t")
+    assert not tables.table_exists(spark, root)
+    with pytest.raises(ValueError):
+        tables.read_table(spark, root)
+    assert tables.replace_table(frame(spark, [(1, "a"), (2, "b")]), root) == 2
+    old = tables.read_table(spark, root)
+    assert tables.replace_table(old.where("id = 2"), root) == 1, "may read what it replaces"
+    assert content(spark, root) == [(2, "b")]
+    assert old.count() == 2
+    tables.drop_old_versions(spark, root, keep=1)
+    assert len(os.listdir(root)) == 1 and content(spark, root) == [(2, "b")]
+
+
+def test_empty_replace_keeps_the_table(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.replace_table(frame(spark, [(1, "a")]), root)
+    assert tables.replace_table(frame(spark, []), root) == 0
+    assert content(spark, root) == [(1, "a")]
+    tables.replace_table(frame(spark, []), root, keep_if_empty=False)
+    assert content(spark, root) == []
+
+
+def test_unfinished_version_is_invisible(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.replace_table(frame(spark, [(1, "a")]), root)
+    frame(spark, [(9, "z")]).write.parquet(f"{root}/v=2")
+    assert content(spark, root) == [(1, "a")]
+    tables.replace_table(frame(spark, [(3, "c")]), root)
+    assert content(spark, root) == [(3, "c")]
+
+
+def test_append(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for _ in range(2):
+        tables.write_table(frame(spark, [(1, "a")]), root, "append")
+    assert content(spark, root) == [(1, "a"), (1, "a")]
+
+
+@pytest.mark.parametrize("by_month", [False, True])
+def test_upsert(spark, tmp_path, by_month):
+    root = str(tmp_path / "t")
+    first = [(1, "a", 2024, 1), (2, "b", 2024, 2), (None, "n", 2024, 1), (4, "d", None, None)]
+    update = [(2, "B", 2024, 3), (3, "c", 2024, 1), (None, "m", None, None), (4, "D", None, None)]
+    for rows in (first, update):
+        tables.write_table(frame(spark, rows, MONTH_DDL), root, "upsert", ["id"], by_month=by_month)
+    assert content(spark, root) == [(1, "a"), (2, "B"), (3, "c"), (4, "D"), (None, "m"), (None, "n")]
+    # The same update again: equal keys are replaced, NULL keys never match.
+    tables.write_table(frame(spark, update, MONTH_DDL), root, "upsert", ["id"], by_month=by_month)
+    assert len(content(spark, root)) == 7
+    moved = tables.read_table(spark, root).where("id = 2").first()
+    assert (moved["year"], moved["month"]) == (2024, 3)
+
+
+def test_upsert_rewrites_only_touched_months(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = [(m, "a", 2024, m) for m in range(1, 7)]
+    tables.upsert_table(frame(spark, rows, MONTH_DDL), root, ["id"], by_month=True)
+
+    def files():
+        path = tables.current_path(spark, root).removeprefix("file:")
+        return {
+            (folder, name)
+            for folder, _, names in os.walk(path)
+            for name in names
+            if name.startswith("part-")
+        }
+
+    before = files()
+    tables.upsert_table(frame(spark, [(2, "x", 2024, 5)], MONTH_DDL), root, ["id"], by_month=True)
+    changed = {folder.rsplit("month=", 1)[1] for folder, _ in before ^ files()}
+    assert changed == {"2", "5"}
+    assert content(spark, root) == [(1, "a"), (2, "x"), (3, "a"), (4, "a"), (5, "a"), (6, "a")]
+
+
+def test_interrupted_swap_is_finished_by_the_next_read(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    rows = [(1, "a", 2024, 1), (2, "b", 2024, 2)]
+    tables.upsert_table(frame(spark, rows, MONTH_DDL), root, ["id"], by_month=True)
+    real = months.drop_months
+
+    def dies(spark_, path, wanted):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(months, "drop_months", dies)
+    with pytest.raises(RuntimeError):
+        tables.upsert_table(
+            frame(spark, [(2, "B", 2024, 3)], MONTH_DDL), root, ["id"], by_month=True
+        )
+    monkeypatch.setattr(months, "drop_months", real)
+    assert content(spark, root) == [(1, "a"), (2, "B")]
+
+
+def test_upsert_guards(spark, tmp_path):
+    root = str(tmp_path / "t")
+    with pytest.raises(ValueError, match="merge_keys"):
+        tables.write_table(frame(spark, [(1, "a")]), root, "upsert")
+    with pytest.raises(ValueError, match="source columns"):
+        tables.write_table(frame(spark, [(1, "a")]), root, "upsert", ["nope"])
+    with pytest.raises(ValueError, match="repeats"):
+        tables.write_table(frame(spark, [(1, "a"), (1, "b")]), root, "upsert", ["id"])
+    with pytest.raises(ValueError, match="Unsupported"):
+        tables.write_table(frame(spark, [(1, "a")]), root, "truncate")
+    assert not tables.table_exists(spark, root)
+
+
+def test_upsert_keeps_columns_the_source_lacks(spark):
+    target = frame(spark, [(1, "a", 2024, 1)], MONTH_DDL)
+    result = upsert_rows(target, frame(spark, [(1, "x"), (2, "y")]), ["id"])
+    found = {r["id"]: tuple(r) for r in result.collect()}
+    assert found == {1: (1, "x", 2024, 1), 2: (2, "y", None, None)}
+
+
+def test_key_only_rows_and_sync(spark):
+    target, source = frame(spark, [(1,), (2,)], "id bigint"), frame(spark, [(2,), (3,)], "id bigint")
+    assert sorted(r[0] for r in upsert_rows(target, source, ["id"]).collect()) == [1, 2, 3]
+    assert sorted(r[0] for r in sync_rows(target, source, ["id"]).collect()) == [2, 3]
+
+
+def test_rebuild_replaces_only_its_months(spark, tmp_path):
+    root = str(tmp_path / "b")
+    rows = [(1, "a", 2024, 1), (2, "b", 2024, 2), (3, "c", 2024, 3), (4, "d", None, None)]
+    written = months.append_months(frame(spark, rows, MONTH_DDL), root)
+    assert written.rows == 4 and written.months == {0, 202401, 202402, 202403}
+    new = frame(spark, [(9, "z", 2024, 2), (8, "y", None, None)], MONTH_DDL)
+    months.rebuild_months(new, root, [202402, 202403, 0])
+    found = {r["id"] for r in months.read_months(spark, root).collect()}
+    assert found == {1, 9, 8}
+    assert months.append_months(frame(spark, [], MONTH_DDL), root).rows == 0
+
+
+def test_month_filter_prunes_partitions(spark, tmp_path):
+    root = str(tmp_path / "b")
+    rows = [(m, "a", 2024, m) for m in range(1, 5)]
+    months.append_months(frame(spark, rows, MONTH_DDL), root)
+    df = months.read_months(spark, root, [202402])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters:")[1].split("]")[0]
+    assert "2024" in pruned
+    assert [r["id"] for r in df.collect()] == [2]
+
+
+def test_small_files(spark, tmp_path):
+    path = str(tmp_path / "state" / "a.json")
+    assert fs.read_text(spark, path) is None
+    fs.write_text(spark, path, json.dumps({"é": 1}))
+    fs.write_text(spark, path, json.dumps({"é": 2}))
+    assert json.loads(fs.read_text(spark, path)) == {"é": 2}
+    assert fs.glob(spark, str(tmp_path / "none" / "*")) == []
+
+
+def test_large_month_is_written_by_several_tasks(spark, tmp_path):
+    """One month never has to fit one task."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50KB")
+    try:
+        root = str(tmp_path / "b")
+        df = spark.range(0, 200000, 1, 8).select(
+            "id", F.md5(F.col("id").cast("string")).alias("v"),
+            F.lit(2024).alias("year"), F.lit(1).alias("month"),
+        )
+        assert months.append_months(df, root).rows == 200000
+        assert len(fs.glob(spark, f"{root}/year=2024/month=1/part-*")) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
