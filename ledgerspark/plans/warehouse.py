@@ -12,8 +12,32 @@ from ledgerspark.functions.money import RATES_PER_EUR
 from ledgerspark.operators import marts, quality
 from ledgerspark.operators.checks import run_checks
 from ledgerspark.sinks.report import export_report
-from ledgerspark.sinks.tables import read_table, replace_table, table_exists, upsert_table
-from ledgerspark.sources.relations import read_relation
+from ledgerspark.sinks.tables import (
+    current_path,
+    read_table,
+    replace_table,
+    table_exists,
+    upsert_table,
+)
+from ledgerspark.sources.relations import read_relation, validate_relation_name
+
+
+# The schema of each layer and the relations in it.
+LAYERS: Mapping[str, tuple[str, ...]] = {
+    "staging": ("stg_premium__transactions",),
+    "intermediate": (
+        "premium_transaction_quality",
+        "premium_transactions",
+        "premium_rejected_transactions",
+    ),
+    "analytics": (
+        "dim_partner",
+        "dim_date",
+        "fct_transaction",
+        "monthly_partner_premiums",
+        "monthly_partner_premiums_by_currency",
+    ),
+}
 
 
 @dataclass(frozen=True)
@@ -108,6 +132,42 @@ def register(relations: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def publish_views(
+    spark: SparkSession,
+    config: WarehouseConfig,
+    layers: Mapping[str, tuple[str, ...]] = LAYERS,
+) -> None:
+    """Point a catalog view ``schema.relation`` at the current version of each relation.
+
+    No data is copied: staging, accepted and rejected rows are selections from the stored
+    quality table. Each view switches to a new build in one catalog update.
+    """
+    flags = [name for name, _ in quality.rejection_flags().values()]
+    verdict_columns = [*quality.COUNT_COLUMNS, *flags, "is_rejected", "rejection_reason"]
+    every = [*quality.ACCEPTED_COLUMNS, *verdict_columns]
+    selections = {
+        "stg_premium__transactions": (quality.BASE_COLUMNS, "TRUE"),
+        "premium_transaction_quality": (every, "TRUE"),
+        "premium_rejected_transactions": (every, "verdict = 'rejected'"),
+    }
+    if config.incremental == "sync":
+        selections["premium_transactions"] = (
+            quality.ACCEPTED_COLUMNS,
+            "verdict = 'accepted'",
+        )
+    for schema, names in layers.items():
+        schema = validate_relation_name(schema.strip())
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+        for name in names:
+            columns, condition = selections.get(name, (["*"], "TRUE"))
+            source = "premium_transaction_quality" if name in selections else name
+            path = current_path(spark, config.table(source))
+            spark.sql(
+                f"CREATE OR REPLACE VIEW {schema}.{name} AS "
+                f"SELECT {', '.join(columns)} FROM parquet.`{path}` WHERE {condition}"
+            )
+
+
 def export_monthly_report(
     spark: SparkSession, output_dir: str, relation: str = "monthly_partner_premiums"
 ) -> str:

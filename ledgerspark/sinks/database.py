@@ -1,0 +1,40 @@
+"""Write a frame to a database through Spark's JDBC writer.
+
+The caller supplies the URL and the driver class. Spark opens one connection per
+partition and sends rows in batches.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+BATCH_ROWS = 100_000
+# Write mode -> mode of the JDBC writer.
+JDBC_MODES = {"replace": "overwrite", "append": "append"}
+
+
+def write_jdbc(
+    df: DataFrame,
+    url: str,
+    table: str,
+    mode: str = "replace",
+    *,
+    properties: Mapping[str, str] | None = None,
+    batch_rows: int = BATCH_ROWS,
+) -> int:
+    """Replace or append; returns the number of rows. Empty input writes nothing.
+
+    Upserts belong to path tables (``sinks.tables``) or to a catalog with MERGE.
+    """
+    if mode not in JDBC_MODES:
+        raise ValueError(f"Unsupported write mode {mode!r} for a database.")
+    if df.isEmpty():
+        return 0
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    options = {**(properties or {}), "batchsize": str(batch_rows)}
+    observed.write.mode(JDBC_MODES[mode]).jdbc(url, table, properties=options)
+    return seen.get["rows"]

@@ -16,7 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _percent(column: str) -> Column:
-    return F.round(F.col(column) * 100).cast("int")
+    # Not round(), which goes through BigDecimal for every row; values are not negative.
+    return (F.col(column) * 100 + 0.5).cast("int")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

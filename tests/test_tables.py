@@ -188,3 +188,11 @@ def test_large_month_is_written_by_several_tasks(spark, tmp_path):
         assert len(fs.glob(spark, f"{root}/year=2024/month=1/part-*")) > 1
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_database_modes(spark):
+    from ledgerspark.sinks.database import write_jdbc
+
+    with pytest.raises(ValueError, match="Unsupported"):
+        write_jdbc(frame(spark, [(1, "a")]), "jdbc:none", "t", "upsert")
+    assert write_jdbc(frame(spark, []), "jdbc:none", "t") == 0, "no connection for no rows"
