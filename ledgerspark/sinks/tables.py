@@ -83,18 +83,20 @@ def replace_table(
     root: str,
     *,
     by_month: bool = False,
+    rebalance: bool = True,
     partition_by: Sequence[str] = (),
     keep_if_empty: bool = True,
 ) -> int:
     """Write a new version and make it current. Returns the number of rows.
 
     Empty input leaves the old table in place, unless ``keep_if_empty`` is off.
-    ``partition_by`` (few values only) lays the files out without a shuffle.
+    ``partition_by`` (few values only) lays the files out without a shuffle, and so does
+    ``by_month`` with ``rebalance`` off, for input that already is laid out by month.
     """
     spark = df.sparkSession
     path = _next_path(spark, root)
     if by_month:
-        rows = month_sink.append_months(df, path).rows
+        rows = month_sink.append_months(df, path, rebalance=rebalance).rows
     else:
         rows = _add_files(df, path, partition_by)
     if rows == 0 and keep_if_empty:
@@ -108,15 +110,17 @@ def _is_by_month(spark: SparkSession, path: str) -> bool:
     return bool(json.loads(fs.read_text(spark, f"{path}/{MARKER}") or "{}").get("by_month"))
 
 
-def append_table(df: DataFrame, root: str, *, by_month: bool = False) -> int:
+def append_table(
+    df: DataFrame, root: str, *, by_month: bool = False, rebalance: bool = True
+) -> int:
     """Add rows to the current version, or create the table."""
     spark = df.sparkSession
     if not table_exists(spark, root):
-        return replace_table(df, root, by_month=by_month)
+        return replace_table(df, root, by_month=by_month, rebalance=rebalance)
     _finish_swap(spark, root)
     path = current_path(spark, root)
     if _is_by_month(spark, path):
-        return month_sink.append_months(df, path).rows
+        return month_sink.append_months(df, path, rebalance=rebalance).rows
     return _add_files(df, path)
 
 
@@ -202,12 +206,13 @@ def write_table(
     keys: Sequence[str] = (),
     *,
     by_month: bool = False,
+    rebalance: bool = True,
 ) -> int:
     """Write with one of the three modes; returns the number of rows written."""
     if mode == "replace":
-        return replace_table(df, root, by_month=by_month)
+        return replace_table(df, root, by_month=by_month, rebalance=rebalance)
     if mode == "append":
-        return append_table(df, root, by_month=by_month)
+        return append_table(df, root, by_month=by_month, rebalance=rebalance)
     if mode == "upsert":
         return upsert_table(df, root, keys, by_month=by_month)
     raise ValueError(f"Unsupported write mode {mode!r}; use one of {', '.join(WRITE_MODES)}.")

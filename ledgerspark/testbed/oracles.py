@@ -119,7 +119,7 @@ FILES = """
 files AS (
   SELECT doc_id, concat('landing/', source, '/', doc_id) AS path, n_chars AS size_bytes,
     sha256(text) AS content_digest,
-    DATE '2022-01-01' + (n_chars % 1000)::INTEGER AS first_day
+    DATE '2012-01-01' + floor(n_chars / 30)::INTEGER AS first_day
   FROM documents
 ),
 now AS (
@@ -350,6 +350,17 @@ FROM stg a JOIN stg b ON a.transaction_id = b.transaction_id
 WHERE a.status = 'processed' AND b.status <> 'processed' GROUP BY 1""",
     "bronze_append": f"WITH {TXN} {MONTH_TOTALS.format(source='txn')}",
     "json_ingest": f"WITH {TXN} {MONTH_TOTALS.format(source='txn')}",
+    "incremental_ingest": f"WITH {TXN} {MONTH_TOTALS.format(source='txn')}",
+    "pending_after_ingest": f"""WITH {TXN}
+SELECT year, month, coalesce(string_agg(day, ',' ORDER BY day), '') AS days
+FROM (SELECT DISTINCT year(created_at_timestamp)::INTEGER AS year,
+        month(created_at_timestamp)::INTEGER AS month,
+        day(created_at_timestamp)::INTEGER AS day FROM txn)
+GROUP BY year, month""",
+    "manifest_after_ingest": f"""WITH {TXN}
+SELECT DISTINCT coalesce(year(created_at_timestamp) * 100 + month(created_at_timestamp), 0)
+  ::INTEGER AS month_id
+FROM txn""",
     "bronze_rebuild": f"""WITH {TXN},
 kept AS (
   SELECT * FROM txn

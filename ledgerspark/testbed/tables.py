@@ -65,7 +65,8 @@ def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as a listing of landing files: one file per document."""
-    day = F.date_add(F.lit("2022-01-01").cast("date"), F.col("n_chars").cast("int") % 1000)
+    days = F.floor(F.col("n_chars") / 30).cast("int")
+    day = F.date_add(F.lit("2012-01-01").cast("date"), days)
     return table(spark, sf_dir, "documents").select(
         F.concat(F.lit("landing/"), F.col("source"), F.lit("/"), F.col("doc_id")).alias("path"),
         F.col("n_chars").alias("size_bytes"),
