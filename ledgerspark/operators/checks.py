@@ -176,27 +176,49 @@ def _labelled(failures: DataFrame, relation: str, check: str, column: str) -> Da
     )
 
 
-def _one_pass(df: DataFrame, relation: str, spec: RelationChecks) -> DataFrame | None:
-    """All NULL checks of a relation from a single aggregate over it."""
-    if not spec.not_null:
-        return None
-    counts = df.agg(
-        *[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(spec.not_null)]
-    )
+def _per_column(
+    counts: DataFrame, relation: str, check: str, columns: Sequence[str]
+) -> DataFrame:
+    """One row per column from a one-row aggregate with a count ``_<i>`` for each."""
     entries = F.array(
         *[
             F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("failures"))
-            for i, c in enumerate(spec.not_null)
+            for i, c in enumerate(columns)
         ]
     )
     return counts.select(F.explode(entries).alias("e")).select(
         F.lit(relation).alias("relation"),
-        F.lit("not_null").alias("check"),
+        F.lit(check).alias("check"),
         "e.column_name",
         "e.failures",
     )
 
 
+def _not_null_pass(df: DataFrame, relation: str, columns: Sequence[str]) -> DataFrame:
+    """All NULL checks of a relation from a single aggregate over it."""
+    counts = df.agg(
+        *[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(columns)]
+    )
+    return _per_column(counts, relation, "not_null", columns)
+
+
+def _unique_pass(df: DataFrame, relation: str, columns: Sequence[str]) -> DataFrame:
+    """All single-column uniqueness checks of a relation from one scan and one shuffle."""
+    values = F.array(
+        *[
+            F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("value"))
+            for i, c in enumerate(columns)
+        ]
+    )
+    repeated = unique_combination(
+        df.select(F.inline(values)).where(F.col("value").isNotNull()), ["i", "value"]
+    )
+    counts = repeated.agg(
+        *[F.count_if(F.col("i") == i).alias(f"_{i}") for i in range(len(columns))]
+    )
+    return _per_column(counts, relation, "unique", columns)
+
+
 def _count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("failures"))
 
@@ -209,11 +231,10 @@ def _relation_results(
     name: str, spec: RelationChecks, relations: Mapping[str, DataFrame]
 ) -> Iterable[DataFrame]:
     df = relations[name]
-    first = _one_pass(df, name, spec)
-    if first is not None:
-        yield first
-    for column in spec.unique:
-        yield _labelled(_count_rows(unique(df, column)), name, "unique", column)
+    if spec.not_null:
+        yield _not_null_pass(df, name, spec.not_null)
+    if spec.unique:
+        yield _unique_pass(df, name, spec.unique)
     if spec.unique_combination:
         label = ",".join(spec.unique_combination)
         found = unique_combination(df, spec.unique_combination)

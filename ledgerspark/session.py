@@ -36,12 +36,13 @@ def scratch_root(spark: SparkSession) -> str:
     A local session without that setting gets a temporary folder; a cluster session
     without it is an error, because a machine-local folder dies with its machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
-        root = tempfile.mkdtemp(prefix="ledgerspark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerspark-"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,12 @@ def _matching(
 
 def _binary(spark: SparkSession, paths: Sequence[str], name_glob: str = "*") -> DataFrame:
     reader = spark.read.format("binaryFile").option("pathGlobFilter", name_glob)
-    return reader.load(list(paths))
+    return reader.load(_literal(paths))
+
+
+def _literal(paths: Sequence[str]) -> list[str]:
+    """Paths for a Spark reader, with its pattern characters escaped."""
+    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", path) for path in paths]
 
 
 def list_files(
@@ -114,7 +120,7 @@ def in_source_order(files: DataFrame) -> DataFrame:
 
 def observe_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
     """Schema of the records as Spark infers it from all of them, in storable types."""
-    inferred = _records(spark).load(list(paths)).schema
+    inferred = _records(spark).load(_literal(paths)).schema
     return storable(inferred)
 
 
@@ -136,7 +142,7 @@ def read_records(
         _records(spark)
         .schema(schema)
         .option("mode", "FAILFAST")
-        .load(list(paths))
+        .load(_literal(paths))
         .select(*schema.fieldNames(), F.col("_metadata.file_path").alias("source_file"))
     )
 

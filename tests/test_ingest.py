@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerspark import fs
 from ledgerspark.plans import ingest
+from ledgerspark.plans.backfill import plan_backfill
 from ledgerspark.plans.ingest import IngestConfig, plan_bronze, read_manifest, read_pending
 from ledgerspark.sinks.runlog import read_run_log
 from ledgerspark.sinks.tables import read_table, table_exists
@@ -396,3 +397,33 @@ def test_gaps_of_pending_months(feed):
 def test_nothing_written_without_files(feed):
     feed.bronze()
     assert not table_exists(feed.spark, feed.config.state("manifest"))
+
+
+def test_file_names_with_pattern_characters_and_spaces(feed):
+    name = "premium_transaction_[1] {a}%20 20250101*.json"
+    feed.put(name, [(1, "01/01/2025 00:00:00")])
+    feed.put("premium_transaction_1 a%20 20250102x.json", [(2, "01/02/2025 00:00:00")])
+    plan = feed.bronze()
+    assert name in base(plan.new_paths)
+    assert feed.ids() == [1, 2]
+    feed.put(name, [(3, "01/01/2025 00:00:00")])
+    assert len(feed.bronze().reread_paths) == 2
+    assert feed.ids() == [2, 3]
+
+
+def test_backfill_plan_from_bronze_and_run_log(feed):
+    feed.put("premium_transaction_20240601.json",
+             [(1, "06/01/2024 00:00:00"), (2, "09/01/2024 00:00:00"), (3, None)])
+    feed.bronze()
+    feed.load()
+    plan = plan_backfill(feed.spark, "2024-06", "2024-08", feed.config.bronze_dir, feed.runs)
+    found = {}
+    for row in plan.collect():
+        found.setdefault(row["status"], []).append(row["month"])
+    assert {k: sorted(v) for k, v in found.items()} == {
+        "requested": ["2024-06", "2024-07", "2024-08"],
+        "available": ["2024-06", "2024-09"],
+        "selected": ["2024-06"],
+        "not_available": ["2024-07", "2024-08"],
+        "latest_loaded": ["2024-06", "2024-09"],
+    }
