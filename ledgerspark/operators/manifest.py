@@ -170,10 +170,15 @@ def impacted_months(changed: DataFrame) -> DataFrame:
 
 
 def files_touching(current: DataFrame, months: DataFrame) -> DataFrame:
-    """Files with rows in any of the given months."""
+    """Files with rows in any of the given months.
+
+    The distinct months are broadcast: there are at most 12 for each of 9999 years. That
+    keeps a month most files belong to out of a shuffle.
+    """
+    distinct = F.broadcast(months.select("month_id").distinct())
     touching = (
         current.select("path", F.explode("months").alias("month_id"))
-        .join(months, "month_id", "left_semi")
+        .join(distinct, "month_id", "left_semi")
         .select("path")
     )
     return current.join(touching, "path", "left_semi")
