@@ -131,6 +131,12 @@ def unseen_files(current: DataFrame, manifest: DataFrame) -> DataFrame:
     return fresh.join(seen, "content_digest", "left_anti").select(*current.columns)
 
 
+def without_content_of(files: DataFrame, others: DataFrame) -> DataFrame:
+    """Files whose content none of ``others`` holds now. A NULL digest equals nothing."""
+    taken = others.select("content_digest").distinct()
+    return files.join(taken, "content_digest", "left_anti").select(*files.columns)
+
+
 def ignored_duplicates(
     current: DataFrame, manifest: DataFrame, unseen: DataFrame
 ) -> DataFrame:

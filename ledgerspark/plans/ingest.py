@@ -26,7 +26,12 @@ from ledgerspark.schema import load_schema, save_schema
 from ledgerspark.session import materialize, scratch_folder
 from ledgerspark.sinks.months import append_months, rebuild_months
 from ledgerspark.sinks.runlog import append_run, run_record
-from ledgerspark.sinks.tables import read_or_empty, replace_table, write_table
+from ledgerspark.sinks.tables import (
+    drop_old_versions,
+    read_or_empty,
+    replace_table,
+    write_table,
+)
 from ledgerspark.sources import landing
 from ledgerspark.sources.bronze import scan_bronze
 
@@ -51,6 +56,8 @@ class IngestConfig:
     merge_keys: Sequence[str] = field(default_factory=tuple)
     trust_mtime: bool = False
     rebalance: bool = True
+    # Versions of the trusted table to keep after a load, for readers still on the last one.
+    keep_versions: int = 2
 
     def state(self, name: str) -> str:
         return f"{self.bronze_dir.rstrip('/')}/_state/{name}"
@@ -94,8 +101,10 @@ def plan_bronze(spark: SparkSession, config: IngestConfig) -> BronzePlan:
         ),
         "landing",
     )
-    unseen = materialize(m.unseen_files(current, manifest), "unseen")
     changed = materialize(m.changed_files(current, manifest), "changed")
+    # A new file may also repeat what a changed file holds now.
+    fresh = m.unseen_files(current, manifest)
+    unseen = materialize(m.without_content_of(fresh, changed), "unseen")
     impacted = _impacted(spark, config, changed, unseen)
     reread_paths: list[str] = []
     if impacted:
@@ -175,10 +184,12 @@ def _write_bronze(spark: SparkSession, config: IngestConfig, plan: BronzePlan) -
         rebuilt = [rows.where(in_impacted) for rows in staged.values() if rows is not None]
         touched = set(plan.impacted)
         if rebuilt:
-            rebuild_months(reduce(DataFrame.unionByName, rebuilt), bronze, plan.impacted)
+            rows = reduce(DataFrame.unionByName, rebuilt)
+            rebuild_months(rows, bronze, plan.impacted, rebalance=False)
         if staged["new"] is not None:
             # Other rows of files read again for an impacted month are already in bronze.
-            touched |= append_months(staged["new"].where(~in_impacted), bronze).months
+            rest = staged["new"].where(~in_impacted)
+            touched |= append_months(rest, bronze, rebalance=False).months
     return sorted(touched)
 
 
@@ -203,7 +214,13 @@ def run_bronze(spark: SparkSession, config: IngestConfig) -> BronzePlan:
 
 
 def _save_manifest(plan: BronzePlan, config: IngestConfig) -> None:
-    replace_table(m.merge_manifest(plan.manifest, plan.current), config.state("manifest"))
+    merged = m.merge_manifest(plan.manifest, plan.current)
+    _replace_state(merged, config.state("manifest"))
+
+
+def _replace_state(df: DataFrame, root: str) -> None:
+    replace_table(df, root, keep_if_empty=False)
+    drop_old_versions(df.sparkSession, root)
 
 
 def _add_pending(spark: SparkSession, config: IngestConfig, touched: list[int]) -> None:
@@ -222,7 +239,7 @@ def _add_pending(spark: SparkSession, config: IngestConfig, touched: list[int])
         F.when(F.col("m") > 0, F.col("m") % 100).alias("month"),
         F.coalesce("days", F.array().cast("array<int>")).alias("days"),
     )
-    replace_table(pending, config.state("pending"))
+    _replace_state(pending, config.state("pending"))
 
 
 def pending_gaps(spark: SparkSession, config: IngestConfig, as_of=None) -> DataFrame:
@@ -236,7 +253,7 @@ def _clear_pending(spark: SparkSession, config: IngestConfig, loaded: list[int])
         "m", month_id(F.col("year"), F.col("month"))
     )
     rest = pending.join(done, "m", "left_anti").drop("m")
-    replace_table(rest, config.state("pending"), keep_if_empty=False)
+    _replace_state(rest, config.state("pending"))
 
 
 def silver_rows(bronze: DataFrame, time_column: str = "created_at_timestamp") -> DataFrame:
@@ -281,6 +298,7 @@ def run_silver(spark: SparkSession, config: IngestConfig, run_log_dir: str) -> D
     record = run_record(spark, status="completed", rows_written=rows, months=months, **common)
     append_run(record, run_log_dir)
     _clear_pending(spark, config, months)
+    drop_old_versions(spark, config.trusted_dir, config.keep_versions)
     return record
 
 

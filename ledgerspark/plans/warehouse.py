@@ -14,6 +14,7 @@ from ledgerspark.operators.checks import run_checks
 from ledgerspark.sinks.report import export_report
 from ledgerspark.sinks.tables import (
     current_path,
+    drop_old_versions,
     read_table,
     replace_table,
     table_exists,
@@ -52,6 +53,8 @@ class WarehouseConfig:
     incremental: str = "sync"
     null_amount: str = "keep"
     rates: Mapping[str, float] = field(default_factory=lambda: dict(RATES_PER_EUR))
+    # Versions of each relation to keep after a build, for readers still on the last one.
+    keep_versions: int = 2
 
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -101,7 +104,7 @@ def build_warehouse(
         upsert_table(fact, fact_path, ["transaction_sk"])
     else:
         replace_table(fact, fact_path, keep_if_empty=False)
-    return {
+    relations = {
         "stg_premium__transactions": staged,
         "premium_transaction_quality": stored.drop("verdict"),
         "premium_transactions": accepted,
@@ -119,6 +122,9 @@ def build_warehouse(
             "monthly_partner_premiums_by_currency", marts.by_currency_from_totals(totals)
         ),
     }
+    for name in (*relations, "monthly_currency_totals"):
+        drop_old_versions(spark, config.table(name), config.keep_versions)
+    return relations
 
 
 def check_warehouse(relations: Mapping[str, DataFrame]) -> DataFrame:

@@ -427,3 +427,20 @@ def test_backfill_plan_from_bronze_and_run_log(feed):
         "not_available": ["2024-07", "2024-08"],
         "latest_loaded": ["2024-06", "2024-09"],
     }
+
+
+def test_new_file_equal_to_a_changed_file_is_a_copy(feed):
+    feed.put("premium_transaction_a_20250101.json", [(1, "01/05/2025 00:00:00")])
+    feed.bronze()
+    corrected = [(2, "01/05/2025 00:00:00")]
+    feed.put("premium_transaction_a_20250101.json", corrected)
+    feed.put("premium_transaction_b_20250101.json", corrected)
+    plan = feed.bronze()
+    assert feed.names(plan.ignored) == ["premium_transaction_b_20250101.json"]
+    assert feed.ids() == [2]
+    # Two known files that become equal are read once as well.
+    feed.put("premium_transaction_c_20250101.json", [(3, "01/06/2025 00:00:00")])
+    feed.bronze()
+    feed.put("premium_transaction_c_20250101.json", corrected)
+    feed.bronze()
+    assert feed.ids() == [2]
