@@ -2,7 +2,7 @@
 
 Each query is run to the end through the no-op sink: one warm-up, then the median of
 ``BENCH_RUNS`` (default 3) runs, or of fewer once a query has taken ``BENCH_SECONDS``
-(default 20). Sink and file queries also write to the scratch area.
+(default 10). Sink and file queries also write to the scratch area.
 """
 
 from __future__ import annotations
@@ -55,7 +55,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    seconds = float(os.environ.get("BENCH_SECONDS", "20"))
+    seconds = float(os.environ.get("BENCH_SECONDS", "10"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = build_session(
         "bench",
