@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ledgerspark.llm.license_scan import TEMPLATES
+
 OP8 = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
@@ -64,7 +66,100 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM counts
 """
 
+
+
+def _op4(rounds: int = 10, damping: float = 0.85) -> str:
+    """Rules as a table; one pair of common tables per round of the two rankings."""
+    url_parts = r"""
+WITH u AS (
+  SELECT page_id, html, instr(url, '://') AS place, substr(url, instr(url, '://') + 3) AS rest FROM pages),
+p AS (
+  SELECT page_id, coalesce(html, '') AS html,
+    CASE WHEN place > 0 THEN translate(regexp_extract(rest, '^[^/?#]*'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+    CASE WHEN place > 0 THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM u),
+rules(rhost, rpath, said) AS (VALUES
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+m AS (
+  SELECT p.*, (SELECT max_by({'rule': rhost || rpath, 'said': said}, len(rhost || rpath)) FROM rules
+    WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS best
+  FROM p),
+l AS (
+  SELECT host AS src, unnest(list_distinct(regexp_extract_all(html,
+    '(?i)<a\s[^>]*?href\s*=\s*["'']?((?:https?:)?//[^/?#"''\s>]*|[^"''\s>]{0,1})', 1))) AS link
+  FROM p),
+e AS (
+  SELECT src, dst, count(*) AS n FROM (SELECT src, CASE WHEN contains(link, '//')
+      THEN translate(regexp_extract(link, '//(.*)$', 1),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE src END AS dst FROM l)
+  WHERE src <> '' AND dst <> '' GROUP BY src, dst),
+f AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS w FROM e),
+b AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY dst) AS w FROM e),
+c AS (SELECT host, count(*) FILTER (best.said = 'allow') AS a, count(*) FILTER (best.said = 'block') AS d
+  FROM m WHERE host <> '' GROUP BY host),
+s AS (SELECT host, coalesce(a / nullif((SELECT sum(a) FROM c), 0), 0) AS t,
+  coalesce(d / nullif((SELECT sum(d) FROM c), 0), 0) AS d FROM c),
+t0 AS (SELECT host, t AS x FROM s), d0 AS (SELECT host, d AS x FROM s)"""
+    steps = "".join(
+        f""",
+t{k} AS MATERIALIZED (SELECT host, sum(x) AS x FROM (
+  SELECT dst AS host, {damping} * x * w AS x FROM t{k - 1} JOIN f ON src = host
+  UNION ALL SELECT host, {1 - damping} * t FROM s) GROUP BY host),
+d{k} AS MATERIALIZED (SELECT host, sum(x) AS x FROM (
+  SELECT src AS host, {damping} * x * w AS x FROM d{k - 1} JOIN b ON dst = host
+  UNION ALL SELECT host, {1 - damping} * d FROM s) GROUP BY host)"""
+        for k in range(1, rounds + 1)
+    )
+    return f"""{url_parts}{steps}
+SELECT page_id, m.host, path, best.rule AS rule, coalesce(best.said,
+  CASE WHEN coalesce(d{rounds}.x, 0) > coalesce(t{rounds}.x, 0) THEN 'block' ELSE 'allow' END) AS verdict
+FROM m LEFT JOIN t{rounds} ON t{rounds}.host = m.host LEFT JOIN d{rounds} ON d{rounds}.host = m.host
+"""
+
+
+def _op5() -> str:
+    templates = ",\n  ".join(
+        f"('{t.license}', '{t.text}')" for t in TEMPLATES
+    )
+    return rf"""
+WITH notices(license, notice) AS (VALUES
+  {templates}),
+t AS (SELECT row_number() OVER () AS k, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines,
+  coalesce(text, '') AS body FROM documents),
+unit AS (
+  SELECT k, unnest(lines) AS u, true AS is_line FROM t
+  UNION ALL SELECT k, body, false FROM t WHERE len(lines) > 1),
+words AS (
+  SELECT k, is_line, regexp_extract_all(translate(u, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') AS ws FROM unit),
+grams AS (
+  SELECT k, is_line, list_distinct([ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]) AS g
+  FROM words),
+wanted AS (
+  SELECT license, list_distinct([ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]) AS w
+  FROM (SELECT license, regexp_extract_all(lower(notice), '[a-z0-9]+') AS ws FROM notices)),
+scored AS (
+  SELECT k, row_number() OVER () AS unit_id, license, dice FROM (
+    SELECT k, g, max({{'dice': 2.0::DOUBLE * len(list_intersect(g, w)) / (len(g) + len(w)), 'license': license}}) AS m
+    FROM (SELECT row_number() OVER () AS id, k, g FROM grams WHERE len(g) BETWEEN 1 AND 100), wanted
+    WHERE len(list_intersect(g, w)) > 0
+    GROUP BY id, k, g), unnest([m.license]) AS a(license), unnest([m.dice]) AS b(dice)
+  WHERE dice >= 0.8),
+docs AS (
+  SELECT k, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+    max({{'dice': dice, 'license': license}}) AS best FROM scored GROUP BY k),
+counts AS (SELECT k, count(*) FILTER (is_line AND len(g) > 0) AS n_lines FROM grams GROUP BY k)
+SELECT doc_id, n_lines, coalesce(n, 0) AS n_notices, coalesce(licenses, '') AS licenses,
+  best.license AS best_license, best.dice AS best_dice
+FROM t JOIN counts USING (k) LEFT JOIN docs USING (k)
+"""
+
+
 ORACLES = {
+    "op4_url_filter": _op4(),
+    "op5_license_scan": _op5(),
     "op6_quality_rules": OP6,
     "op8_exact_dedup": OP8,
 }

@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.llm.exact_dedup import exact_dedup
+from ledgerspark.llm.license_scan import license_scan
 from ledgerspark.llm.quality_rules import quality_rules
 from ledgerspark.llm.text import read_table
+from ledgerspark.llm.url_filter import url_verdicts
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(read_table(spark, sf_dir, "pages"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read_table(spark, sf_dir, "documents"))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +29,8 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_url_filter": op4_url_filter,
+    "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op8_exact_dedup": op8_exact_dedup,
 }

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
 
+# For lower-casing A-Z and nothing else.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 
 def whole_text(column: str) -> Column:
     """The text; null counts as empty."""
