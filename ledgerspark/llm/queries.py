@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerspark.llm.byte_bpe import round_trip_digests
 from ledgerspark.llm.exact_dedup import exact_dedup
 from ledgerspark.llm.license_scan import license_scan
+from ledgerspark.llm.packing import pack_documents
 from ledgerspark.llm.quality_rules import quality_rules
 from ledgerspark.llm.text import read_table
+from ledgerspark.llm.token_counts import token_counts
 from ledgerspark.llm.url_filter import url_verdicts
+from ledgerspark.session import scratch_path
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of its own, so that every distinct text is encoded."""
+    return token_counts(
+        read_table(spark, sf_dir, "documents"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        scratch_path(spark, "token-counts"),
+    )
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(
+        read_table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        keep_ids=False,
+    )
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,9 +50,19 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(
+        read_table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+    )
+
+
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_url_filter": op4_url_filter,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_byte_bpe": op10_byte_bpe,
 }

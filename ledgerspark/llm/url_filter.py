@@ -147,14 +147,12 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int = 10, damping: float
         .agg(F.sum("w_trust").alias("w_trust"), F.sum("w_distrust").alias("w_distrust")),
         "host-steps",
     )
-    totals = seeds.agg(F.sum("allowed").alias("all_allowed"), F.sum("blocked").alias("all_blocked"))
-    start = materialize(
-        seeds.crossJoin(F.broadcast(totals)).select(  # one row of two numbers
-            "host",
-            F.coalesce(F.col("allowed") / F.nullif("all_allowed", F.lit(0)), F.lit(0.0)).alias("s_trust"),
-            F.coalesce(F.col("blocked") / F.nullif("all_blocked", F.lit(0)), F.lit(0.0)).alias("s_distrust"),
-        ),
-        "host-seeds",
+    seeds = materialize(seeds, "host-seeds")
+    allowed, blocked = seeds.agg(F.sum("allowed"), F.sum("blocked")).first()
+    start = seeds.select(
+        "host",
+        (F.col("allowed") / F.lit(float(allowed or 1))).alias("s_trust"),
+        (F.col("blocked") / F.lit(float(blocked or 1))).alias("s_distrust"),
     )
     seeded = start.select(
         "host",
