@@ -88,7 +88,7 @@ class Automaton:
             [[number[tuple(g[f])] for g in functions] for f in functions], np.uint16
         ).ravel()  # first * size + second
 
-    def prefix(self, functions: np.ndarray, width: int = 256) -> np.ndarray:
+    def prefix(self, functions: np.ndarray, width: int = 64) -> np.ndarray:
         """Composition of all functions up to and with each one.
 
         Rows of ``width`` are scanned side by side, then their totals in the same way, and

@@ -17,6 +17,17 @@ r AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM r
 """
 
+OP7 = r"""
+WITH t AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+g AS (SELECT page_id, payload, octet_length(payload) AS n,
+  min(page_id) OVER (PARTITION BY payload) AS first_id FROM t)
+SELECT page_id, n AS payload_bytes, sha256(payload) AS payload_digest,
+  CASE WHEN n >= 100 AND first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id
+    THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM g
+"""
+
 # Lines without words, or without a fault: the reverse of what the line rules remove.
 OP6 = r"""
 WITH t AS (
@@ -161,5 +172,6 @@ ORACLES = {
     "op4_url_filter": _op4(),
     "op5_license_scan": _op5(),
     "op6_quality_rules": OP6,
+    "op7_warc_zip": OP7,
     "op8_exact_dedup": OP8,
 }

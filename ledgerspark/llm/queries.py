@@ -13,6 +13,7 @@ from ledgerspark.llm.quality_rules import quality_rules
 from ledgerspark.llm.text import read_table
 from ledgerspark.llm.token_counts import token_counts
 from ledgerspark.llm.url_filter import url_verdicts
+from ledgerspark.llm.warc_zip import archive_round_trip
 from ledgerspark.session import scratch_path
 
 
@@ -46,6 +47,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("document", "clean_text")
 
 
+def op7_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
+    "op7_warc_zip": op7_warc_zip,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
