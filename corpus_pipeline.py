@@ -5,9 +5,12 @@ Each stage takes what its predecessor kept, as Parquet that was written and read
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerspark.llm.exact_dedup import keep_first
+from ledgerspark.llm.ngram_join import keep_one_of_each
+from ledgerspark.llm.packing import pack_documents
 from ledgerspark.llm.quality_rules import clean_documents
 from ledgerspark.session import scratch_path
 
@@ -22,9 +25,21 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return keep_first(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares four fifths of its five-word shingles."""
+    return keep_one_of_each(docs, words=5, percent=80)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their places in sequences of 2048."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("quality_rules", quality),
     ("exact_dedup", exact_duplicates),
+    ("ngram_join", near_duplicates),
+    ("packing", packing),
 ]
 
 # Packing works on subword ids, which SQL cannot make.

@@ -28,6 +28,27 @@ SELECT page_id, n AS payload_bytes, sha256(payload) AS payload_digest,
 FROM g
 """
 
+OP9 = r"""
+WITH RECURSIVE t AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT k, doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN
+    [array_to_string(ws, ' ')]
+    ELSE [ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FOR i IN range(1, len(ws) - 1)] END) AS g
+  FROM t),
+e AS (SELECT k, len(g) AS n, unnest(g) AS x FROM s),
+o AS (
+  SELECT a.k AS a, b.k AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
+  FROM e AS a JOIN e AS b ON a.x = b.x AND a.k <> b.k GROUP BY a.k, b.k),
+l AS (SELECT a, b FROM o WHERE 100 * shared >= 90 * (na + nb - shared)),
+reach(k, r) AS (
+  SELECT k, k FROM s UNION SELECT reach.k, l.b FROM reach JOIN l ON l.a = reach.r),
+c AS (SELECT reach.k, min(s.doc_id) AS component_id FROM reach JOIN s ON s.k = reach.r GROUP BY reach.k)
+SELECT doc_id, len(g) AS n_shingles, component_id FROM s JOIN c USING (k)
+"""
+
 # Lines without words, or without a fault: the reverse of what the line rules remove.
 OP6 = r"""
 WITH t AS (
@@ -174,4 +195,5 @@ ORACLES = {
     "op6_quality_rules": OP6,
     "op7_warc_zip": OP7,
     "op8_exact_dedup": OP8,
+    "op9_ngram_join": OP9,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerspark.llm.byte_bpe import round_trip_digests
 from ledgerspark.llm.exact_dedup import exact_dedup
 from ledgerspark.llm.license_scan import license_scan
+from ledgerspark.llm.ngram_join import ngram_jaccard_join
 from ledgerspark.llm.packing import pack_documents
 from ledgerspark.llm.quality_rules import quality_rules
 from ledgerspark.llm.text import read_table
@@ -55,6 +56,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_join(read_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(
         read_table(spark, sf_dir, "documents"),
@@ -70,5 +75,6 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_warc_zip": op7_warc_zip,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_ngram_join": op9_ngram_join,
     "op10_byte_bpe": op10_byte_bpe,
 }
