@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerspark.llm.byte_bpe import round_trip_digests
 from ledgerspark.llm.exact_dedup import exact_dedup
 from ledgerspark.llm.license_scan import license_scan
+from ledgerspark.llm.lm_score import lm_scores
 from ledgerspark.llm.ngram_join import ngram_jaccard_join
 from ledgerspark.llm.packing import pack_documents
 from ledgerspark.llm.quality_rules import quality_rules
@@ -27,6 +28,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(
+        read_table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        vocabulary=50_257,
+    )
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(
         read_table(spark, sf_dir, "documents"),
@@ -69,6 +78,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_lm_score": op2_lm_score,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_url_filter": op4_url_filter,
     "op5_license_scan": op5_license_scan,
