@@ -40,13 +40,3 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
         source = source.join(target.select(*keys, *missing), keys, "left")
     kept = target.join(source.select(*keys), keys, "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
-
-
-def sync_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``target`` after an upsert that also drops keys the source no longer has.
-
-    That is the source itself, plus nothing: kept as an operator so that callers state
-    which of the two behaviours they want.
-    """
-    require_merge_keys(source, keys)
-    return source.select(*target.columns)

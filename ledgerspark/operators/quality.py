@@ -1,8 +1,8 @@
 """Accept or reject every transaction, with the reasons.
 
 The two occurrence counts are not windows: a window would bring all rows of one key into
-one task. Keys are counted with map-side combine, only repeated keys are kept, and those
-are joined back.
+one task. Pairs of keys are counted with map-side combine, only those that hold a repeated
+key are kept, and these are joined back once.
 """
 
 from __future__ import annotations
@@ -52,13 +52,33 @@ def stage(trusted: DataFrame) -> DataFrame:
     )
 
 
-def repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    """Non-null values of ``key`` that occur more than once, with their row counts."""
+def repeated_pairs(df: DataFrame, first: str, second: str) -> DataFrame:
+    """(first, second, count of first, count of second) where either value repeats.
+
+    One aggregate of the rows by both columns; the counts of each follow from it. The
+    null value of ``first`` is not counted (0).
+    """
+    pairs = df.groupBy(first, second).agg(F.count(F.lit(1)).alias("n"))
+
+    def repeated(key: str, name: str) -> DataFrame:
+        return (
+            pairs.where(F.col(key).isNotNull())
+            .groupBy(key)
+            .agg(F.sum("n").alias(name))
+            .where(F.col(name) > 1)
+        )
+
+    once = F.when(F.col(first).isNull(), F.lit(0)).otherwise(F.lit(1)).cast("bigint")
     return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("occurrences"))
-        .where(F.col("occurrences") > 1)
+        pairs.join(repeated(first, "first_count"), first, "left")
+        .join(repeated(second, "second_count"), second, "left")
+        .where("first_count > 1 OR second_count > 1")
+        .select(
+            first,
+            second,
+            F.coalesce("first_count", once).alias("first_count"),
+            F.coalesce("second_count", F.lit(1).cast("bigint")).alias("second_count"),
+        )
     )
 
 
@@ -75,42 +95,30 @@ def own_exchange(aggregated: DataFrame) -> DataFrame:
 def add_occurrences(staged: DataFrame, *, write_counts: bool = False) -> DataFrame:
     """Row counts per transaction id (0 for a null id) and per surrogate key.
 
-    The joins carry no hint: AQE splits the partitions of hot keys and turns a join into
-    a broadcast when the repeated keys prove small. Rows without an id stay out of the id
-    join, where they would all meet in one partition. With ``write_counts`` the repeated
-    keys are written to the scratch area first, so that Catalyst knows their true size
-    before it plans: if it is small, the wide rows are never shuffled.
+    One join on both keys, so that rows without an id are spread by their surrogate key.
+    It carries no hint: AQE splits the partitions of hot keys and turns the join into a
+    broadcast when the repeated keys prove small. With ``write_counts`` the repeated keys
+    are written to the scratch area first, so that Catalyst knows their true size before it
+    plans: if it is small, the wide rows are never shuffled.
     """
-    ids = repeated_keys(staged, "transaction_id")
-    sks = repeated_keys(staged, "transaction_partner_sk")
+    repeated = repeated_pairs(staged, "transaction_id", "transaction_partner_sk")
     if write_counts:
-        ids = materialize(ids, "repeated-ids")
-        sks = materialize(sks, "repeated-sks")
+        repeated = materialize(repeated, "repeated-keys")
     else:
-        ids, sks = own_exchange(ids), own_exchange(sks)
-    ids = ids.withColumnRenamed("occurrences", "_id_count")
-    sks = sks.withColumnRenamed("occurrences", "_sk_count")
-    id_type = staged.schema["transaction_id"].dataType
+        repeated = own_exchange(repeated)
+    same = F.col("s.transaction_partner_sk").eqNullSafe(F.col("r.transaction_partner_sk")) & F.col(
+        "s.transaction_id"
+    ).eqNullSafe(F.col("r.transaction_id"))
     once, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    columns = [F.col(c) for c in staged.columns]
-    with_id = (
-        staged.where(F.col("transaction_id").isNotNull())
-        .join(ids, "transaction_id", "left")
-        .select(*columns, F.coalesce("_id_count", once).alias("transaction_id_occurrences"))
-    )
-    # The literal lets Catalyst drop this branch where only accepted rows are asked for.
-    without_id = (
-        staged.where(F.col("transaction_id").isNull())
-        .withColumn("transaction_id", F.lit(None).cast(id_type))
-        .select(*columns, none.alias("transaction_id_occurrences"))
-    )
     return (
-        with_id.unionByName(without_id)
-        .join(sks, "transaction_partner_sk", "left")
+        staged.alias("s")
+        .join(repeated.alias("r"), same, "left")
         .select(
-            *columns,
-            "transaction_id_occurrences",
-            F.coalesce("_sk_count", once).alias("transaction_partner_sk_occurrences"),
+            "s.*",
+            F.when(F.col("s.transaction_id").isNull(), none)
+            .otherwise(F.coalesce("r.first_count", once))
+            .alias("transaction_id_occurrences"),
+            F.coalesce("r.second_count", once).alias("transaction_partner_sk_occurrences"),
         )
     )
 

@@ -12,6 +12,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,10 @@ from ledgerspark.sinks.runlog import append_run, run_record
 from ledgerspark.sinks.tables import (
     drop_old_versions,
     read_or_empty,
+    read_table,
+    replace_months,
     replace_table,
+    table_exists,
     write_table,
 )
 from ledgerspark.sources import landing
@@ -111,7 +115,10 @@ def plan_bronze(spark: SparkSession, config: IngestConfig) -> BronzePlan:
         months = spark.createDataFrame([(v,) for v in impacted], "month_id int")
         to_read = m.files_to_read(current, months, unseen)
         reread = to_read.join(unseen.select("path"), "path", "left_anti")
-        # A copy that was ignored when it arrived must stay ignored in a rebuild.
+        # Copies stay ignored in a rebuild: of a new file, and of one that is no longer in
+        # the landing folder but whose rows bronze keeps.
+        gone = manifest.join(current.select("path"), "path", "left_anti")
+        reread = m.without_content_of(m.without_content_of(reread, unseen), gone)
         reread_paths = landing.path_list(m.first_copies(reread))
     return BronzePlan(
         current=current,
@@ -160,8 +167,18 @@ def _bronze_rows(
     spark: SparkSession, config: IngestConfig, paths: list[str], schema: T.StructType
 ) -> DataFrame:
     records = landing.read_records(spark, paths, schema)
-    enriched = add_event_time(records, config.time_column, config.timestamp_column)
-    return enriched.drop("source_file")
+    return add_event_time(records, config.time_column, config.timestamp_column)
+
+
+def _archived_rows(
+    spark: SparkSession, config: IngestConfig, plan: BronzePlan
+) -> DataFrame | None:
+    """Rows of the months being rebuilt whose file has left the landing folder."""
+    bronze = scan_bronze(spark, config.bronze_dir.rstrip("/"), plan.impacted)
+    if bronze is None:
+        return None
+    present = plan.current.select(F.col("path").alias("source_file"))
+    return bronze.join(present, "source_file", "left_anti").select(*bronze.columns)
 
 
 def _write_bronze(spark: SparkSession, config: IngestConfig, plan: BronzePlan) -> list[int]:
@@ -179,6 +196,10 @@ def _write_bronze(spark: SparkSession, config: IngestConfig, plan: BronzePlan) -
             if paths:
                 rows = _bronze_rows(spark, config, paths, schema)
                 append_months(rows, f"{staging}/{side}", rebalance=config.rebalance)
+        archived = _archived_rows(spark, config, plan)
+        if archived is not None:
+            append_months(archived, f"{staging}/archived", rebalance=False)
+        sides["archived"] = []
         staged = {side: scan_bronze(spark, f"{staging}/{side}") for side in sides}
         in_impacted = month_predicate(plan.impacted)
         rebuilt = [rows.where(in_impacted) for rows in staged.values() if rows is not None]
@@ -256,15 +277,22 @@ def _clear_pending(spark: SparkSession, config: IngestConfig, loaded: list[int])
     _replace_state(rest, config.state("pending"))
 
 
-def silver_rows(bronze: DataFrame, time_column: str = "created_at_timestamp") -> DataFrame:
-    return add_calendar_features(bronze, time_column)
+def _not_loaded(spark: SparkSession, config: IngestConfig, bronze: DataFrame, months: list[int]):
+    """Rows of files that the trusted table does not hold yet."""
+    if not table_exists(spark, config.trusted_dir):
+        return bronze
+    loaded = read_table(spark, config.trusted_dir).where(month_predicate(months))
+    files = loaded.select("source_file", "year", "month").distinct()
+    same = reduce(and_, [bronze[c].eqNullSafe(files[c]) for c in files.columns])
+    return bronze.join(files, same, "left_anti")
 
 
 def run_silver(spark: SparkSession, config: IngestConfig, run_log_dir: str) -> DataFrame:
     """Load pending months into the trusted table; returns the run record.
 
-    ``replace`` rebuilds the table from all of bronze; the other modes read only the
-    pending months.
+    All modes read only the pending months. ``replace`` makes them what bronze holds now,
+    ``upsert`` merges their rows, ``append`` adds the rows of files that were not loaded
+    into the month before (so a corrected file needs one of the other two).
     """
     common = {"table_name": config.table_name, "write_mode": config.write_mode}
     months = pending_month_ids(read_pending(spark, config))
@@ -274,8 +302,7 @@ def run_silver(spark: SparkSession, config: IngestConfig, run_log_dir: str) -> D
         )
         append_run(record, run_log_dir)
         return record
-    wanted = None if config.write_mode == "replace" else months
-    bronze = scan_bronze(spark, config.bronze_dir.rstrip("/"), wanted)
+    bronze = scan_bronze(spark, config.bronze_dir.rstrip("/"), months)
     if bronze is None:
         record = run_record(
             spark,
@@ -287,14 +314,20 @@ def run_silver(spark: SparkSession, config: IngestConfig, run_log_dir: str) -> D
         append_run(record, run_log_dir)
         return record
     # Bronze files hold one month each, so the load itself needs no shuffle.
-    rows = write_table(
-        silver_rows(bronze, config.timestamp_column),
-        config.trusted_dir,
-        config.write_mode,
-        config.merge_keys,
-        by_month=True,
-        rebalance=False,
-    )
+    if config.write_mode == "append":
+        bronze = _not_loaded(spark, config, bronze, months)
+    trusted = add_calendar_features(bronze, config.timestamp_column)
+    if config.write_mode == "replace" and table_exists(spark, config.trusted_dir):
+        rows = replace_months(trusted, config.trusted_dir, months, rebalance=False)
+    else:
+        rows = write_table(
+            trusted,
+            config.trusted_dir,
+            config.write_mode,
+            config.merge_keys,
+            by_month=True,
+            rebalance=False,
+        )
     record = run_record(spark, status="completed", rows_written=rows, months=months, **common)
     append_run(record, run_log_dir)
     _clear_pending(spark, config, months)

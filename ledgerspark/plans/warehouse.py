@@ -13,15 +13,15 @@ from ledgerspark.operators import marts, quality
 from ledgerspark.operators.checks import run_checks
 from ledgerspark.sinks.report import export_report
 from ledgerspark.sinks.tables import (
-    current_path,
+    current_files_sql,
     drop_old_versions,
     read_table,
     replace_table,
+    source_of,
     table_exists,
     upsert_table,
 )
-from ledgerspark.sources.relations import read_relation, validate_relation_name
-
+from ledgerspark.sources.relations import quoted, read_relation
 
 # The schema of each layer and the relations in it.
 LAYERS: Mapping[str, tuple[str, ...]] = {
@@ -156,26 +156,34 @@ def publish_views(
         "premium_transaction_quality": (every, "TRUE"),
         "premium_rejected_transactions": (every, "verdict = 'rejected'"),
     }
+    own: dict[str, tuple] = {}
     if config.incremental == "sync":
         selections["premium_transactions"] = (
             quality.ACCEPTED_COLUMNS,
             "verdict = 'accepted'",
         )
+    else:
+        kept = current_files_sql(spark, config.table("premium_transactions"))
+        own["premium_transactions"] = (quality.ACCEPTED_COLUMNS, kept)
     for schema, names in layers.items():
-        schema = validate_relation_name(schema.strip())
+        schema = quoted(schema)
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
         for name in names:
-            columns, condition = selections.get(name, (["*"], "TRUE"))
+            columns, condition = selections.get(name) or own.get(name, (["*"], "TRUE"))
             source = "premium_transaction_quality" if name in selections else name
-            path = current_path(spark, config.table(source))
+            path, _ = source_of(spark, config.table(source))
             spark.sql(
-                f"CREATE OR REPLACE VIEW {schema}.{name} AS "
+                f"CREATE OR REPLACE VIEW {schema}.{quoted(name)} AS "
                 f"SELECT {', '.join(columns)} FROM parquet.`{path}` WHERE {condition}"
             )
 
 
 def export_monthly_report(
-    spark: SparkSession, output_dir: str, relation: str = "monthly_partner_premiums"
+    spark: SparkSession,
+    output_dir: str,
+    relation: str = "monthly_partner_premiums",
+    *,
+    single_file: bool = False,
 ) -> str:
     """Export a registered monthly mart to CSV; a missing relation is an error."""
-    return export_report(read_relation(spark, relation), output_dir)
+    return export_report(read_relation(spark, relation), output_dir, single_file=single_file)

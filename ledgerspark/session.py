@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -39,7 +40,7 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerspark-"))
         root = context.getCheckpointDir()

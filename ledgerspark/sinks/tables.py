@@ -1,25 +1,29 @@
 """Path tables with whole-table replace, append and upsert.
 
 A table is a folder of versions ``v=<n>``. A version counts once its marker exists, and
-the highest one is the table, so a replace that dies half-way leaves the old table as it
-was. One writer per table at a time is assumed, as for any plain Parquet folder.
-
-A table written with ``by_month=True`` is partitioned by (year, month). An upsert into it
-rewrites only the months it touches: the new content is staged first, then swapped in, and
-an interrupted swap is finished by the next call.
+the highest one is the table, so a write that dies half-way leaves the old table as it
+was. One writer per table at a time is assumed, as for any plain Parquet folder; readers
+change nothing.
+
+A table written with ``by_month=True`` keeps its files under ``data``, by year, month and
+the write that made them; a version's marker lists which writes make up each month. A write
+that touches some months adds their files and publishes a marker that names the other months
+as they were: readers see the old table or the new one.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark import fs
-from ledgerspark.functions.calendar import month_id, month_predicate
+from ledgerspark.functions.calendar import UNDATED, month_id, month_predicate
 from ledgerspark.operators.merge import (
     repeated_merge_keys,
     require_merge_keys,
@@ -29,8 +33,8 @@ from ledgerspark.session import materialized
 from ledgerspark.sinks import months as month_sink
 
 MARKER = "_published"
-STAGED = "_staged"
-PLAN = "_plan.json"
+DATA = "data"
+WRITE = "write_id"
 WRITE_MODES = ("replace", "append", "upsert")
 
 
@@ -54,9 +58,57 @@ def current_path(spark: SparkSession, root: str) -> str:
     return versions[-1]
 
 
+def _marker(spark: SparkSession, path: str) -> dict:
+    return json.loads(fs.read_text(spark, f"{path}/{MARKER}") or "{}")
+
+
+def _month_writes(spark: SparkSession, root: str) -> dict[int, list[str]] | None:
+    """Month -> the writes it consists of; None if the table is not kept by month."""
+    months = _marker(spark, current_path(spark, root)).get("months")
+    return None if months is None else {int(m): writes for m, writes in months.items()}
+
+
+def _months_of_write(writes: dict[int, list[str]]) -> dict[str, list[int]]:
+    months: dict[str, list[int]] = {}
+    for month, names in writes.items():
+        for name in names:
+            months.setdefault(name, []).append(month)
+    return months
+
+
+def source_of(spark: SparkSession, root: str) -> tuple[str, Column]:
+    """Folder of the current version's files, and a filter for those that belong to it."""
+    writes = _month_writes(spark, root)
+    if writes is None:
+        return current_path(spark, root), F.lit(True)
+    terms = [
+        (F.col(WRITE) == name) & month_predicate(months)
+        for name, months in sorted(_months_of_write(writes).items())
+    ]
+    return f"{root}/{DATA}", reduce(or_, terms, F.lit(False))
+
+
+def current_files_sql(spark: SparkSession, root: str) -> str:
+    """The filter of :func:`source_of` as SQL text, for a catalog view."""
+    writes = _month_writes(spark, root)
+    if writes is None:
+        return "TRUE"
+    month = f"coalesce(year * 100 + month, {UNDATED})"
+    terms = [
+        f"({WRITE} = '{name}' AND {month} IN ({', '.join(map(str, sorted(months)))}))"
+        for name, months in sorted(_months_of_write(writes).items())
+    ]
+    return " OR ".join(terms) or "FALSE"
+
+
 def read_table(spark: SparkSession, root: str) -> DataFrame:
-    _finish_swap(spark, root)
-    return spark.read.parquet(current_path(spark, root))
+    folder, belongs = source_of(spark, root)
+    rows = spark.read.parquet(folder)
+    if WRITE not in rows.columns:
+        return rows
+    # The casts matter only where every month is undated and Spark sees text.
+    rows = rows.withColumns({c: F.col(c).cast("int") for c in ("year", "month")})
+    return rows.where(belongs).drop(WRITE)
 
 
 def read_or_empty(spark: SparkSession, root: str, ddl: str) -> DataFrame:
@@ -78,6 +130,27 @@ def _add_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> in
     return seen.get["rows"]
 
 
+def _publish(spark: SparkSession, path: str, **marker) -> None:
+    fs.write_text(spark, f"{path}/{MARKER}", json.dumps(marker))
+
+
+def _write_months(
+    df: DataFrame, root: str, rebalance: bool
+) -> tuple[int, set[int], str]:
+    """Add the files of one write; rows, months and the write's name."""
+    name = f"w{uuid.uuid4().hex}"
+    seen = Observation()
+    rows = (month_sink.by_month(df) if rebalance else df).observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.collect_set(month_id(F.col("year"), F.col("month"))).alias("months"),
+    )
+    rows.withColumn(WRITE, F.lit(name)).write.mode("append").partitionBy(
+        *month_sink.PARTITION_COLUMNS, WRITE
+    ).parquet(f"{root}/{DATA}")
+    return seen.get["rows"], set(seen.get["months"] or ()), name
+
+
 def replace_table(
     df: DataFrame,
     root: str,
@@ -96,18 +169,37 @@ def replace_table(
     spark = df.sparkSession
     path = _next_path(spark, root)
     if by_month:
-        rows = month_sink.append_months(df, path, rebalance=rebalance).rows
-    else:
-        rows = _add_files(df, path, partition_by)
+        rows, months, name = _write_months(df, root, rebalance)
+        if rows or not keep_if_empty:
+            _publish(spark, path, rows=rows, months={m: [name] for m in sorted(months)})
+        return rows
+    rows = _add_files(df, path, partition_by)
     if rows == 0 and keep_if_empty:
         fs.delete(spark, path)
         return 0
-    fs.write_text(spark, f"{path}/{MARKER}", json.dumps({"rows": rows, "by_month": by_month}))
+    _publish(spark, path, rows=rows)
     return rows
 
 
-def _is_by_month(spark: SparkSession, path: str) -> bool:
-    return bool(json.loads(fs.read_text(spark, f"{path}/{MARKER}") or "{}").get("by_month"))
+def replace_months(
+    df: DataFrame, root: str, months: Iterable[int], *, rebalance: bool = True
+) -> int:
+    """Make ``df`` the content of the named months; others keep their files.
+
+    A month without rows becomes empty. A missing table is created.
+    """
+    spark = df.sparkSession
+    writes = _month_writes(spark, root) if table_exists(spark, root) else {}
+    if writes is None:
+        raise ValueError(f"Table {root} is not kept by month.")
+    wanted = set(months)
+    path = _next_path(spark, root)
+    rows, found, name = _write_months(df, root, rebalance)
+    if found - wanted:
+        raise ValueError(f"Rows of months that are not replaced: {sorted(found - wanted)}.")
+    kept = {m: names for m, names in writes.items() if m not in wanted}
+    _publish(spark, path, rows=rows, months=kept | {m: [name] for m in sorted(found)})
+    return rows
 
 
 def append_table(
@@ -117,11 +209,14 @@ def append_table(
     spark = df.sparkSession
     if not table_exists(spark, root):
         return replace_table(df, root, by_month=by_month, rebalance=rebalance)
-    _finish_swap(spark, root)
-    path = current_path(spark, root)
-    if _is_by_month(spark, path):
-        return month_sink.append_months(df, path, rebalance=rebalance).rows
-    return _add_files(df, path)
+    writes = _month_writes(spark, root)
+    if writes is None:
+        return _add_files(df, current_path(spark, root))
+    path = _next_path(spark, root)
+    rows, found, name = _write_months(df, root, rebalance)
+    if rows:
+        _publish(spark, path, rows=rows, months=writes | {m: [*writes.get(m, ()), name] for m in found})
+    return rows
 
 
 def upsert_table(
@@ -156,47 +251,23 @@ def _upsert(source: DataFrame, root: str, keys: list[str], by_month: bool) -> in
     if rows == 0:
         return 0
     target = read_table(spark, root)
-    path = current_path(spark, root)
-    if _is_by_month(spark, path):
-        _upsert_months(target, source, path, keys)
-    else:
+    if _month_writes(spark, root) is None:
         replace_table(upsert_rows(target, source, keys), root)
+    else:
+        _upsert_months(target, source, root, keys)
     return rows
 
 
-def _upsert_months(target: DataFrame, source: DataFrame, path: str, keys: list[str]) -> None:
-    spark = source.sparkSession
+def _upsert_months(target: DataFrame, source: DataFrame, root: str, keys: list[str]) -> None:
     month = month_id(F.col("year"), F.col("month")).alias("m")
     # The keys and partition columns are all this scan of the target reads.
     matched = target.select(*keys, *[c for c in ("year", "month") if c not in keys]).join(
         source.select(*keys), keys, "left_semi"
     )
     touched = matched.select(month).union(source.select(month)).distinct()
-    touched_months = sorted(row["m"] for row in touched.collect())
-    affected = target.where(month_predicate(touched_months))
-    staging = f"{path}/_staging/{uuid.uuid4().hex}"
-    written = month_sink.append_months(upsert_rows(affected, source, keys), f"{staging}/data")
-    plan = {"months": touched_months, "filled": sorted(written.months)}
-    fs.write_text(spark, f"{staging}/{PLAN}", json.dumps(plan))
-    fs.write_text(spark, f"{staging}/{STAGED}", "")
-    _apply_staged(spark, path, staging)
-
-
-def _apply_staged(spark: SparkSession, path: str, staging: str) -> None:
-    """Swap staged months in. Safe to repeat: it only copies from the staged data."""
-    plan = json.loads(fs.read_text(spark, f"{staging}/{PLAN}"))
-    if plan["filled"]:
-        staged = spark.read.parquet(f"{staging}/data")
-        month_sink.rebuild_months(staged, path, plan["months"], rebalance=False)
-    else:
-        month_sink.drop_months(spark, path, plan["months"])
-    fs.delete(spark, staging)
-
-
-def _finish_swap(spark: SparkSession, root: str) -> None:
-    path = current_path(spark, root)
-    for marker in fs.glob(spark, f"{path}/_staging/*/{STAGED}"):
-        _apply_staged(spark, path, marker.rsplit("/", 1)[0])
+    months = sorted(row["m"] for row in touched.collect())
+    affected = target.where(month_predicate(months))
+    replace_months(upsert_rows(affected, source, keys), root, months)
 
 
 def write_table(
@@ -219,6 +290,14 @@ def write_table(
 
 
 def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
-    """Remove all but the newest versions, once no reader uses them any more."""
-    for path in _versions(spark, root)[:-keep]:
+    """Remove all but the newest versions and the files that none of those name."""
+    versions = _versions(spark, root)
+    for path in versions[:-keep]:
         fs.delete(spark, path)
+    used = set()
+    for path in versions[-keep:]:
+        for month, names in _marker(spark, path).get("months", {}).items():
+            used |= {f"{month_sink.month_folder(DATA, int(month))}/{WRITE}={n}" for n in names}
+    for folder in fs.glob(spark, f"{root}/{DATA}/year=*/month=*/{WRITE}=*"):
+        if not folder.endswith(tuple(used)):
+            fs.delete(spark, folder)

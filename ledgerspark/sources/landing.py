@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerspark import fs
 from ledgerspark.operators.manifest import STATE_COLUMNS, add_file_coverage
 from ledgerspark.schema import storable
+from ledgerspark.session import materialize
 
 
 def _matching(
@@ -84,26 +85,40 @@ def describe_directory(
     """Current state of all landing files.
 
     By default every file is hashed, so a change that keeps size and time is seen. With
-    ``trust_mtime`` only files whose size or time differ from the manifest are opened;
-    the others keep their stored state.
+    ``trust_mtime`` only files whose size or time differ from the manifest are opened. In
+    both cases only content that the manifest does not hold for the path is parsed; of
+    the other files the stored dates and months are taken.
     """
-    if not trust_mtime:
-        files = _matching(spark, directory, tokens, extension)
-        return _describe(files, time_column, extension)
-    listing = list_files(spark, directory, tokens, extension)
-    same = ["path", "size_bytes", "modified_at"]
-    unchanged = (
-        manifest.where(F.col("content_digest").isNotNull())
-        .join(listing, same, "left_semi")
-        .select(*STATE_COLUMNS)
-    )
-    paths = path_list(listing.join(unchanged.select("path"), "path", "left_anti"))
+    if trust_mtime:
+        seen = list_files(spark, directory, tokens, extension)
+        same = ["path", "size_bytes", "modified_at"]
+    else:
+        seen = materialize(
+            _matching(spark, directory, tokens, extension).select(
+                "path",
+                F.col("length").alias("size_bytes"),
+                F.col("modificationTime").alias("modified_at"),
+                F.sha2("content", 256).alias("content_digest"),
+            ),
+            "digests",
+        )
+        same = ["path", "content_digest"]
+    known = manifest.where(F.col("content_digest").isNotNull())
+    stored = known.select(*same, *[c for c in STATE_COLUMNS if c not in seen.columns])
+    unchanged = seen.join(stored, same).select(*STATE_COLUMNS)
+    paths = path_list(seen.join(known.select(*same), same, "left_anti"))
     if not paths:
         return unchanged
     opened = _describe(_binary(spark, paths), time_column, extension)
     return unchanged.unionByName(opened)
 
 
+def listed_path(file_path: Column) -> Column:
+    """A record's ``_metadata.file_path``, which is encoded as a URI, as listings have it."""
+    plain = F.url_decode(F.regexp_replace(file_path, "\\+", "%2B"))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
+
+
 def path_list(files: DataFrame) -> list[str]:
     """Paths in source order (first date, then path), names only.
 
@@ -143,6 +158,6 @@ def read_records(
         .schema(schema)
         .option("mode", "FAILFAST")
         .load(_literal(paths))
-        .select(*schema.fieldNames(), F.col("_metadata.file_path").alias("source_file"))
+        .select(*schema.fieldNames(), listed_path(F.col("_metadata.file_path")).alias("source_file"))
     )
 

@@ -163,7 +163,8 @@ impacted AS (
 
 EVENT_SIDES = """
 sides AS (
-  SELECT event_id, user_id, event_type, value, event_type <> 'error' AS stored,
+  SELECT event_id, user_id, event_type, value, props,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, event_type <> 'error' AS stored,
     event_type IN ('click', 'error') AS updated
   FROM events
 )"""
@@ -176,10 +177,54 @@ runs AS (
   FROM orders GROUP BY o_orderpriority
 )"""
 
+
+
+def _bronze(factor: str) -> str:
+    """Raw rows with their dates; ``factor`` scales the amounts."""
+    return f"""WITH {TXN}
+SELECT transaction_id, strftime(created_at_timestamp, '%m/%d/%Y %H:%M:%S') AS created_at,
+  amount * {factor} AS amount, currency, charged_partner, status,
+  year(created_at_timestamp)::INTEGER AS year, month(created_at_timestamp)::INTEGER AS month,
+  day(created_at_timestamp)::INTEGER AS day
+FROM txn"""
+
+
+LOADS = f"""WITH {TXN},
+r AS (
+  SELECT coalesce(year(created_at_timestamp) * 100 + month(created_at_timestamp), 0) AS m,
+    status = 'processed' AS first FROM txn),
+second AS (SELECT DISTINCT m FROM r WHERE NOT first)
+SELECT 'completed' AS silver_status, 'premium_transaction' AS table_name,
+  (SELECT count(*) FROM r WHERE first)::BIGINT AS rows_written, 'replace' AS write_mode,
+  false AS was_skipped, NULL::VARCHAR AS skip_reason,
+  (SELECT string_agg(m::VARCHAR, ',' ORDER BY m) FROM (SELECT DISTINCT m FROM r WHERE first)) AS months,
+  0::BIGINT AS still_pending
+UNION ALL SELECT 'completed', 'premium_transaction',
+  (SELECT count(*) FROM r WHERE m IN (SELECT m FROM second)), 'replace', false, NULL,
+  (SELECT string_agg(m::VARCHAR, ',' ORDER BY m) FROM second), 0
+UNION ALL SELECT 'skipped', 'premium_transaction', 0, 'replace', true,
+  'no_pending_bronze_partitions', '', 0"""
+
+# The second build: every row, and the processed rows of first days once more.
+BUILDS = f"""{STG},
+first AS (SELECT * FROM stg WHERE status = 'processed'),
+twice AS (SELECT * FROM stg UNION ALL SELECT * FROM first WHERE day = 1)"""
+
+
+def _accepted_of(source: str) -> str:
+    return f"""SELECT transaction_partner_sk, transaction_id, amount, currency, charged_partner,
+  status, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at
+FROM (SELECT *, count(*) OVER (PARTITION BY transaction_id) AS a,
+    count(*) OVER (PARTITION BY transaction_partner_sk) AS b FROM {source})
+WHERE transaction_id IS NOT NULL AND a = 1 AND b = 1 AND charged_partner IS NOT NULL
+  AND created_at IS NOT NULL AND amount > 0"""
+
+
 ORACLES: dict[str, str] = {
     "monthly_partner_premiums": MONTHLY,
     "eur_mart_from_currency_totals": MONTHLY,
-    "report_export": MONTHLY,
+    "report_export": f"""SELECT *, row_number() OVER (ORDER BY month DESC, partner ASC) AS position
+FROM ({MONTHLY})""",
     "end_to_end_from_files": MONTHLY,
     "monthly_partner_premiums_by_currency": f"""WITH {QUALITY}
 SELECT charged_partner AS partner,
@@ -246,16 +291,16 @@ FROM (SELECT DISTINCT year(created_at_timestamp)::INTEGER AS year,
         day(created_at_timestamp)::INTEGER AS day FROM txn)
 GROUP BY year, month""",
     "missing_days": f"""WITH {TXN},
-usd AS (
+odd AS (
   SELECT DISTINCT created_at_timestamp::DATE AS d FROM txn
-  WHERE currency = 'USD' AND created_at_timestamp IS NOT NULL
+  WHERE day(created_at_timestamp) % 2 = 1
 ),
-months AS (SELECT DISTINCT date_trunc('month', d)::DATE AS m FROM usd),
+months AS (SELECT DISTINCT date_trunc('month', d)::DATE AS m FROM odd),
 expected AS (
   SELECT m, unnest(generate_series(m, CASE WHEN m = DATE '2001-06-01' THEN DATE '2001-06-15'
     ELSE last_day(m) END, INTERVAL 1 DAY))::DATE AS d FROM months
 ),
-gaps AS (SELECT e.m, day(e.d)::INTEGER AS d FROM expected e ANTI JOIN usd USING (d))
+gaps AS (SELECT e.m, day(e.d)::INTEGER AS d FROM expected e ANTI JOIN odd USING (d))
 SELECT year(m)::INTEGER AS year, month(m)::INTEGER AS month,
   coalesce(string_agg(d, ',' ORDER BY d), '') AS missing_days
 FROM months LEFT JOIN gaps USING (m) GROUP BY m""",
@@ -329,9 +374,8 @@ WHERE transaction_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
 SELECT currency, count(*)::BIGINT AS n_records FROM stg
 WHERE currency NOT IN ('EUR', 'GBP') GROUP BY 1""",
     "check_relationships": f"""WITH {QUALITY}
-SELECT charged_partner AS from_field, count(*)::BIGINT AS n_records FROM stg
-WHERE charged_partner NOT IN (
-  SELECT charged_partner FROM accepted WHERE currency = 'USD' AND charged_partner IS NOT NULL)
+SELECT transaction_id AS from_field, count(*)::BIGINT AS n_records FROM stg
+WHERE transaction_id NOT IN (SELECT transaction_id FROM accepted)
 GROUP BY 1""",
     "check_unique_combination": f"""WITH {STG}
 SELECT transaction_id, charged_partner, count(*)::BIGINT AS n_records FROM stg
@@ -359,7 +403,7 @@ FROM (SELECT DISTINCT year(created_at_timestamp)::INTEGER AS year,
 GROUP BY year, month""",
     "manifest_after_ingest": f"""WITH {TXN}
 SELECT DISTINCT coalesce(year(created_at_timestamp) * 100 + month(created_at_timestamp), 0)
-  ::INTEGER AS month_id
+  ::INTEGER AS month_id, 0::BIGINT AS files_not_described
 FROM txn""",
     "bronze_rebuild": f"""WITH {TXN},
 kept AS (
@@ -369,17 +413,15 @@ kept AS (
 )
 {MONTH_TOTALS.format(source='kept')}""",
     "table_replace": f"""WITH {EVENT_SIDES}
-SELECT event_id, user_id, event_type, value * 2 AS value FROM sides WHERE updated""",
-    "incremental_sync": f"""WITH {EVENT_SIDES}
-SELECT event_id, user_id, event_type, value * 2 AS value FROM sides WHERE updated""",
+SELECT event_id, user_id, event_type, ts, props, value * 2 AS value FROM sides WHERE updated""",
     "table_append": f"""WITH {EVENT_SIDES}
-SELECT event_id, user_id, event_type, value FROM sides WHERE stored
-UNION ALL SELECT event_id, user_id, event_type, value * 2 FROM sides WHERE updated""",
+SELECT event_id, user_id, event_type, ts, props, value FROM sides WHERE stored
+UNION ALL SELECT event_id, user_id, event_type, ts, props, value * 2 FROM sides WHERE updated""",
     "table_upsert": f"""WITH {EVENT_SIDES}
-SELECT event_id, user_id, event_type, CASE WHEN updated THEN value * 2 ELSE value END AS value
+SELECT event_id, user_id, event_type, ts, props, CASE WHEN updated THEN value * 2 ELSE value END AS value
 FROM sides WHERE stored OR updated""",
     "incremental_merge": f"""WITH {EVENT_SIDES}
-SELECT event_id, user_id, event_type, CASE WHEN updated THEN value * 2 ELSE value END AS value
+SELECT event_id, user_id, event_type, ts, props, CASE WHEN updated THEN value * 2 ELSE value END AS value
 FROM sides WHERE stored OR updated""",
     "table_upsert_by_month": """
 WITH sides AS (
@@ -446,4 +488,31 @@ SELECT relation, "check", column_name, failures::BIGINT AS failures FROM (
   UNION ALL SELECT 'monthly_partner_premiums_by_currency', 'accepted_values', 'currency',
     odd_reported FROM c
 )""",
+    "ingest_correction_with_copies": _bronze("CASE WHEN status = 'processed' THEN 2 ELSE 1 END"),
+    "ingest_after_archiving": _bronze("CASE WHEN status = 'processed' THEN 1 ELSE 2 END"),
+    "append_second_file_same_month": _bronze("1"),
+    "ingest_run_log": LOADS,
+    "ingest_acknowledged_copies": f"""WITH {TXN}
+SELECT count(*)::BIGINT AS n_rows, 0::INTEGER AS not_ignored_first, 0::INTEGER AS ignored_again,
+  0::INTEGER AS files_without_a_copy
+FROM txn WHERE status = 'processed'""",
+    "warehouse_sync_two_builds": f"WITH {BUILDS} {_accepted_of('twice')}",
+    "warehouse_merge_two_builds": f"""WITH {BUILDS},
+a AS ({_accepted_of('first')}),
+b AS ({_accepted_of('twice')})
+SELECT * FROM b UNION ALL
+SELECT * FROM a WHERE transaction_partner_sk NOT IN (SELECT transaction_partner_sk FROM b)""",
+    "published_views": f"""WITH {QUALITY},
+m AS ({MONTHLY.split(QUALITY, 1)[1]})
+SELECT 'stg_premium__transactions' AS relation, count(*) AS n_rows FROM stg
+UNION ALL SELECT 'premium_transaction_quality', count(*) FROM quality
+UNION ALL SELECT 'premium_transactions', count(*) FROM accepted
+UNION ALL SELECT 'premium_rejected_transactions', count(*) FROM rejected
+UNION ALL SELECT 'dim_partner', count(DISTINCT charged_partner) FROM accepted
+UNION ALL SELECT 'dim_date', count(DISTINCT created_at::DATE) FROM accepted
+UNION ALL SELECT 'fct_transaction', count(*) FROM accepted
+UNION ALL SELECT 'monthly_partner_premiums', count(*) FROM m
+UNION ALL SELECT 'monthly_partner_premiums_by_currency', count(*) FROM (
+  SELECT DISTINCT charged_partner, currency, date_trunc('month', created_at) FROM accepted
+  WHERE status = 'processed')""",
 }
