@@ -231,7 +231,7 @@ class _Cache(dict):
         self.ranks, self.table = ranks, IdTable()
 
     def __missing__(self, piece: str) -> int:
-        self[piece] = number = self.table.add(merge(piece.encode(), self.ranks))
+        self[piece] = number = self.table.add_one(merge(piece.encode(), self.ranks))
         return number
 
 

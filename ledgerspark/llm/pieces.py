@@ -9,7 +9,7 @@ the library whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -33,6 +33,10 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
+# Marks that end words; told apart so that a word with and without one is learnt once.
+MARKS = ".,;:!?"
+
+
 class IdTable:
     """Id lists under consecutive numbers, in one growing array."""
 
@@ -42,16 +46,20 @@ class IdTable:
         self.starts: list[int] = []
         self.lengths: list[int] = []
 
-    def add(self, ids: Iterable[int]) -> int:
-        ids = np.asarray(ids, np.int32)
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> int:
+        """Add lists that stand one after the other; the number of the first."""
         end = self.used + len(ids)
         if end > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.int32)])
         self.flat[self.used : end] = ids
-        self.starts.append(self.used)
-        self.lengths.append(len(ids))
+        first = len(self.starts)
+        self.starts.extend((self.used + np.cumsum(lengths) - lengths).tolist())
+        self.lengths.extend(lengths.tolist())
         self.used = end
-        return len(self.starts) - 1
+        return first
+
+    def add_one(self, ids: list[int]) -> int:
+        return self.add(np.array(ids, np.int32), np.array([len(ids)]))
 
     def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the numbered lists, and the lengths of the lists."""
@@ -63,7 +71,7 @@ class IdTable:
 class PieceEncoder:
     """Encodes batches of texts with a byte-level tokenizer file of the tokenizers library."""
 
-    def __init__(self, path: str, max_pieces: int = 400_000, max_ids: int = 8_000_000) -> None:
+    def __init__(self, path: str, max_pieces: int = 300_000, max_ids: int = 3_000_000) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -77,7 +85,8 @@ class PieceEncoder:
 
     def _clear(self) -> None:
         self.table = IdTable()
-        self.line_break = self.table.add(self._library(["\n"])[0])
+        self.line_break = self.table.add_one(self._library(["\n"])[0])
+        self.marks = {m: self.table.add_one(self._library([m])[0]) for m in MARKS}
         self.bare: dict[str, int] = {}
         self.spaced: dict[str, int] = {}
 
@@ -95,9 +104,25 @@ class PieceEncoder:
         return [line.split(" ") for line in text.split("\n")]
 
     def _learn(self, known: dict[str, int], prefix: str, words: set[str]) -> None:
-        new = [w for w in words if w not in known]
-        for word, ids in zip(new, self._library([prefix + w for w in new])):
-            known[word] = self.table.add(ids)
+        """Encode the words that are not known, many as the lines of one text."""
+        new = words.difference(known)
+        # A mark after a letter or number is a piece of its own.
+        tailed = [w for w in new if w[-1] in MARKS and w[-2:-1].isalnum()]
+        plain = list(new.difference(tailed).union(w[:-1] for w in tailed).difference(known))
+        for at in range(0, len(plain), 20_000):
+            part = plain[at : at + 20_000]
+            ids = np.array(self._library(["\n".join([prefix + w for w in part])])[0], np.int32)
+            breaks = np.flatnonzero(ids == self.table.flat[0])
+            lengths = np.diff(np.concatenate([[-1], breaks, [len(ids)]])) - 1
+            if len(lengths) != len(part):
+                raise ValueError("The tokenizer does not keep line breaks apart.")
+            first = self.table.add(np.delete(ids, breaks), lengths)
+            known.update(zip(part, range(first, first + len(part))))
+        if tailed:
+            pairs = np.array([(known[w[:-1]], self.marks[w[-1]]) for w in tailed], np.int64)
+            ids, lengths = self.table.gather(pairs.ravel())
+            first = self.table.add(ids, lengths.reshape(-1, 2).sum(1))
+            known.update(zip(tailed, range(first, first + len(tailed))))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of ids of each."""
@@ -119,7 +144,7 @@ class PieceEncoder:
         for k, lines in enumerate(split):
             before = len(numbers)
             if lines is None:
-                numbers.append(self.table.add(next(whole)))
+                numbers.append(self.table.add_one(next(whole)))
             else:
                 for j, line in enumerate(lines):
                     if j:
