@@ -119,14 +119,16 @@ m AS (
     WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS best
   FROM p),
 l AS (
-  SELECT host AS src, unnest(list_distinct(regexp_extract_all(html,
-    '(?i)<a\s[^>]*?href\s*=\s*["'']?((?:https?:)?//[^/?#"''\s>]*|[^"''\s>]{0,1})', 1))) AS link
-  FROM p),
+  SELECT host AS src, regexp_extract_all(html,
+    '(?i)<a\s[^>]*?href\s*=\s*["'']?((?:[a-z][a-z0-9+.-]*:)?(?://[^/?#"''\s>]*)?)', 1) AS links FROM p),
+d AS (
+  SELECT src, unnest(list_distinct([CASE WHEN regexp_matches(x, '(?i)^(https?:)?//')
+      THEN translate(regexp_extract(x, '//(.*)$', 1),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+      WHEN x = '' THEN '' END FOR x IN links])) AS link FROM l),
 e AS (
-  SELECT src, dst, count(*) AS n FROM (SELECT src, CASE WHEN contains(link, '//')
-      THEN translate(regexp_extract(link, '//(.*)$', 1),
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE src END AS dst FROM l)
-  WHERE src <> '' AND dst <> '' GROUP BY src, dst),
+  SELECT src, CASE WHEN link = '' THEN src ELSE link END AS dst, count(*) AS n FROM d
+  WHERE src <> '' AND link IS NOT NULL GROUP BY 1, 2),
 f AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS w FROM e),
 b AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY dst) AS w FROM e),
 c AS (SELECT host, count(*) FILTER (best.said = 'allow') AS a, count(*) FILTER (best.said = 'block') AS d

@@ -92,30 +92,30 @@ def match_rules(
     )
 
 
+# The scheme and host of each link, as far as it has them.
+LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?(?://[^/?#"'\s>]*)?)"""
+
+
 def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """src, dst, n: links between hosts. Relative links stay on the host of their page.
+    """src, dst, n: pages of one host that link to another.
 
-    Links of other schemes (mailto:, javascript:) have no host and are left out.
+    Relative links stay on the host of their page. Links of other schemes than http and
+    https (mailto:, javascript:) are left out.
     """
+
+    def target(link: Column) -> Column:
+        host = F.translate(F.regexp_extract(link, "//(.*)$", 1), UPPER, LOWER)
+        return F.when(link.rlike("(?i)^(https?:)?//"), host).when(link == "", link)
+
+    found = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(LINK), 1)
     links = pages.select(
         host_of(F.col(url)).alias("src"),
-        F.explode(
-            F.array_distinct(
-                # The host part of each link, or the leading / of a relative one.
-                F.regexp_extract_all(
-                    F.coalesce(F.col(html), F.lit("")),
-                    F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']?((?:https?:)?//[^/?#"'\s>]*|[^"'\s>]{0,1})"""),
-                    1,
-                )
-            )
-        ).alias("link"),
+        F.explode(F.array_distinct(F.transform(found, target))).alias("link"),
     )
-    absolute = F.col("link").contains("//")
-    target = F.when(
-        absolute, F.translate(F.regexp_extract("link", "//(.*)$", 1), UPPER, LOWER)
-    ).otherwise(F.col("src"))
+    dst = F.when(F.col("link") == "", F.col("src")).otherwise(F.col("link"))
     return (
-        links.select("src", target.alias("dst"))
+        links.where("link IS NOT NULL")
+        .select("src", dst.alias("dst"))
         .where("src <> '' AND dst <> ''")
         .groupBy("src", "dst")
         .agg(F.count(F.lit(1)).alias("n"))
