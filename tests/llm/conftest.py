@@ -1,0 +1,36 @@
+import datetime as dt
+
+import pytest
+
+EMPTY = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+@pytest.fixture
+def docs(spark):
+    """Documents from (id, text) pairs, with the columns of the table."""
+
+    def make(rows):
+        full = [(i, t, "en", "s", None if t is None else len(t)) for i, t in rows]
+        return spark.createDataFrame(full, EMPTY)
+
+    return make
+
+
+@pytest.fixture
+def odd_docs(spark):
+    """Nulls in any column, an empty and a long text, repeated rows, columns with odd names."""
+    long = "word " * 30_000 + "Ende.\nüñî 漢字 😀\t\x1c end"
+    rows = [
+        (1, "one two three four five six", 1),
+        (1, "one two three four five six", 1),
+        (None, "one two  three\nfour five six", 2),
+        (None, None, None),
+        (3, None, 3),
+        (4, "", 4),
+        (5, " \n\t ", 5),
+        (6, long, 6),
+        (7, "<|endoftext|> it's 'S '' a\r\nb", 7),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, keep bigint")
+    # Names that the operators use inside.
+    return df.selectExpr("doc_id", "text", "keep AS row", "keep AS digest", "keep AS body", "keep AS `odd name`")
