@@ -84,93 +84,129 @@ def base(paths):
 
 
 def test_new_file_in_an_existing_month_is_appended(feed):
-    feed.put("premium_transaction_2024_01_01.json", [(1, "01/01/2024 00:00:00")])
+    feed.put("premium_transaction_2031_07_04.json", [(1, "07/04/2031 08:00:00")])
     feed.bronze()
-    feed.put("premium_transaction_2024_01_02.json", [(2, "01/02/2024 00:00:00")])
+    feed.put("premium_transaction_2031_07_19.json", [(2, "07/19/2031 08:00:00")])
     plan = feed.bronze()
-    assert base(plan.new_paths) == ["premium_transaction_2024_01_02.json"]
+    assert base(plan.new_paths) == ["premium_transaction_2031_07_19.json"]
     assert plan.reread_paths == []
     assert feed.ids() == [1, 2]
-    assert feed.pending() == {(2024, 1): [1, 2]}
+    assert feed.pending() == {(2031, 7): [4, 19]}
 
 
 def test_corrected_file_rebuilds_its_month(feed):
-    feed.put("premium_transaction_2024_01_01.json", [(1, "01/01/2024 00:00:00")])
-    feed.bronze()
-    feed.put("premium_transaction_2024_01_01.json", [(99, "01/01/2024 00:00:00")])
-    plan = feed.bronze()
-    assert plan.impacted == [202401]
-    assert feed.ids() == [99]
+    name = "premium_transaction_2031_07_04.json"
+    for rows in ([(1, "07/04/2031 08:00:00"), (2, "07/05/2031 08:00:00")], [(3, "07/06/2031 08:00:00")]):
+        feed.put(name, rows)
+        plan = feed.bronze()
+    assert plan.impacted == [203107]
+    assert feed.ids() == [3]
 
 
-def test_second_run_without_changes_reads_nothing(feed):
-    feed.put("premium_transactions_data_20250306.json", [(1, "03/06/2025 00:00:00")])
+def test_second_run_without_changes_parses_and_reads_nothing(feed, monkeypatch):
+    for day in (11, 12):
+        feed.put(f"premium_transaction_203108{day}.json", [(day, f"08/{day}/2031 00:00:00")])
     feed.bronze()
+
+    def parsed(*args):
+        raise AssertionError("an unchanged file was parsed")
+
+    monkeypatch.setattr(landing, "_describe", parsed)
     plan = feed.bronze()
     assert (plan.new_paths, plan.reread_paths, plan.impacted) == ([], [], [])
-    assert feed.ids() == [1]
+    assert feed.ids() == [11, 12]
 
 
 def test_payload_dates_beat_the_file_name(feed):
     feed.put(
-        "premium_transactions_data_20250306.json",
-        [(1, "06/30/2024 23:59:59"), (2, "07/01/2024 00:00:00")],
+        "premium_transaction_20310815.json",
+        [(1, "12/31/2030 23:59:59"), (2, "01/01/2031 00:00:00")],
     )
     feed.bronze()
-    assert feed.pending() == {(2024, 6): [30], (2024, 7): [1]}
-    assert not os.path.exists(f"{feed.config.bronze_dir}/year=2025")
+    assert feed.pending() == {(2030, 12): [31], (2031, 1): [1]}
+    assert not os.path.exists(f"{feed.config.bronze_dir}/year=2031/month=8")
 
 
 def test_file_without_a_date_in_its_name_uses_the_payload(feed):
-    feed.put("premium_transactions_partner_feed.json", [(1, "03/06/2025 00:00:00")])
-    feed.bronze()
-    feed.put("premium_transactions_partner_feed.json", [(2, "03/06/2025 12:00:00")])
-    plan = feed.bronze()
-    assert base(plan.reread_paths) == ["premium_transactions_partner_feed.json"]
+    for row in ((1, "02/28/2031 01:00:00"), (2, "02/28/2031 02:00:00")):
+        feed.put("premium_transactions_from_branch.json", [row])
+        plan = feed.bronze()
+    assert base(plan.reread_paths) == ["premium_transactions_from_branch.json"]
     assert feed.ids() == [2]
 
 
-def test_changed_file_over_two_months_rereads_their_files(feed):
-    feed.put(
-        "premium_transactions_partner_feed.json",
-        [(1, "01/31/2025 23:00:00"), (2, "02/01/2025 00:10:00")],
-    )
-    feed.put("premium_transaction_2025_02_02.json", [(3, "02/02/2025 00:00:00")])
+def test_changed_file_over_a_year_end_rereads_the_files_of_both_months(feed):
+    wide, near, far = (f"premium_transaction_{x}.json" for x in ("wide", "near", "far"))
+    feed.put(wide, [(1, "12/31/2030 20:00:00"), (2, "01/01/2031 04:00:00")])
+    feed.put(near, [(3, "01/20/2031 00:00:00")])
+    feed.put(far, [(4, "03/20/2031 00:00:00")])
     feed.bronze()
-    feed.put(
-        "premium_transactions_partner_feed.json",
-        [(10, "01/31/2025 23:00:00"), (20, "02/01/2025 00:10:00")],
-    )
+    feed.put(wide, [(5, "12/31/2030 20:00:00"), (6, "01/01/2031 04:00:00")])
     plan = feed.bronze()
-    assert feed.names(plan.changed) == ["premium_transactions_partner_feed.json"]
-    assert base(plan.reread_paths) == [
-        "premium_transaction_2025_02_02.json",
-        "premium_transactions_partner_feed.json",
-    ]
-    assert feed.ids() == [3, 10, 20]
+    assert feed.names(plan.changed) == [wide]
+    assert base(plan.reread_paths) == [near, wide]
+    assert feed.ids() == [3, 4, 5, 6]
 
 
 def test_late_copy_is_ignored_and_then_acknowledged(feed):
-    rows = [(1, "01/01/2024 00:00:00")]
-    feed.put("premium_transaction_2024_01_01.json", rows)
+    rows = [(1, "05/09/2031 00:00:00")]
+    feed.put("premium_transaction_20310509.json", rows)
     feed.bronze()
-    feed.put("premium_transaction_2024_01_01_copy.json", rows)
+    feed.put("premium_transaction_resent_20310509.json", rows)
     plan = feed.bronze()
     assert plan.new_paths == []
-    assert feed.names(plan.ignored) == ["premium_transaction_2024_01_01_copy.json"]
+    assert feed.names(plan.ignored) == ["premium_transaction_resent_20310509.json"]
     assert feed.names(feed.bronze().ignored) == []
     assert feed.ids() == [1]
 
 
 def test_copies_that_arrive_together_are_read_once(feed):
-    rows = [(1, "03/06/2025 00:00:00")]
-    feed.put("premium_transactions_data_20250306.json", rows)
-    feed.put("premium_transactions_data_20250306_copy.json", rows)
+    names = [f"premium_transaction_{k}_20310509.json" for k in "abc"]
+    for name in names:
+        feed.put(name, [(1, "05/09/2031 00:00:00")])
     plan = feed.bronze()
-    assert base(plan.new_paths) == ["premium_transactions_data_20250306.json"]
-    assert feed.names(plan.ignored) == ["premium_transactions_data_20250306_copy.json"]
+    assert base(plan.new_paths) == names[:1]
+    assert feed.names(plan.ignored) == names[1:]
     assert feed.ids() == [1]
-    assert len(feed.names(read_manifest(feed.spark, feed.config))) == 2
+    assert feed.names(read_manifest(feed.spark, feed.config)) == names
+
+
+def test_copies_of_a_new_file_next_to_a_correction(feed):
+    feed.put("premium_transaction_a_20310501.json", [(1, "05/01/2031 00:00:00")])
+    feed.bronze()
+    feed.put("premium_transaction_a_20310501.json", [(9, "05/01/2031 00:00:00")])
+    for name in ("b", "b_again"):
+        feed.put(f"premium_transaction_{name}_20310502.json", [(2, "05/02/2031 00:00:00")])
+    plan = feed.bronze()
+    assert feed.names(plan.ignored) == ["premium_transaction_b_again_20310502.json"]
+    assert feed.ids() == [2, 9]
+
+
+def test_copies_after_a_crash_of_the_first_run(feed, monkeypatch):
+    for name in ("a", "b"):
+        feed.put(f"premium_transaction_{name}_20310501.json", [(2, "05/01/2031 00:00:00")])
+
+    def crash(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(ingest, "_save_manifest", crash)
+    with pytest.raises(RuntimeError):
+        feed.bronze()
+    monkeypatch.undo()
+    feed.bronze()
+    assert feed.ids() == [2]
+
+
+def test_rows_of_an_archived_file_survive_a_rebuild(feed):
+    gone = feed.put("premium_transaction_a_20310501.json", [(1, "05/01/2031 00:00:00")])
+    feed.put("premium_transaction_copy_20310501.json", [(1, "05/01/2031 00:00:00")])
+    feed.put("premium_transaction_b_20310502.json", [(2, "05/02/2031 00:00:00")])
+    feed.bronze()
+    gone.unlink()
+    for row in (3, 4):
+        feed.put("premium_transaction_b_20310502.json", [(row, "05/02/2031 00:00:00")])
+        feed.bronze()
+        assert feed.ids() == [1, row]
 
 
 def test_ignored_copy_stays_ignored_in_a_rebuild(feed):
@@ -379,16 +415,15 @@ def test_other_write_modes_read_only_pending_months(spark, tmp_path, mode):
     feed.put("premium_transaction_20250202.json", [(3, "02/02/2025 00:00:00")])
     feed.bronze()
     feed.load()
-    expected = [1, 2, 2, 3] if mode == "append" else [1, 2, 3]
-    assert feed.trusted_ids() == expected
+    assert feed.trusted_ids() == [1, 2, 3]
 
 
 def test_gaps_of_pending_months(feed):
-    feed.put("premium_transaction_20260401.json",
-             [(i, f"04/{i:02d}/2026 00:00:00") for i in (1, 2, 3, 5, 16)])
+    feed.put("premium_transaction_20280201.json",
+             [(i, f"02/{i:02d}/2028 00:00:00") for i in range(3, 28)])
     feed.bronze()
-    gaps = ingest.pending_gaps(feed.spark, feed.config, date(2026, 4, 16)).collect()
-    assert gaps == [(2026, 4, [4, *range(6, 16)])]
+    gaps = ingest.pending_gaps(feed.spark, feed.config, date(2028, 3, 1)).collect()
+    assert gaps == [(2028, 2, [1, 2, 28, 29])]
 
 
 def test_nothing_written_without_files(feed):

@@ -189,7 +189,7 @@ def test_hot_keys_are_split_at_run_time(splitting, hot_id, write_counts):
     assert found == {(0 if hot_id is None else 20000, 20000): 20000, (1, 1): 40000}
     plan = final_plan(counted)
     # Without ids there is no repeated id to join, only the shared surrogate key.
-    assert plan.count("SortMergeJoin(skew=true)") == (1 if hot_id is None else 2), plan
+    assert plan.count("SortMergeJoin(skew=true)") == 1, plan
 
 
 def test_accepted_rows_never_read_the_rows_without_id(spark):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark import fs
-from ledgerspark.operators.merge import sync_rows, upsert_rows
+from ledgerspark.operators.merge import upsert_rows
 from ledgerspark.sinks import months, tables
 
 DDL = "id bigint, v string"
@@ -84,37 +84,54 @@ def test_upsert_rewrites_only_touched_months(spark, tmp_path):
     tables.upsert_table(frame(spark, rows, MONTH_DDL), root, ["id"], by_month=True)
 
     def files():
-        path = tables.current_path(spark, root).removeprefix("file:")
-        return {
-            (folder, name)
-            for folder, _, names in os.walk(path)
-            for name in names
-            if name.startswith("part-")
-        }
+        _, belongs = tables.source_of(spark, root)
+        rows = spark.read.parquet(f"{root}/data").where(belongs)
+        return {tuple(r) for r in rows.select("month", "_metadata.file_path").distinct().collect()}
 
     before = files()
     tables.upsert_table(frame(spark, [(2, "x", 2024, 5)], MONTH_DDL), root, ["id"], by_month=True)
-    changed = {folder.rsplit("month=", 1)[1] for folder, _ in before ^ files()}
-    assert changed == {"2", "5"}
+    assert {month for month, _ in before ^ files()} == {2, 5}
     assert content(spark, root) == [(1, "a"), (2, "x"), (3, "a"), (4, "a"), (5, "a"), (6, "a")]
 
 
-def test_interrupted_swap_is_finished_by_the_next_read(spark, tmp_path, monkeypatch):
+def everything_in(folder):
+    return {(top, name) for top, _, names in os.walk(folder) for name in names}
+
+
+def test_readers_of_a_stopped_upsert_get_the_old_table_and_change_nothing(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "t")
     rows = [(1, "a", 2024, 1), (2, "b", 2024, 2)]
     tables.upsert_table(frame(spark, rows, MONTH_DDL), root, ["id"], by_month=True)
-    real = months.drop_months
+    update = frame(spark, [(2, "B", 2024, 3)], MONTH_DDL)
 
-    def dies(spark_, path, wanted):
+    def dies(*args, **kwargs):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(months, "drop_months", dies)
+    monkeypatch.setattr(tables, "_publish", dies)
     with pytest.raises(RuntimeError):
-        tables.upsert_table(
-            frame(spark, [(2, "B", 2024, 3)], MONTH_DDL), root, ["id"], by_month=True
-        )
-    monkeypatch.setattr(months, "drop_months", real)
+        tables.upsert_table(update, root, ["id"], by_month=True)
+    monkeypatch.undo()
+    before = everything_in(root)
+    assert content(spark, root) == [(1, "a"), (2, "b")]
+    assert everything_in(root) == before
+    tables.upsert_table(update, root, ["id"], by_month=True)
+    assert content(spark, root) == [(1, "a"), (2, "B")]
+    # What the stopped write left behind goes with the old versions.
+    tables.drop_old_versions(spark, root, keep=1)
     assert content(spark, root) == [(1, "a"), (2, "B")]
+    assert len([x for x in everything_in(root) if x[1].startswith("part-")]) == 2
+
+
+def test_replacing_months_leaves_others_and_empties_named_ones(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = [(1, "a", 2024, 1), (2, "b", 2024, 2), (3, "c", None, None)]
+    tables.replace_table(frame(spark, rows, MONTH_DDL), root, by_month=True)
+    old = tables.read_table(spark, root)
+    assert tables.replace_months(frame(spark, [(9, "z", None, None)], MONTH_DDL), root, [0, 202402]) == 1
+    assert content(spark, root) == [(1, "a"), (9, "z")]
+    assert old.count() == 3
+    with pytest.raises(ValueError, match="202401"):
+        tables.replace_months(frame(spark, rows, MONTH_DDL), root, [202402, 0])
 
 
 def test_upsert_guards(spark, tmp_path):
@@ -137,10 +154,9 @@ def test_upsert_keeps_columns_the_source_lacks(spark):
     assert found == {1: (1, "x", 2024, 1), 2: (2, "y", None, None)}
 
 
-def test_key_only_rows_and_sync(spark):
+def test_key_only_rows(spark):
     target, source = frame(spark, [(1,), (2,)], "id bigint"), frame(spark, [(2,), (3,)], "id bigint")
     assert sorted(r[0] for r in upsert_rows(target, source, ["id"]).collect()) == [1, 2, 3]
-    assert sorted(r[0] for r in sync_rows(target, source, ["id"]).collect()) == [2, 3]
 
 
 def test_rebuild_replaces_only_its_months(spark, tmp_path):

@@ -15,12 +15,8 @@ from ledgerspark.plans.warehouse import (
     publish_views,
     register,
 )
-from ledgerspark.sinks.report import REPORT_NAME, export_report
-from ledgerspark.sources.relations import (
-    read_relation,
-    split_relation_name,
-    validate_relation_name,
-)
+from ledgerspark.sinks.report import REPORT_NAME, export_report, read_report
+from ledgerspark.sources.relations import quoted, read_relation
 
 DDL = (
     "transaction_id string, created_at string, amount double, currency string, "
@@ -148,19 +144,20 @@ def mart(spark):
     )
 
 
-def test_report_is_one_ordered_file(spark, tmp_path):
+def test_report_as_one_ordered_file_on_demand(spark, tmp_path):
     for _ in range(2):
-        path = export_report(mart(spark), str(tmp_path))
+        path = export_report(mart(spark), str(tmp_path), single_file=True)
     assert path == f"{tmp_path}/{REPORT_NAME}"
     assert (tmp_path / REPORT_NAME).read_text().splitlines() == [
         "partner,month,total_premium", "Z,2024-02-01,", "a,2024-01-01,2.00", "b,2024-01-01,1.50",
     ]
 
 
-def test_large_report_is_a_folder_in_order(spark, tmp_path):
-    path = export_report(mart(spark), str(tmp_path), single_file_rows=2)
+def test_report_is_a_folder_in_order(spark, tmp_path):
+    path = export_report(mart(spark), str(tmp_path))
     assert (tmp_path / REPORT_NAME).is_dir()
-    assert spark.read.csv(path, header=True).count() == 3
+    rows = read_report(spark, path).orderBy("position").collect()
+    assert [(r["position"], r["partner"]) for r in rows] == [(1, "Z"), (2, "a"), (3, "b")]
 
 
 def test_views_and_export_by_name(spark, tmp_path):
@@ -174,7 +171,7 @@ def test_views_and_export_by_name(spark, tmp_path):
         assert accepted.columns == relations["premium_transactions"].columns
         assert read_relation(spark, "staging.stg_premium__transactions").count() == 5
         path = export_monthly_report(
-            spark, str(tmp_path / "gold"), "analytics.monthly_partner_premiums"
+            spark, str(tmp_path / "gold"), "analytics.monthly_partner_premiums", single_file=True
         )
         with open(path, encoding="utf-8") as lines:
             assert lines.read().splitlines()[1:] == ["r,2024-03-01,5.00", "p,2024-01-01,10.00"]
@@ -184,11 +181,26 @@ def test_views_and_export_by_name(spark, tmp_path):
             spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
 
 
-def test_relation_names(spark):
-    assert split_relation_name("analytics.mart") == ("analytics", "mart")
-    assert split_relation_name("mart") == (None, "mart")
-    for name in ("a.b.c", "1a", "a;drop", "", "a b"):
-        with pytest.raises(ValueError):
-            validate_relation_name(name)
+def test_names_are_quoted_part_by_part(spark):
+    assert quoted("main.sales . by month") == "`main`.`sales`.`by month`"
+    assert quoted("odd`name") == "`odd``name`"
+    for name in ("", "a..b", ".a"):
+        with pytest.raises(ValueError, match="Not a relation name"):
+            quoted(name)
     with pytest.raises(ValueError, match="does not exist"):
-        read_relation(spark, "no_such_relation")
+        read_relation(spark, "nothing here")
+    spark.range(3).createOrReplaceTempView("three_rows")
+    assert read_relation(spark, " three_rows ").count() == 3
+
+
+def test_views_of_a_merged_warehouse_show_its_current_months(spark, tmp_path):
+    config = WarehouseConfig(str(tmp_path / "w"), incremental="merge")
+    layers = {"merged_layer": ("premium_transactions", "fct_transaction")}
+    try:
+        for rows in (FIRST, SECOND):
+            relations = build_warehouse(spark, trusted(spark, rows), config)
+            publish_views(spark, config, layers)
+            view = read_relation(spark, "merged_layer.premium_transactions")
+            assert ids(view) == ids(relations["premium_transactions"])
+    finally:
+        spark.sql("DROP SCHEMA IF EXISTS merged_layer CASCADE")
