@@ -7,6 +7,7 @@ no shuffle and no explode, so the longest text is the only thing a task must hol
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -72,47 +73,48 @@ def line_fails(line: Column, rules: QualityRules) -> Column:
     return (chars > 0) & (punctuation | navigation | boilerplate)
 
 
-def _add_repeat_words(rows: DataFrame) -> DataFrame:
-    """Add ``repeat_words``: words of ``words`` in a 3-word window found twice or more.
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once, however often and wherever ``body`` uses it.
+
+    A column used within a lambda is not enough: where Catalyst merges projections or pushes
+    a filter down, its expression would be made again for each element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _repeat_words(words: Column) -> Column:
+    """Words that lie in a 3-word window found twice or more.
 
     Windows are sorted with their places; those with an equal neighbour are repeated. Each
-    step is a column of its own, so that the next one refers to it by name only.
+    of them adds the words up to the next repeated one, three at most.
     """
-    words, windows, placed, starts = (F.col(c) for c in ("words", "windows", "placed", "starts"))
-    n = F.size(words)
     # Words hold no space, so joining them by one keeps different windows different.
-    rows = rows.withColumn(
-        "windows",
-        F.transform(
-            F.slice(words, 1, F.greatest(n - 2, F.lit(0))),
-            lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)),
-        ),
-    )
-    rows = rows.withColumn(
-        "placed",
-        F.when(
-            F.size(F.array_distinct(windows)) < F.size(windows),
-            F.sort_array(
-                F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-            ),
-        ),
+    windows = F.transform(
+        F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
+        lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)),
     )
 
-    def repeated(x: Column, k: Column) -> Column:
-        same = [F.get(placed, k + d)["w"] == x["w"] for d in (-1, 1)]
-        return F.coalesce(same[0], F.lit(False)) | F.coalesce(same[1], F.lit(False))
+    def starts(placed: Column) -> Column:
+        def repeated(x: Column, k: Column) -> Column:
+            same = [F.get(placed, k + d)["w"] == x["w"] for d in (-1, 1)]
+            return F.coalesce(same[0], F.lit(False)) | F.coalesce(same[1], F.lit(False))
 
-    rows = rows.withColumn(
-        "starts", F.sort_array(F.transform(F.filter(placed, repeated), lambda x: x["i"]))
-    )
-    # A repeated window adds the words up to the next repeated one, three at most.
-    steps = F.transform(
-        starts, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(starts, k + 1) - p, F.lit(3)))
-    )
-    covered = F.aggregate(steps, F.lit(0), lambda total, step: total + step)
-    return rows.withColumn("repeat_words", F.coalesce(covered, F.lit(0))).drop(
-        "windows", "placed", "starts"
-    )
+        return F.sort_array(F.transform(F.filter(placed, repeated), lambda x: x["i"]))
+
+    def covered(found: Column) -> Column:
+        steps = F.transform(
+            found, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(found, k + 1) - p, F.lit(3)))
+        )
+        return F.aggregate(steps, F.lit(0), lambda total, step: total + step)
+
+    def count(made: Column) -> Column:
+        placed = F.sort_array(F.transform(made, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+        return F.when(
+            F.size(F.array_distinct(made)) < F.size(made),
+            _let(placed, lambda x: _let(starts(x), covered)),
+        ).otherwise(F.lit(0))
+
+    return _let(windows, count)
 
 
 def quality_rules(
@@ -138,24 +140,30 @@ def quality_rules(
     )
     rows = rows.withColumns(
         {
-            "words": words_of(F.col("body")),
-            "lines": F.filter(F.split("body", "\n"), lambda x: x.rlike(WORD)),
+            "words": _let(
+                words_of(F.col("body")),
+                lambda w: F.struct(F.size(w).alias("n"), _repeat_words(w).alias("repeated")),
+            ),
+            "n_dup_lines": _let(
+                F.filter(F.split("body", "\n"), lambda x: x.rlike(WORD)),
+                lambda lines: F.size(lines) - F.size(F.array_distinct(lines)),
+            ),
             "clean_text": F.array_join(
                 F.filter(F.split("body", "\n"), lambda x: ~line_fails(x, rules)), "\n"
             ),
         }
     )
-    rows = _add_repeat_words(rows).select(
+    rows = rows.select(
         "document",
         "doc_id",
         "clean_text",
-        F.size("words").cast("bigint").alias("n_words"),
+        F.col("words.n").cast("bigint").alias("n_words"),
         _without(F.col("body"), SPACES).cast("bigint").alias("word_chars"),
         (F.char_length("body") - _without(F.col("body"), SYMBOLS))
         .cast("bigint")
         .alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        F.col("repeat_words").cast("bigint").alias("n_repeat_words"),
+        F.col("n_dup_lines").cast("bigint").alias("n_dup_lines"),
+        F.col("words.repeated").cast("bigint").alias("n_repeat_words"),
     )
     failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
@@ -180,7 +188,10 @@ def clean_documents(
 
     ``n_chars``, if the table has it, is counted anew.
     """
-    judged = quality_rules(docs, doc_id, text, rules).where("kept")
+    judged = quality_rules(docs, doc_id, text, rules)
+    # The row number keeps the filter above the judgement; pushed below, it would judge twice.
+    judged = judged.withColumn("row_number", F.monotonically_increasing_id())
+    judged = judged.where("kept AND row_number >= 0")
     new = {text: F.col("clean_text")}
     if n_chars in docs.columns:
         new[n_chars] = F.char_length("clean_text").cast(docs.schema[n_chars].dataType)
