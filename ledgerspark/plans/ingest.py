@@ -23,7 +23,7 @@ from ledgerspark.functions.calendar import add_calendar_features, month_id, mont
 from ledgerspark.functions.eventtime import add_event_time
 from ledgerspark.operators import manifest as m
 from ledgerspark.operators.coverage import day_coverage, missing_days, pending_month_ids
-from ledgerspark.schema import load_schema, save_schema
+from ledgerspark.schema import load_schema, save_schema, schema_drift
 from ledgerspark.session import materialize, scratch_folder
 from ledgerspark.sinks.months import append_months, rebuild_months
 from ledgerspark.sinks.runlog import append_run, run_record
@@ -39,6 +39,7 @@ from ledgerspark.sinks.tables import (
 from ledgerspark.sources import landing
 from ledgerspark.sources.bronze import scan_bronze
 
+DRIFT_DDL = "field string, frozen_type string, observed_type string, status string"
 PENDING_DDL = "year int, month int, days array<int>"
 
 
@@ -59,6 +60,8 @@ class IngestConfig:
     write_mode: str = "replace"
     merge_keys: Sequence[str] = field(default_factory=tuple)
     trust_mtime: bool = False
+    # Compare the fields of the files to read with the kept schema: one more pass over them.
+    report_drift: bool = False
     rebalance: bool = True
     # Versions of the trusted table to keep after a load, for readers still on the last one.
     keep_versions: int = 2
@@ -89,6 +92,11 @@ def read_pending(spark: SparkSession, config: IngestConfig) -> DataFrame:
     return read_or_empty(spark, config.state("pending"), PENDING_DDL)
 
 
+def read_drift(spark: SparkSession, config: IngestConfig) -> DataFrame:
+    """Fields in which the files of the last write differ from the kept schema."""
+    return read_or_empty(spark, config.state("drift"), DRIFT_DDL)
+
+
 def plan_bronze(spark: SparkSession, config: IngestConfig) -> BronzePlan:
     """Compare the landing folder with the manifest. Changes nothing."""
     manifest = read_manifest(spark, config)
@@ -183,7 +191,11 @@ def _archived_rows(
 
 def _write_bronze(spark: SparkSession, config: IngestConfig, plan: BronzePlan) -> list[int]:
     """Append new files, rebuild impacted months; returns the months written."""
-    schema = _schema(spark, config, plan.new_paths + plan.reread_paths)
+    paths = plan.new_paths + plan.reread_paths
+    schema = _schema(spark, config, paths)
+    if config.report_drift and paths:
+        found = schema_drift(schema, landing.observe_schema(spark, paths), spark)
+        _replace_state(found, config.state("drift"))
     bronze = config.bronze_dir.rstrip("/")
     if not plan.impacted:
         rows = _bronze_rows(spark, config, plan.new_paths, schema)

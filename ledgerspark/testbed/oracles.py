@@ -492,6 +492,11 @@ SELECT relation, "check", column_name, failures::BIGINT AS failures FROM (
     "ingest_after_archiving": _bronze("CASE WHEN status = 'processed' THEN 1 ELSE 2 END"),
     "append_second_file_same_month": _bronze("1"),
     "ingest_run_log": LOADS,
+    "schema_drift_report": f"""WITH {TXN}
+SELECT field, frozen_type, observed_type, status,
+  (SELECT count(*) FROM txn WHERE status <> 'processed')::BIGINT AS rows_without_status
+FROM (VALUES ('status', 'string', NULL, 'missing'), ('channel', NULL, 'string', 'added'))
+  AS d(field, frozen_type, observed_type, status)""",
     "ingest_acknowledged_copies": f"""WITH {TXN}
 SELECT count(*)::BIGINT AS n_rows, 0::INTEGER AS not_ignored_first, 0::INTEGER AS ignored_again,
   0::INTEGER AS files_without_a_copy

@@ -24,6 +24,7 @@ from ledgerspark.functions.money import to_eur
 from ledgerspark.operators import checks, coverage, manifest, marts, merge, quality
 from ledgerspark.plans.ingest import (
     IngestConfig,
+    read_drift,
     read_manifest,
     read_pending,
     run_bronze,
@@ -736,6 +737,20 @@ def append_second_file_same_month(spark, sf_dir):
     return comparable(trusted.select(*RAW_FIELDS, "year", "month", "day"))
 
 
+@query
+def schema_drift_report(spark, sf_dir):
+    """The second delivery lacks the status and says through which channel it came."""
+    config, _, first, second = _split_feed(spark, sf_dir, report_drift=True)
+    write_landing(first, config.landing_dir)
+    run_bronze(spark, config)
+    write_landing(second.drop("status").withColumn("channel", F.lit("branch")), config.landing_dir)
+    run_bronze(spark, config)
+    rows = month_sink.read_months(spark, config.bronze_dir)
+    drift = read_drift(spark, config)
+    without = rows.where(F.col("status").isNull()).count()
+    return drift.withColumn("rows_without_status", F.lit(without).cast("bigint"))
+
+
 @query
 def ingest_run_log(spark, sf_dir):
     """Two loads and a skip, with months and rows as the log has them."""
