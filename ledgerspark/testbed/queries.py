@@ -568,6 +568,10 @@ def write_landing(df: DataFrame, directory: str) -> None:
     rows.mapInPandas(as_array, "value string").write.mode("append").text(directory)
 
 
+# A JSON array is read by one task, so landing files are kept to about 8 MB.
+ROWS_PER_FILE = 50_000
+
+
 def _feed(spark, sf_dir, **options) -> tuple[IngestConfig, str, DataFrame]:
     """An empty feed and the records that belong into its landing folder."""
     root = scratch_path(spark, "feed")
@@ -581,8 +585,8 @@ def _feed(spark, sf_dir, **options) -> tuple[IngestConfig, str, DataFrame]:
         schema=RAW_SCHEMA,
         **options,
     )
-    # As many files as the input and the advised partition size give, whatever the keys.
-    return config, root, rows.hint("rebalance")
+    # Files of moderate size: their number follows the data, their rows no key.
+    return config, root, rows.repartition(max(1, -(-rows.count() // ROWS_PER_FILE)))
 
 
 def _landing_config(spark, sf_dir, **options) -> tuple[IngestConfig, str]:
