@@ -52,13 +52,37 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/ledgerspark/{label}-{uuid.uuid4().hex}"
 
 
+# Scratch tables that materialize() made and nobody has removed, oldest first.
+_MADE: list[str] = []
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch area and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives Catalyst the true
     size of the result, so that it broadcasts it in a later join only if it is small.
     """
-    return _store(df, scratch_path(df.sparkSession, label))
+    path = scratch_path(df.sparkSession, label)
+    _MADE.append(path)
+    return _store(df, path)
+
+
+@contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """The tables that :func:`materialize` makes within the block, for :func:`remove_scratch`."""
+    made: list[str] = []
+    begin = len(_MADE)
+    try:
+        yield made
+    finally:
+        made += _MADE[begin:]
+        del _MADE[begin:]
+
+
+def remove_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables once no frame that reads them is used any more; empties the list."""
+    while paths:
+        fs.delete(spark, paths.pop())
 
 
 def _store(df: DataFrame, path: str) -> DataFrame:
