@@ -76,21 +76,29 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", salt
 
     Of rows that repeat id and text any one stays.
     """
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("id"), *_content(text))
-    keyed = keyed.select("row", "id", "digest", F.xxhash64("norm").alias("check"))
-    kept = (
-        winners(docs, doc_id, text, salts)
-        .select("digest", "check", F.col("keep_id").alias("id"), "group_size")
-    )
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(doc_id).alias("id"),
+        *_content(text),
+    ).select("row", "id", "digest", F.xxhash64("norm").alias("check"))
     same = (
         (F.col("l.digest") == F.col("r.digest"))
         & (F.col("l.check") == F.col("r.check"))
         & F.col("l.id").eqNullSafe(F.col("r.id"))
     )
-    found = keyed.alias("l").join(kept.alias("r"), same).select("l.*", "r.group_size")
-    # Only rows of a group can repeat; a hot group has one id here, so few rows.
-    found = materialize(found, "kept-documents")
-    alone = found.where("group_size = 1").select("row.*")
-    grouped = found.where("group_size > 1")
-    first = grouped.groupBy("digest", "check").agg(F.first("row").alias("row")).select("row.*")
-    return alone.unionByName(first)
+    first = winners(docs, doc_id, text, salts).select("digest", "check", F.col("keep_id").alias("id"))
+    copies = keyed.groupBy("digest", "check", "id").agg(F.count(F.lit(1)).alias("copies"))
+    # Digests and ids only: the texts are shuffled once more, to be joined with these.
+    kept = materialize(
+        first.alias("l").join(copies.alias("r"), same).select("l.*", "r.copies"), "kept-ids"
+    )
+
+    def rows_of(wanted: DataFrame) -> DataFrame:
+        return keyed.alias("l").join(wanted.alias("r"), same).select("l.*")
+
+    alone = rows_of(kept.where("copies = 1")).select("row.*")
+    repeated = kept.where("copies > 1")
+    if repeated.isEmpty():
+        return alone
+    one = rows_of(repeated).groupBy("digest", "check").agg(F.first("row").alias("row"))
+    return alone.unionByName(one.select("row.*"))
