@@ -14,9 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +36,9 @@ class LmConfig:
     units: int = 2048  # subwords told apart; the rare ones share a unit
     classes: int = 64  # of units that have like neighbours
     rounds: int = 2
-    every: int = 8  # of a training document, a round takes one window in so many
+    every: int = 16  # of a training document, a round takes one window in so many
     batch: int = 64
-    rate: float = 0.005
+    rate: float = 0.015
     smoothing: float = 0.1  # of a subword's share of its unit
     prior: float = 20.0  # weight of the plain frequencies in what follows a unit
     seed: int = 7
@@ -45,6 +47,8 @@ class LmConfig:
 # ------------------------------------------------------------------ the model, in numpy
 
 
+# Numbers of blocks and, within a block, of documents; together they fit 63 bits.
+BLOCKS_PER_TASK, DOCUMENTS_PER_BLOCK = 1 << 18, 1 << 20
 PAD, START = 0, 1  # units of the place before a text and of its start
 
 
@@ -109,7 +113,7 @@ def make_language(units: Units, pairs: np.ndarray, config: LmConfig) -> Language
     """From counts of (unit, next unit) over all training documents."""
     classes = cluster_units(pairs, config)
     plain = pairs.sum(0) + config.smoothing
-    plain[[PAD, START]] = 1e-9  # nothing is followed by these
+    plain[~np.isin(np.arange(len(plain)), units.of)] = 1e-9  # not a unit of any subword
     follows = (pairs + config.prior * plain / plain.sum()) / (pairs.sum(1, keepdims=True) + config.prior)
     mass = np.zeros((len(pairs), config.classes))
     for k in range(config.classes):
@@ -249,57 +253,90 @@ def windows(texts: list[np.ndarray], units: Units, step: int):
     return np.concatenate([inputs[place], inputs[place + 1]], 1), target, valid, rows
 
 
-def score_texts(
-    texts: list[np.ndarray], model: Attention, language: Language, chunk: int = 128
-) -> np.ndarray:
-    """log10 probability of each text, end included."""
-    step, units = model.config.step, language.units
-    x, target, valid, rows = windows(texts, units, step)
-    row_score = np.empty(len(x))
-    for a in range(0, len(x), chunk):
-        part = x[a : a + chunk]
-        logits, norm, _ = model.forward(part)
-        goal = target[a : a + chunk].ravel()
-        unit = units.of[goal]
-        log_class = (logits[np.arange(len(goal)), language.classes[unit]] - norm) / np.log(10)
-        within = language.log_unit[part[:, step:].ravel(), unit] + units.log_share[goal]
-        row_score[a : a + chunk] = np.where(
-            valid[a : a + chunk], (log_class + within).reshape(-1, step), 0
-        ).sum(1)
-    return np.add.reduceat(row_score, np.cumsum(rows) - rows) if len(rows) else np.zeros(0)
+class Scorer:
+    """The model's forward pass with everything that depends on one unit looked up.
+
+    The same numbers as :meth:`Attention.forward`, without what only training needs: the
+    last unit's part of the logits is a table, the mask and the distances are one matrix,
+    and the sum of the weights is one more column of the values.
+    """
+
+    def __init__(self, model: Attention, language: Language) -> None:
+        d = model.config.hidden
+        self.step, self.language = model.config.step, language
+        self.query = model.embed @ model.query / np.float32(d**0.5)
+        self.key = model.embed @ model.key
+        self.value = np.concatenate(
+            [model.embed @ model.value, np.ones((len(model.embed), 1), np.float32)], 1
+        )
+        self.shift = np.where(model.future, np.float32(-1e9), model.distance[model.gap]).astype(np.float32)
+        self.absent = np.zeros(len(model.embed), np.float32)
+        self.absent[PAD] = -1e9
+        self.mix_out = np.ascontiguousarray(model.out[:d])
+        self.last_out = model.embed @ model.out[d:] + model.bias + language.log_class
+
+    def log_words(self, x: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """log10 probability of each target after the windows' inputs."""
+        last = x[:, self.step :]
+        weights = self.query[last] @ self.key[x].transpose(0, 2, 1)
+        weights += self.shift
+        weights += self.absent[x][:, None, :]
+        # Far above what training reaches, so that no exponential overflows.
+        np.minimum(weights, np.float32(60), out=weights)
+        np.exp(weights, out=weights)
+        mixed = weights @ self.value[x]
+        mixed = (mixed[:, :, :-1] / mixed[:, :, -1:]).reshape(-1, self.mix_out.shape[0])
+        flat, goal = last.ravel(), target.ravel()
+        logits = mixed @ self.mix_out
+        logits += self.last_out[flat]
+        np.minimum(logits, np.float32(60), out=logits)
+        unit = self.language.units.of[goal]
+        own = logits[np.arange(len(goal)), self.language.classes[unit]]
+        np.exp(logits, out=logits)
+        log_class = (own - np.log(logits.sum(1))) / np.log(10)
+        within = self.language.log_unit[flat, unit] + self.language.units.log_share[goal]
+        return (log_class + within).reshape(target.shape)
+
+    def texts(self, texts: list[np.ndarray], chunk: int = 64) -> np.ndarray:
+        """log10 probability of each text, end included."""
+        x, target, valid, rows = windows(texts, self.language.units, self.step)
+        row_score = np.empty(len(x))
+        for a in range(0, len(x), chunk):
+            log_word = self.log_words(x[a : a + chunk], target[a : a + chunk])
+            row_score[a : a + chunk] = np.where(valid[a : a + chunk], log_word, 0).sum(1)
+        return np.add.reduceat(row_score, np.cumsum(rows) - rows) if len(rows) else np.zeros(0)
 
 
 # ------------------------------------------------------------------------- the passes
 
 
 def _make_blocks(tokenizer: str, block_chars: int):
-    """One row per block: its documents, and its words with the documents that hold them."""
+    """A row per block with its documents, and one per word of it with the documents that hold
+    it. Rows of either kind have nulls in the columns of the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
+        task, made = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = batch.column("body").to_pylist()
             training = ~np.array(batch.column("held_out").to_pylist(), bool)
             for a, b in slices(texts, block_chars):
                 own = texts[a:b]
-                ids: list[bytes] = []
-                for x, y in slices(own):
-                    flat, counts = coder.encode(own[x:y])
-                    data = flat.astype("<u2").tobytes()
-                    ends = np.concatenate([[0], np.cumsum(counts)]) * 2
-                    ids += [data[p:q] for p, q in zip(ends[:-1].tolist(), ends[1:].tolist())]
-                words: dict[bytes, int] = {}
-                numbers: list[np.ndarray] = []
-                for text in own:
-                    split = text.encode().split()  # ASCII white space only
-                    for w in set(split):
-                        words.setdefault(w, len(words))
-                    numbers.append(np.fromiter(map(words.__getitem__, split), np.int64, len(split)))
-                lengths = np.array([len(x) for x in numbers], np.int64)
-                owner = np.repeat(np.arange(len(own)), lengths)
-                pair, times = np.unique(
-                    np.concatenate([*numbers, np.zeros(0, np.int64)]) * len(own) + owner, return_counts=True
+                encoded = [coder.encode(own[x:y]) for x, y in slices(own)]
+                ids = np.concatenate([flat.astype("<u2") for flat, _ in encoded])
+                sizes = np.concatenate([counts for _, counts in encoded])
+                learnt = np.bincount(ids[np.repeat(training[a:b], sizes)], minlength=1)
+                seen = np.flatnonzero(learnt)
+                split = [text.encode().split() for text in own]  # ASCII white space only
+                lengths = np.array(list(map(len, split)), np.int64)
+                words = dict.fromkeys(chain.from_iterable(split))
+                words = dict(zip(words, range(len(words))))
+                numbers = np.fromiter(
+                    map(words.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum())
                 )
+                del split
+                owner = np.repeat(np.arange(len(own)), lengths)
+                pair, times = np.unique(numbers * len(own) + owner, return_counts=True)
                 word, doc = pair // len(own), pair % len(own)
                 bounds = np.searchsorted(word, np.arange(len(words) + 1)).astype(np.int32)
                 train = np.bincount(word, times * training[a:b][doc], len(words)).astype(np.int64)
@@ -308,36 +345,48 @@ def _make_blocks(tokenizer: str, block_chars: int):
                     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
                 def by_word(values: np.ndarray) -> pa.Array:
-                    return one(pa.ListArray.from_arrays(pa.array(bounds), pa.array(values.astype(np.int32))))
-
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        one(batch.column("doc_id").slice(a, b - a)),
-                        one(batch.column("held_out").slice(a, b - a)),
-                        one(pa.array(lengths + 1)),
-                        one(pa.array(ids, pa.binary())),
-                        one(pa.array(list(words), pa.binary())),
-                        one(pa.array(train)),
-                        by_word(doc),
-                        by_word(times),
-                    ],
-                    ["doc_id", "held_out", "n_tokens", "ids", "word", "train", "docs", "times"],
-                )
+                    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values.astype(np.int32)))
+
+                number = task * BLOCKS_PER_TASK + made
+                made += 1
+                of_block = [
+                    one(batch.column("doc_id").slice(a, b - a)),
+                    one(batch.column("held_out").slice(a, b - a)),
+                    one(pa.array(lengths + 1)),
+                    pa.array([ids.tobytes()], pa.binary()),
+                    one(pa.array(sizes)),
+                    one(pa.array(seen)),
+                    one(pa.array(learnt[seen])),
+                ]
+                of_words = [
+                    pa.array(list(words), pa.binary()), pa.array(train), by_word(doc), by_word(times),
+                ]
+                for n, columns in (
+                    (1, [*of_block, *(pa.nulls(1, x.type) for x in of_words)]),
+                    (len(words), [*(pa.nulls(len(words), x.type) for x in of_block), *of_words]),
+                ):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, number, np.int64)), *columns],
+                        [
+                            "block", "doc_id", "held_out", "n_tokens", "ids", "sizes", "id",
+                            "id_count", "word", "train", "docs", "times",
+                        ],
+                    )
 
     return run
 
 
-def _subword_counts(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size, np.int64)
-        for batch in batches:
-            texts = batch.column("ids").to_pylist()
-            counts[:-1] += np.bincount(np.frombuffer(b"".join(texts), "<u2"), minlength=size - 1)[: size - 1]
-            counts[-1] += len(texts)
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["id", "n"])
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Row number and the subword ids of each text, block by block."""
+    for k, (data, sizes) in enumerate(zip(batch.column("ids"), batch.column("sizes"))):
+        flat = np.frombuffer(data.as_buffer(), "<u2")
+        yield k, np.split(flat, np.cumsum(sizes.values.to_numpy())[:-1])
 
-    return run
+
+def _learnt_texts(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
+    for k, texts in _texts(batch):
+        held = batch.column("held_out")[k].values.to_pylist()
+        yield [t for t, h in zip(texts, held) if not h]
 
 
 def _pair_counts(config: LmConfig, shared):
@@ -346,8 +395,7 @@ def _pair_counts(config: LmConfig, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = shared.value.of
         counts = np.zeros(config.units**2, np.int64)
-        for batch in batches:
-            texts = [np.frombuffer(b, "<u2") for b in batch.column("ids").to_pylist()]
+        for texts in chain.from_iterable(map(_learnt_texts, batches)):
             for a, b in slices(texts, 1_000_000):
                 # PAD between texts: pairs with it are taken out on the driver.
                 row = np.concatenate(
@@ -369,8 +417,7 @@ def _train(config: LmConfig, shared, turn: int):
         model.load(vector)
         adam, weight, phase = Adam(model), 0, turn
         rng = np.random.default_rng(config.seed + turn)
-        for batch in batches:
-            texts = [np.frombuffer(b, "<u2") for b in batch.column("ids").to_pylist()]
+        for texts in chain.from_iterable(map(_learnt_texts, batches)):
             for a, b in slices(texts, 500_000):
                 x, target, valid, rows = windows(texts[a:b], language.units, config.step)
                 # One window in ``every`` of each document, another one each round.
@@ -397,14 +444,20 @@ def _score(config: LmConfig, shared):
         language, vector = shared.value
         model = Attention(config, language.log_class)
         model.load(vector)
+        scorer = Scorer(model, language)
         for batch in batches:
-            texts = [np.frombuffer(b, "<u2") for b in batch.column("ids").to_pylist()]
-            scores = [score_texts(texts[a:b], model, language) for a, b in slices(texts, 500_000)]
-            kept = [c for c in batch.schema.names if c != "ids"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(np.concatenate([*scores, np.zeros(0)]))],
-                [*kept, "score"],
-            )
+            for k, texts in _texts(batch):
+                scores = [scorer.texts(texts[a:b]) for a, b in slices(texts, 500_000)]
+                block = batch.column("block")[k].as_py()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(texts), block)),
+                        pa.array(np.arange(len(texts), dtype=np.int32)),
+                        *(batch.column(c)[k].values for c in ("doc_id", "held_out", "n_tokens")),
+                        pa.array(np.concatenate([*scores, np.zeros(0)])),
+                    ],
+                    ["block", "at", "doc_id", "held_out", "n_tokens", "score"],
+                )
 
     return run
 
@@ -420,14 +473,14 @@ def _base_scores(total: int, distinct: int):
             doc = lists.flatten().to_numpy().astype(np.int64)
             n = times.flatten().to_numpy()
             width = np.diff(lists.offsets.to_numpy())
-            key = np.repeat(batch.column("block").to_numpy(), width) * (1 << 20) + doc
+            key = np.repeat(batch.column("block").to_numpy(), width) * DOCUMENTS_PER_BLOCK + doc
             score = n * (np.log10(np.repeat(count, width) + 0.1) - floor)
             known = n * (np.repeat(count, width) > 0)
             found, at = np.unique(key, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(found >> 20),
-                    pa.array((found & ((1 << 20) - 1)).astype(np.int32)),
+                    pa.array(found // DOCUMENTS_PER_BLOCK),
+                    pa.array((found % DOCUMENTS_PER_BLOCK).astype(np.int32)),
                     pa.array(np.bincount(at, score, len(found))),
                     pa.array(np.bincount(at, known, len(found)).astype(np.int64)),
                 ],
@@ -444,7 +497,7 @@ def lm_scores(
     doc_id: str = "doc_id",
     text: str = "text",
     config: LmConfig | None = None,
-    block_chars: int = 4_000_000,
+    block_chars: int = 2_000_000,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
 
@@ -470,22 +523,18 @@ def lm_scores(
         F.translate(whole_text(text), UPPER, LOWER).alias("body"),
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    blocks = materialize(
+    stored = materialize(
         rows.mapInArrow(
             _make_blocks(tokenizer, block_chars),
-            f"doc_id array<{kind}>, held_out array<boolean>, n_tokens array<bigint>, "
-            "ids array<binary>, word array<binary>, train array<bigint>, "
-            "docs array<array<int>>, times array<array<int>>",
-        ).withColumn("block", F.monotonically_increasing_id()),
+            f"block bigint, doc_id array<{kind}>, held_out array<boolean>, n_tokens array<bigint>, "
+            "ids binary, sizes array<bigint>, id array<bigint>, id_count array<bigint>, "
+            "word binary, train bigint, docs array<int>, times array<int>",
+        ),
         "lm-blocks",
     )
-    texts = blocks.select(
-        "block", F.posexplode(F.arrays_zip("doc_id", "held_out", "n_tokens", "ids")).alias("at", "d")
-    ).select("block", "at", "d.*")
+    blocks = stored.where("ids IS NOT NULL")
     # Each word has one row per block.
-    words = blocks.select(
-        "block", F.explode(F.arrays_zip("word", "train", "docs", "times")).alias("w")
-    ).select("block", "w.*")
+    words = stored.where("word IS NOT NULL")
     counted = materialize(
         words.selectExpr(
             "block", "docs", "times", "sum(train) OVER (PARTITION BY word) AS c",
@@ -496,15 +545,19 @@ def lm_scores(
     word_total, word_types = counted.where("first AND c > 0").agg(
         F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))
     ).first()
-    learnt = texts.where("NOT held_out").select("ids")
-    size = vocabulary + 1  # and the end
-    counts = np.zeros(size, np.int64)
-    grouped = learnt.mapInArrow(_subword_counts(size), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
-    for row in grouped.collect():
+    counts = np.zeros(vocabulary + 1, np.int64)  # and the end
+    by_id = (
+        blocks.select(F.explode(F.arrays_zip("id", "id_count")).alias("c"))
+        .groupBy("c.id")
+        .agg(F.sum("c.id_count").alias("n"))
+    )
+    for row in by_id.collect():
         counts[row["id"]] = row["n"]
+    counts[-1] = blocks.agg(F.sum(F.size(F.filter("held_out", lambda h: ~h)))).first()[0] or 0
     ends = int(counts[-1])
     total, distinct = word_total + ends, word_types + (ends > 0)
 
+    learnt = blocks.select("ids", "sizes", "held_out")
     units = make_units(counts, config)
     shared = spark.sparkContext.broadcast(units)
     grouped = learnt.mapInArrow(_pair_counts(config, shared), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
@@ -526,7 +579,7 @@ def lm_scores(
         for row in means:
             vector[row["place"]] = row["mean"]
     shared = spark.sparkContext.broadcast((language, vector))
-    scored = texts.mapInArrow(
+    scored = blocks.select("block", "doc_id", "held_out", "n_tokens", "ids", "sizes").mapInArrow(
         _score(config, shared),
         f"block bigint, at int, doc_id {kind}, held_out boolean, n_tokens bigint, score double",
     )
