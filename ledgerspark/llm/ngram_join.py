@@ -206,15 +206,18 @@ def _prefixes(percent: int, longest: int = 8):
             rows: list[tuple[int, np.ndarray]] = []
             for size, ranked in zip(n, batch.column("ranked").to_pylist()):
                 alone = size - len(ranked)  # tokens of this document only, first in order
-                scan = np.cumsum([x["df"] for x in ranked])
+                counts = np.array([x["df"] for x in ranked])
+                scan, most = np.cumsum(counts), np.maximum.accumulate(counts)
                 shortest = size - least_overlap(size, percent) - alone + 1
                 best = None
                 for l in range(1, longest + 1):
                     k = shortest + l - 1
                     if k > len(ranked):
                         break
-                    # Partners that share l of the tokens: at most the rows divided by l.
-                    cost = scan[k - 1] + scan[k - 1] / l * size / 8
+                    # Partners that share l of the tokens: at most the rows divided by l;
+                    # in a group of near copies, all those of the most frequent one.
+                    partners = min(scan[k - 1] / l, most[k - 1])
+                    cost = scan[k - 1] + partners * size / 8
                     if best is None or cost < best[0]:
                         best = cost, l, k
                 _, l, k = best
@@ -240,6 +243,18 @@ def _possible(a: str, b: str, percent: int) -> Column:
     return (100 + percent) * most >= percent * total
 
 
+def _reachable(a: str, b: str, percent: int) -> Column:
+    """Whether a pair that shares a token at these places may reach the threshold.
+
+    Both sets are in one order, so at most the smaller place has been shared before the
+    token, and at most the shorter rest can be shared after it.
+    """
+    before = F.least(f"{a}.place", f"{b}.place")
+    after = F.least(F.col(f"{a}.m") - F.col(f"{a}.place"), F.col(f"{b}.m") - F.col(f"{b}.place"))
+    total = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return (100 + percent) * (before + after) >= percent * total
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
     x = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
@@ -305,7 +320,11 @@ def _links(nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes that reach the threshold; not all of them, but enough to connect
     what the full set would connect."""
     # Sizes of partners differ by less than a bucket, so each set looks in two of them.
-    step = float(np.log(100 / percent))
+    if percent < 100:
+        log_size = F.log(F.col("n").cast("double"))
+        bucket = F.floor(log_size / F.lit(float(np.log(100 / percent)))).cast("bigint")
+    else:
+        bucket = F.col("n")
     posted = materialize(
         nodes.select("node", "n", "ranked")
         .mapInArrow(
@@ -313,8 +332,8 @@ def _links(nodes: DataFrame, percent: int) -> DataFrame:
         )
         .select(
             "node", "n", "m", "l",
-            F.floor(F.log(F.col("n").cast("double")) / step).cast("int").alias("bucket"),
-            F.explode("prefix").alias("token"),
+            bucket.alias("bucket"),
+            F.posexplode("prefix").alias("place", "token"),
         ),
         "prefixes",
     )
@@ -343,7 +362,7 @@ def _links(nodes: DataFrame, percent: int) -> DataFrame:
     pairs = (
         near.alias("x")
         .join(here.alias("y"), ["token", "at"])
-        .where((F.col("x.root") != F.col("y.root")) & order & _possible("x", "y", percent))
+        .where((F.col("x.root") != F.col("y.root")) & order & _reachable("x", "y", percent))
         .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         .agg(F.count(F.lit(1)).alias("matches"), F.least(F.first("x.l"), F.first("y.l")).alias("l"))
         .where("matches >= l")
