@@ -36,7 +36,7 @@ class LmConfig:
     units: int = 2048  # subwords told apart; the rare ones share a unit
     classes: int = 64  # of units that have like neighbours
     rounds: int = 2
-    every: int = 16  # of a training document, a round takes one window in so many
+    every: int = 2  # a round takes one window in so many, so that ``every`` rounds take each once
     batch: int = 64
     rate: float = 0.015
     smoothing: float = 0.1  # of a subword's share of its unit
@@ -253,6 +253,16 @@ def windows(texts: list[np.ndarray], units: Units, step: int):
     return np.concatenate([inputs[place], inputs[place + 1]], 1), target, valid, rows
 
 
+def windows_of_round(rows: np.ndarray, every: int, turn: int) -> np.ndarray:
+    """Places of the windows that a round learns from, of texts with ``rows`` windows each.
+
+    Rounds one after another take disjoint windows, and any ``every`` of them all windows.
+    """
+    nth = np.arange(int(rows.sum())) - np.repeat(np.cumsum(rows) - rows, rows)
+    phase = np.repeat(np.arange(len(rows)) + turn, rows)
+    return np.flatnonzero((nth + phase) % every == 0)
+
+
 class Scorer:
     """The model's forward pass with everything that depends on one unit looked up.
 
@@ -415,15 +425,12 @@ def _train(config: LmConfig, shared, turn: int):
         language, vector = shared.value
         model = Attention(config, language.log_class)
         model.load(vector)
-        adam, weight, phase = Adam(model), 0, turn
+        adam, weight = Adam(model), 0
         rng = np.random.default_rng(config.seed + turn)
         for texts in chain.from_iterable(map(_learnt_texts, batches)):
             for a, b in slices(texts, 500_000):
                 x, target, valid, rows = windows(texts[a:b], language.units, config.step)
-                # One window in ``every`` of each document, another one each round.
-                nth = np.arange(len(x)) - np.repeat(np.cumsum(rows) - rows, rows)
-                first = np.repeat((np.arange(len(rows)) + phase) % np.minimum(rows, config.every), rows)
-                chosen = rng.permutation(np.flatnonzero(nth % config.every == first))
+                chosen = rng.permutation(windows_of_round(rows, config.every, turn))
                 for at in range(0, len(chosen), config.batch):
                     pick = chosen[at : at + config.batch]
                     goal = language.classes[language.units.of[target[pick]]]
@@ -510,10 +517,12 @@ def lm_scores(
     most 65,535.
 
     The driver sees the counts of subwords and of pairs of units, and the model, all of a
-    size that the configuration bounds. Training takes all training documents, of each a fixed share of its windows.
+    size that the configuration bounds. Training takes every window of every training document.
     """
     spark = docs.sparkSession
     config = config or LmConfig()
+    if config.rounds < config.every:
+        raise ValueError("Fewer rounds than ``every`` leave windows out of training.")
     if vocabulary > 65_535:
         raise ValueError("Subword ids must fit 16 bits.")
     remainder = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 10

@@ -278,6 +278,15 @@ def test_scores_of_odd_documents(docs, odd_docs):
     assert lm_score.lm_scores(docs([]), BYTES, 50_257, config=lm_score.LmConfig(units=256, classes=8)).count() == 0
 
 
+def test_training_takes_every_window_once(docs):
+    config = lm_score.LmConfig()
+    rows = np.array([1, 2, 3, 16, 40, 1])
+    chosen = [lm_score.windows_of_round(rows, config.every, turn) for turn in range(config.rounds)]
+    assert sorted(np.concatenate(chosen).tolist()) == list(range(rows.sum()))
+    with pytest.raises(ValueError):
+        lm_score.lm_scores(docs([]), BYTES, 50_257, config=lm_score.LmConfig(rounds=2, every=16))
+
+
 def test_held_out_text_is_likelier_than_its_shuffle(spark, docs):
     """Sentences of a fixed order: the model must have learnt what follows what."""
     rng = random.Random(5)
