@@ -1,12 +1,16 @@
-"""Licence scan: lines and whole texts against templates by Dice over word bigrams.
+"""Licence scan: lines, whole texts and passages against templates by Dice over word bigrams.
 
 Size bounds prune first: two sets of a and b bigrams reach a Dice coefficient of d only if
-a lies between b*d/(2-d) and b*(2-d)/d, so most lines are never compared.
+a lies between b*d/(2-d) and b*(2-d)/d, so most lines are never compared. They also share
+b*d/(2-d) bigrams at least, so a passage is compared only where a window of its template's
+size holds as many places with a bigram of the template.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +41,12 @@ TEMPLATES = (
     Template("all-rights-reserved", "All rights reserved."),
 )
 
+# Whole licence texts and the standard headers of files, as NAME.txt and NAME.header.txt.
+TEXTS = tuple(
+    Template(path.stem.removesuffix(".header"), path.read_text(encoding="utf-8"))
+    for path in sorted((Path(__file__).parent / "licenses").glob("*.txt"))
+)
+
 
 def normal_words(text: str) -> list[str]:
     """Lower case ASCII; words are runs of ASCII letters and digits."""
@@ -79,18 +89,66 @@ def _best(grams: Column, templates: tuple[Template, ...], least: float) -> Colum
     return F.greatest(*scored, best)
 
 
+def _one_of(value: str, grams: list[str]) -> str:
+    """SQL condition; bigrams are ASCII letters, digits and a space."""
+    return f"{value} IN ({', '.join(repr(g) for g in grams)})"
+
+
+def _passages(template: Template, least: float, short: bool) -> str:
+    """SQL: the windows of the template's size that begin with a bigram of it and reach ``least``.
+
+    From ``grams``, the bigrams of the text in order, and ``hits``, the places of those that
+    some template has. ``x -> ...`` over an array of one value gives that value a name.
+    """
+    words = normal_words(template.text)
+    wanted = bigrams_of(words)
+    b, width = len(wanted), len(words) - 1
+    need = max(1, math.ceil(b * least / (2 - least) - 1e-9))
+    return f"""CASE WHEN size(hits) >= {need} THEN flatten(transform(
+      array(transform(filter(hits, h -> {_one_of("h.g", wanted)}), h -> h.i)),
+      at -> filter(transform(
+        transform(
+          filter(at, (p, k) -> coalesce(get(at, k + {need - 1}) - p < {width}, false)),
+          p -> named_struct('start', p, 'own', array_distinct(slice(grams, p + 1, {width})))),
+        w -> transform(
+          array(size(array_intersect(w.own, split('{",".join(wanted)}', ',')))),
+          shared -> named_struct(
+            'dice', 2.0D * shared / (size(w.own) + {b}), 'license', '{template.license}',
+            'shared', shared, 'start', w.start, 'stop', w.start + {width + 1},
+            'short', {str(short).lower()}))[0]),
+        c -> c.dice >= {least!r}D))) END"""
+
+
+# Passages that overlap neither a better one nor, if they are short notices, a line found before.
+_APART = """aggregate(
+  array_sort(passages, (a, b) -> CASE
+    WHEN a.shared * a.dice > b.shared * b.dice THEN -1 WHEN a.shared * a.dice < b.shared * b.dice THEN 1
+    WHEN a.license > b.license THEN -1 WHEN a.license < b.license THEN 1
+    ELSE a.start - b.start END),
+  slice(passages, 1, 0),
+  (kept, c) -> CASE
+    WHEN exists(kept, o -> c.start < o.stop AND o.start < c.stop)
+      OR (c.short AND exists(spans, o -> c.start < o.stop AND o.start < c.stop)) THEN kept
+    ELSE concat(kept, array(c)) END)"""
+
+
 def license_scan(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
     templates: tuple[Template, ...] = TEMPLATES,
     least: float = 0.8,
+    texts: tuple[Template, ...] = TEXTS,
 ) -> DataFrame:
     """doc_id, n_lines, n_notices, licenses, best_license, best_dice per document.
 
     Candidates are the lines of a text (what ``\\n`` separates) and, if there are several,
-    the text as a whole; they are normalised to words of lower-case ASCII letters and
-    digits. ``n_lines`` counts lines with two words or more, ``n_notices`` the candidates
+    the text as a whole, for ``templates``; and passages of a text, for ``templates`` and
+    ``texts``: all windows of as many words as the template has that begin with a bigram of
+    it, wherever lines and sentences end. They are normalised to words of lower-case ASCII
+    letters and digits. Of passages that overlap, the one with the largest product of shared
+    bigrams and coefficient counts; a short notice's passage counts only apart from lines and
+    whole texts that count themselves. ``n_lines`` counts lines with two words or more, ``n_notices`` the candidates
     that reach ``least`` for some template, ``licenses`` is the sorted list of their
     licences joined by commas, empty if there are none; the best of them has the largest
     coefficient and, of equal ones, the name that sorts last. Null and empty texts have no
@@ -110,23 +168,55 @@ def license_scan(
     rows = rows.select(
         "doc_id",
         F.transform("lines", words).alias("line_words"),
-        F.when(F.size("lines") > 1, F.array(words(F.col("body"))))
-        .otherwise(F.array().cast("array<array<string>>"))
-        .alias("whole_words"),
+        words(F.col("body")).alias("text_words"),
     )
     rows = rows.select(
         "doc_id",
+        F.transform("line_words", F.size).alias("line_sizes"),
         F.transform("line_words", _bigrams).alias("line_grams"),
-        F.transform("whole_words", _bigrams).alias("whole_grams"),
+        F.transform("line_words", lambda w: F.element_at(w, 1) != "").alias("line_full"),
+        F.when(F.size("line_words") > 1, _bigrams(F.col("text_words"))).alias("whole_grams"),
+        F.size("text_words").alias("n_words"),
+        F.expr(
+            "transform(slice(text_words, 1, size(text_words) - 1),"
+            " (w, i) -> concat(w, ' ', get(text_words, i + 1)))"
+        ).alias("grams"),
+    )
+    every = sorted({g for t in templates + texts for g in bigrams_of(normal_words(t.text))})
+
+    def best(grams: Column) -> Column:
+        return F.when(F.size(grams).between(1, most), _best(grams, templates, least))
+
+    rows = rows.select(
+        "*",
+        F.transform("line_grams", best).alias("line_best"),
+        best(F.col("whole_grams")).alias("whole_best"),
+        F.expr(
+            f"filter(transform(grams, (g, i) -> named_struct('i', i, 'g', g)), h -> {_one_of('h.g', every)})"
+        ).alias("hits"),
     )
-    small = F.filter(
-        F.concat("line_grams", "whole_grams"), lambda g: F.size(g).between(1, most)
+    found = [_passages(t, least, True) for t in templates] + [_passages(t, least, False) for t in texts]
+    none = "array<struct<dice:double,license:string,shared:int,start:int,stop:int,short:boolean>>"
+    rows = rows.select(
+        "*",
+        # The words that a found line, or the whole text, takes in the text.
+        F.expr("""concat(
+          transform(
+            filter(transform(line_best, (b, j) -> IF(b IS NULL, -1, j)), j -> j >= 0),
+            j -> transform(
+              array(aggregate(
+                zip_with(slice(line_sizes, 1, j), slice(line_full, 1, j), (n, f) -> IF(f, n, 0)),
+                0, (x, n) -> x + n)),
+              p -> named_struct('start', p, 'stop', p + line_sizes[j]))[0]),
+          IF(whole_best IS NULL, array(), array(named_struct('start', 0, 'stop', n_words))))""").alias("spans"),
+        F.concat(*(F.coalesce(F.expr(x), F.array().cast(none)).cast(none) for x in found)).alias("passages"),
     )
     rows = rows.select(
         "doc_id",
         F.size(F.filter("line_grams", lambda g: F.size(g) > 0)).alias("n_lines"),
-        F.filter(
-            F.transform(small, lambda g: _best(g, templates, least)), lambda x: x.isNotNull()
+        F.concat(
+            F.filter(F.concat("line_best", F.array("whole_best")), lambda x: x.isNotNull()),
+            F.expr(f"transform({_APART}, c -> named_struct('dice', c.dice, 'license', c.license))"),
         ).alias("found"),
     )
     names = F.array_sort(F.array_distinct(F.transform("found", lambda x: x["license"])))

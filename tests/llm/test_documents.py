@@ -133,6 +133,25 @@ def test_licences(docs, odd_docs):
     assert license_scan.license_scan(docs([])).count() == 0
 
 
+def test_notices_within_lines_and_over_lines(docs):
+    other = " ".join(prose(k) for k in range(30))
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    found = license_scan.license_scan(
+        docs([
+            (1, "Copyright 2024 Example. All rights reserved."), (2, bsd),
+            (3, f"{other}\nThis work is licensed under the GNU General\nPublic License, version 3.\n{other}"),
+            (4, f"{other} Released under the MIT License."), (5, "All rights\n\n reserved by others\n" + other),
+            (6, "All rights reserved. Text. Licensed under CC BY-NC 4.0. " + other), (7, "!\n\nAll rights reserved.\n" + other),
+        ])
+    )
+    rows = {r["doc_id"]: (r["licenses"], r["n_notices"]) for r in found.collect()}
+    assert rows == {
+        1: ("all-rights-reserved", 1), 2: ("BSD-3-Clause", 1), 3: ("GPL-3.0", 1), 4: ("MIT", 1),
+        5: ("all-rights-reserved", 1), 6: ("CC-BY-NC-4.0,all-rights-reserved", 2),
+        7: ("all-rights-reserved", 1),
+    }
+
+
 def brute_components(rows, words, percent):
     def shingles(text):
         ws = WORD.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
