@@ -133,6 +133,27 @@ def test_licences(docs, odd_docs):
     assert license_scan.license_scan(docs([])).count() == 0
 
 
+def test_licence_texts_and_headers_inside_documents(docs):
+    folder = license_scan.Path(license_scan.__file__).parent / "licenses"
+    mit, gpl = (folder / "MIT.txt").read_text(), (folder / "GPL-3.0.header.txt").read_text()
+    bsd, apache = (folder / "BSD-2-Clause.txt").read_text(), (folder / "Apache-2.0.txt").read_text()
+    other = "\n".join(prose(k) for k in range(30))
+    found = license_scan.license_scan(
+        docs([
+            (1, f"Copyright (c) 2024 Example\n\n{mit}\n{other}"),
+            (2, f"{other}\n# " + gpl.replace("\n", "\n# ") + f"\n{other}"),
+            (3, apache),  # and its line of the short notice
+            (4, f"{other} {' '.join(bsd.split())} {other}"), (5, other),
+            (6, f"{mit}\n{other}\n{gpl}"),
+        ])
+    )
+    rows = {r["doc_id"]: (r["licenses"], r["n_notices"]) for r in found.collect()}
+    assert rows == {
+        1: ("MIT", 1), 2: ("GPL-3.0", 1), 3: ("Apache-2.0", 2), 4: ("BSD-2-Clause", 1),
+        5: ("", 0), 6: ("GPL-3.0,MIT", 2),
+    }
+
+
 def test_notices_within_lines_and_over_lines(docs):
     other = " ".join(prose(k) for k in range(30))
     bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
