@@ -497,6 +497,20 @@ def _base_scores(total: int, distinct: int):
     return run
 
 
+def word_totals(words: DataFrame) -> DataFrame:
+    """How often each word occurs in training documents, summed on the map side first."""
+    return words.groupBy("word").agg(F.sum("train").alias("c"))
+
+
+def with_totals(words: DataFrame, totals: DataFrame) -> DataFrame:
+    """The rows of blocks and words with the word's total.
+
+    ``totals`` must be stored, so that both sides are shuffled for this join and AQE can split
+    a word that most blocks hold.
+    """
+    return words.join(totals, "word").select("block", "docs", "times", "c")
+
+
 def lm_scores(
     docs: DataFrame,
     tokenizer: str,
@@ -544,14 +558,9 @@ def lm_scores(
     blocks = stored.where("ids IS NOT NULL")
     # Each word has one row per block.
     words = stored.where("word IS NOT NULL")
-    counted = materialize(
-        words.selectExpr(
-            "block", "docs", "times", "sum(train) OVER (PARTITION BY word) AS c",
-            "row_number() OVER (PARTITION BY word ORDER BY block) = 1 AS first",
-        ),
-        "lm-words",
-    )
-    word_total, word_types = counted.where("first AND c > 0").agg(
+    totals = materialize(word_totals(words), "lm-totals")
+    counted = materialize(with_totals(words, totals), "lm-words")
+    word_total, word_types = totals.where("c > 0").agg(
         F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))
     ).first()
     counts = np.zeros(vocabulary + 1, np.int64)  # and the end

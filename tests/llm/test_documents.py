@@ -318,6 +318,33 @@ def test_scores_of_odd_documents(docs, odd_docs):
     assert lm_score.lm_scores(docs([]), BYTES, 50_257, config=lm_score.LmConfig(units=256, classes=8)).count() == 0
 
 
+def test_a_word_of_every_block_is_split(spark, tmp_path):
+    """A third of the posting rows are of one word: no window gathers them, AQE cuts them."""
+    words = spark.range(60_000).selectExpr(
+        "id AS block", "CAST(IF(id % 3 = 0, 'hot', CAST(id AS string)) AS binary) AS word", "1L AS train",
+        "array(CAST(rand(1) * 1e9 AS int), CAST(rand(2) * 1e9 AS int)) AS docs", "array(1, 1) AS times",
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for name, frame in (("words", words), ("totals", lm_score.word_totals(words))):
+            frame.write.parquet(str(tmp_path / name))
+        counted = lm_score.with_totals(*(spark.read.parquet(str(tmp_path / n)) for n in ("words", "totals")))
+        assert collections.Counter(r["c"] for r in counted.collect()) == {1: 40_000, 20_000: 20_000}
+        plan = counted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "Window" not in plan and "SortMergeJoin(skew=true)" in plan, plan
+
+
 def test_training_takes_every_window_once(docs):
     config = lm_score.LmConfig()
     rows = np.array([1, 2, 3, 16, 40, 1])
