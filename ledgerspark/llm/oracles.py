@@ -191,6 +191,48 @@ FROM t JOIN counts USING (k) LEFT JOIN docs USING (k)
 """
 
 
+# Every kept term for every group, and every pair of groups over it.
+OP11 = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+w AS (SELECT k, lang, source, unnest(ws) AS term FROM t),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 3),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM t),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+total AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+dense AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(n, 0) + 1) // (coalesce(total, 0) + v) AS p
+  FROM g JOIN kept USING (lang) JOIN sizes USING (lang)
+    LEFT JOIN total USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+whole AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(n) + 1) // (any_value(all_n) + any_value(v)) AS q
+  FROM dense JOIN sizes USING (lang)
+    JOIN (SELECT lang, sum(total) AS all_n FROM total GROUP BY lang) USING (lang)
+  GROUP BY lang, term),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM dense AS a JOIN dense AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q
+  FROM dense JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place
+  FROM found)
+SELECT lang, source, part, item, value::BIGINT AS value, place::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR place <= 200
+"""
+
+
 ORACLES = {
     "op4_url_filter": _op4(),
     "op5_license_scan": _op5(),
@@ -198,4 +240,5 @@ ORACLES = {
     "op7_warc_zip": OP7,
     "op8_exact_dedup": OP8,
     "op9_ngram_join": OP9,
+    "op11_source_divergence": OP11,
 }

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark.llm.pieces import encoder, slices
 from ledgerspark.llm.text import whole_text
@@ -197,9 +198,9 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for n in batch.column("length").to_pylist():
             places.append(seen.get(n, 0))
             seen[n] = places[-1] + 1
-        yield batch.append_column("task", pa.array([task] * len(places), pa.int32())).append_column(
-            "place", pa.array(places, pa.int64())
-        )
+        columns = [batch.column("piece"), batch.column("length")]
+        columns += [pa.array([task] * len(places), pa.int32()), pa.array(places, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["piece", "length", "task", "place"])
 
 
 def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
@@ -207,13 +208,19 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
 
     Ranks within a size come from the counts of each task and size, so that no size, however
     common, is brought to one place. The histogram and the plan, bounded by the capacity,
-    are all that passes the driver. Further columns are carried along; an empty table gives
-    an empty result.
+    are all that passes the driver. Further columns are carried along whatever their names,
+    but for those called sequence_id or offset, which the result replaces. An empty table
+    gives an empty result.
     """
     spark = pieces.sparkSession
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in pieces.schema)}, task int, place bigint"
+    carried = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    rows = pieces.select(
+        F.struct(*[F.col(f"`{c}`") for c in carried]).alias("piece"),
+        F.col("length").cast("bigint").alias("length"),
+    )
+    schema = T.StructType([*rows.schema.fields]).add("task", T.IntegerType()).add("place", T.LongType())
     # Stored, as a task may number its pieces in another order when it runs again.
-    stored = materialize(pieces.mapInArrow(_number, schema), "pieces")
+    stored = materialize(rows.mapInArrow(_number, schema), "pieces")
     counts = stored.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     if any(not 1 <= s <= capacity for s in histogram):
@@ -224,7 +231,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
         "sum(n) OVER (PARTITION BY length ORDER BY task ROWS UNBOUNDED PRECEDING) - n AS before",
     )
     ranked = stored.join(offsets, ["task", "length"]).select(
-        *pieces.columns, (F.col("before") + F.col("place")).alias("rank")
+        "piece", "length", (F.col("before") + F.col("place")).alias("rank")
     )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,24 +242,20 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
             rank = batch.column("rank").to_numpy()
             at = np.empty(len(size), np.int64)
             for s in np.unique(size):
-                rows = size == s
+                own = size == s
                 a, b = first[s], first[s + 1]
-                at[rows] = a + np.searchsorted(plan["rank"][a:b], rank[rows], "right") - 1
+                at[own] = a + np.searchsorted(plan["rank"][a:b], rank[own], "right") - 1
             nth = rank - plan["rank"][at]
             each = plan["each"][at]
-            columns = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *columns,
-                    pa.array(plan["sequence"][at] + nth // each),
-                    pa.array(plan["offset"][at] + nth % each * size),
-                ],
-                [*names, "sequence_id", "offset"],
-            )
-
-    names = list(pieces.columns)
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in pieces.schema)}, sequence_id bigint, offset bigint"
-    return ranked.mapInArrow(place, schema)
+            columns = [
+                batch.column("piece"),
+                pa.array(plan["sequence"][at] + nth // each),
+                pa.array(plan["offset"][at] + nth % each * size),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["piece", "sequence_id", "offset"])
+
+    schema = T.StructType([rows.schema["piece"]]).add("sequence_id", T.LongType()).add("offset", T.LongType())
+    return ranked.mapInArrow(place, schema).select("piece.*", "sequence_id", "offset")
 
 
 def pack_documents(

@@ -81,12 +81,29 @@ def test_long_piece_and_small_cache(library):
 
 @settings(max_examples=150, deadline=None)
 @given(texts=TEXTS)
-def test_pieces_are_the_library(texts):
-    coder = pieces.PieceEncoder(BYTES, max_pieces=30)
-    reference = Tokenizer.from_file(BYTES)
-    for _ in range(2):
-        ids, counts = coder.encode(texts)
-        assert split(ids, counts) == [reference.encode(t, add_special_tokens=False).ids for t in texts]
+def test_ranks_are_the_library(texts):
+    coder = pieces.encoder(BYTES)
+    assert coder.ranked is not None
+    reference = coder.tokenizer
+    ids, counts = coder.encode(texts)
+    assert split(ids, counts) == [reference.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_ranks_are_the_library_for_every_character():
+    """Both libraries split texts by the classes of characters: the same for all of them."""
+    coder = pieces.encoder(BYTES)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for a in range(0, len(points), 500):
+        text = "".join(f"x{chr(c)}1{chr(c)} " for c in points[a : a + 500])
+        assert coder.ranked.encode_ordinary(text) == coder.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+
+def test_other_files_go_through_the_library():
+    assert pieces.byte_ranks(WORDS) is None
+    coder = pieces.TextEncoder(WORDS)
+    ids, counts = coder.encode(["Hello  there", ""])
+    assert ids.tolist() == Tokenizer.from_file(WORDS).encode("Hello  there", add_special_tokens=False).ids
+    assert counts[1] == 0
 
 
 @settings(max_examples=150, deadline=None)
