@@ -5,7 +5,7 @@ language that hold a term beginning with some bytes are counted for short prefix
 prefix in too few documents is discarded with all terms that begin with it, and only those
 below a kept prefix are counted at the next, twice as long one, until complete terms are
 left. Texts are read once, by tasks that count their own documents, each term and each prefix
-once per document; refinement works on these counts, which add up.
+once per document; refinement works on these counts, which add up and are stored by level.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from pyspark.sql import types as T
 
 from ledgerspark.llm.pieces import slices
 from ledgerspark.llm.text import whole_text
-from ledgerspark.session import materialize
+from ledgerspark.session import materialize, scratch_path
 
-FIRST_PREFIX = 2
+FIRST_PREFIX = 6
 SCALE = 1_000_000_000
 
 # Bytes of terms: ASCII letters, in lower case, and all bytes of other characters.
@@ -105,31 +105,52 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _count_slice(langs[a:b], sources[a:b], bodies[a:b])
 
 
+# The rows of a level go to a folder of their own, without a sort.
+WRITERS, MOST_WRITERS = "spark.sql.maxConcurrentOutputFileWriters", 64
+
+
+def _stored_by_level(counted: DataFrame) -> DataFrame:
+    spark = counted.sparkSession
+    path = scratch_path(spark, "term-counts")
+    before = spark.conf.get(WRITERS, None)
+    spark.conf.set(WRITERS, str(MOST_WRITERS))
+    try:
+        counted.write.partitionBy("level").parquet(path)
+    finally:
+        spark.conf.unset(WRITERS) if before is None else spark.conf.set(WRITERS, before)
+    return spark.read.schema(COUNTED).parquet(path)
+
+
 def _refine(counted: DataFrame, min_docs: int) -> DataFrame:
-    """(lang, item) of all terms in at least ``min_docs`` documents of the language."""
+    """lang, item, uses: terms in at least ``min_docs`` documents of the language.
+
+    ``uses`` holds the number of occurrences per source, one entry for each that has the
+    term. Counts are added up per source, with map-side combine, before they meet per term.
+    """
     kept: DataFrame | None = None
     above: DataFrame | None = None
-    last = counted.agg(F.max("level")).first()[0]
-    for level in range(-1 if last is None else last + 1):
+    for level in sorted(r["level"] for r in counted.select("level").distinct().collect()):
         rows = counted.where(F.col("level") == level)
         if above is not None:
             parent = F.substring("item", 1, _width(level - 1))
             rows = rows.withColumn("parent", parent).join(above, ["lang", "parent"], "left_semi")
         common = materialize(
-            rows.groupBy("lang", "item", F.col("source").isNotNull().alias("complete"))
-            .agg(F.sum("n_docs").alias("n_docs"))
+            rows.groupBy("lang", "item", "source")
+            .agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+            .groupBy("lang", "item", F.col("source").isNotNull().alias("complete"))
+            .agg(F.sum("n_docs").alias("n_docs"), F.collect_list(F.struct("source", "n")).alias("uses"))
             .where(F.col("n_docs") >= min_docs)
-            .select("lang", "item", "complete"),
+            .drop("n_docs"),
             "prefixes",
         )
-        terms = common.where("complete").select("lang", "item")
+        terms = common.where("complete").select("lang", "item", "uses")
         kept = terms if kept is None else kept.unionByName(terms)
         above = common.where("NOT complete").select("lang", F.col("item").alias("parent"))
         if above.isEmpty():
             break
     if kept is None:
-        return counted.select("lang", "item").limit(0)
-    return materialize(kept, "terms")
+        return counted.select("lang", "item", F.array(F.struct("source", "n")).alias("uses")).limit(0)
+    return kept
 
 
 def _share(n: Column, total: Column, terms: Column) -> Column:
@@ -172,15 +193,8 @@ def source_divergence(
     rows = docs.select(
         whole_text(lang).alias("lang"), whole_text(source).alias("source"), whole_text(text).cast("binary").alias("body")
     )
-    counted = materialize(rows.mapInArrow(_count, COUNTED), "term-counts")
-    kept = _refine(counted, min_docs)
-    own = materialize(
-        counted.where(F.col("source").isNotNull())
-        .join(kept, ["lang", "item"], "left_semi")
-        .groupBy("lang", "source", "item")
-        .agg(F.sum("n").alias("n")),
-        "source-terms",
-    )
+    kept = _refine(_stored_by_level(rows.mapInArrow(_count, COUNTED)), min_docs)
+    own = materialize(kept.selectExpr("lang", "item", "inline(uses)"), "source-terms")
     totals = own.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_terms"))
     terms = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_kept"))
     groups = materialize(

@@ -312,13 +312,16 @@ def test_divergence_is_brute_force(spark, monkeypatch):
 
 
 def test_prefixes_are_counted_once_per_document_and_discarded(spark):
-    """abc0..abc9 in two documents: prefix "ab" is in two documents only, whatever its terms."""
-    rows = [("l", "s", " ".join(f"ab{chr(97 + k)}xyz" for k in range(10)))] * 2 + [("l", "s", "abq cd"), ("l", "t", "cd cd"), ("l", "t", "cd")]
-    counted = list(divergence._count_slice(*(list(c) for c in zip(*[(a, b, c.encode()) for a, b, c in rows]))))
-    prefixes = {r["item"]: r["n_docs"] for batch in counted[1:] for r in batch.to_pylist() if r["level"] == 0}
-    assert prefixes == {b"ab": 3}
-    deeper = {r["item"]: r["n_docs"] for batch in counted[1:] for r in batch.to_pylist() if r["level"] == 1}
-    assert len(deeper) == 10 and set(deeper.values()) == {2}
+    """abcdef + ten endings in two documents: a prefix of two documents, whatever its terms."""
+    many = " ".join("abcdef" + chr(97 + k) + "tuvwxyz" for k in range(10))
+    rows = [("l", "s", many)] * 2 + [("l", "s", "abcdefg cd"), ("l", "t", "cd cd"), ("l", "t", "cd")]
+    bodies = [(a, b, c.encode()) for a, b, c in rows]
+    counted = [batch.to_pylist() for batch in divergence._count_slice(*map(list, zip(*bodies)))]
+    prefixes = {(r["level"], r["item"]): r["n_docs"] for batch in counted[1:] for r in batch}
+    assert prefixes.pop((0, b"abcdef")) == 3
+    assert len(prefixes) == 10 and set(prefixes.values()) == {2}
+    complete = {r["item"]: (r["level"], r["n_docs"]) for r in counted[0]}
+    assert complete[b"abcdefg"] == (1, 1) and complete[b"abcdefatuvwxyz"] == (2, 2)
     df = spark.createDataFrame(rows, "lang string, source string, text string")
     assert rows_of(divergence.source_divergence(df)) == divergence_by_force(rows)
 
