@@ -294,7 +294,14 @@ def divergence_by_force(rows, top=200):
     return sorted(found, key=repr)
 
 
+def test_shares_of_any_size_are_exact():
+    n = np.array([0, 5, 9_000_000_001, 4 * 10**12])
+    total = np.array([10, 7, 10**11, 10**15])
+    assert divergence._shares(n, total).tolist() == [1 + 10**9 * (a + 1) // b for a, b in zip(n.tolist(), total.tolist())]
+
+
 def test_divergence_is_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "MOST_TERMS", 5)
     monkeypatch.setattr(divergence, "slices", lambda bodies, size: [(k, k + 1) for k in range(len(bodies))])
     rng = random.Random(2)
     words = ["Straße", "İstanbul", "a", "ab", "abc", "abcdefgh", "abcdefghi", "x" * 70, "漢字" * 30, "don't", "Z9z", "é", "É"]
@@ -315,13 +322,16 @@ def test_prefixes_are_counted_once_per_document_and_discarded(spark):
     """abcdef + ten endings in two documents: a prefix of two documents, whatever its terms."""
     many = " ".join("abcdef" + chr(97 + k) + "tuvwxyz" for k in range(10))
     rows = [("l", "s", many)] * 2 + [("l", "s", "abcdefg cd"), ("l", "t", "cd cd"), ("l", "t", "cd")]
-    bodies = [(a, b, c.encode()) for a, b, c in rows]
-    counted = [batch.to_pylist() for batch in divergence._count_slice(*map(list, zip(*bodies)))]
+    counts = divergence._Counts()
+    for lang, source, text in rows:
+        counts.add([lang], [source], [text.encode()])
+    counted = [batch.to_pylist() for batch in counts.batches()]
     prefixes = {(r["level"], r["item"]): r["n_docs"] for batch in counted[1:] for r in batch}
     assert prefixes.pop((0, b"abcdef")) == 3
     assert len(prefixes) == 10 and set(prefixes.values()) == {2}
-    complete = {r["item"]: (r["level"], r["n_docs"]) for r in counted[0]}
-    assert complete[b"abcdefg"] == (1, 1) and complete[b"abcdefatuvwxyz"] == (2, 2)
+    complete = {(r["source"], r["item"]): (r["level"], r["n"], r["n_docs"]) for r in counted[0]}
+    assert complete["s", b"abcdefg"] == (1, 1, 1) and complete["s", b"abcdefatuvwxyz"] == (2, 2, 2)
+    assert complete["t", b"cd"] == (0, 3, 2)
     df = spark.createDataFrame(rows, "lang string, source string, text string")
     assert rows_of(divergence.source_divergence(df)) == divergence_by_force(rows)
 
