@@ -29,8 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.llm.components import components
-from ledgerspark.llm.pieces import slices
+from ledgerspark.llm.pieces import ragged, slices
 from ledgerspark.llm.text import whole_text
+from ledgerspark.operators.quality import own_exchange
 from ledgerspark.session import materialize
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -202,33 +203,34 @@ def _prefixes(percent: int, longest: int = 8):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.column("n").to_pylist()
-            rows: list[tuple[int, np.ndarray]] = []
-            for size, ranked in zip(n, batch.column("ranked").to_pylist()):
-                alone = size - len(ranked)  # tokens of this document only, first in order
-                counts = np.array([x["df"] for x in ranked])
-                scan, most = np.cumsum(counts), np.maximum.accumulate(counts)
-                shortest = size - least_overlap(size, percent) - alone + 1
-                best = None
-                for l in range(1, longest + 1):
-                    k = shortest + l - 1
-                    if k > len(ranked):
-                        break
-                    # Partners that share l of the tokens: at most the rows divided by l;
-                    # in a group of near copies, all those of the most frequent one.
-                    partners = min(scan[k - 1] / l, most[k - 1])
-                    cost = scan[k - 1] + partners * size / 8
-                    if best is None or cost < best[0]:
-                        best = cost, l, k
-                _, l, k = best
-                rows.append((l, [x["token"] for x in ranked[:k]]))
+            ranked = batch.column("ranked")
+            items = ranked.flatten()  # tokens of all sets, one after the other
+            counts = items.field("df").to_numpy()
+            ends = ranked.offsets.to_numpy() - ranked.offsets[0].as_py()
+            sizes = batch.column("n").to_numpy()
+            chosen, taken = np.empty(len(sizes), np.int32), np.empty(len(sizes), np.int64)
+            for row, (size, begin, end) in enumerate(zip(sizes.tolist(), ends[:-1].tolist(), ends[1:].tolist())):
+                held = end - begin
+                # The other tokens are of this document only, and first in order.
+                shortest = size - least_overlap(size, percent) - (size - held) + 1
+                lengths = np.arange(shortest, min(held, shortest + longest - 1) + 1)
+                part = counts[begin : begin + lengths[-1]]
+                scan = np.cumsum(part)[lengths - 1]
+                most = np.maximum.accumulate(part)[lengths - 1]
+                # Partners that share l of the tokens: at most the rows divided by l;
+                # in a group of near copies, all those of the most frequent one.
+                partners = np.minimum(scan / np.arange(1, len(lengths) + 1), most)
+                best = int(np.argmin(scan + partners * size / 8))
+                chosen[row], taken[row] = best + 1, lengths[best]
+            at = pa.array(ragged(ends[:-1].astype(np.int64), taken))
+            starts = np.concatenate([[0], np.cumsum(taken)])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"),
                     batch.column("n"),
-                    pa.array([len(x) for x in batch.column("ranked").to_pylist()], pa.int64()),
-                    pa.array([l for l, _ in rows], pa.int32()),
-                    pa.array([p for _, p in rows], pa.list_(pa.int64())),
+                    pa.array(np.diff(ends).astype(np.int64)),
+                    pa.array(chosen),
+                    pa.ListArray.from_arrays(pa.array(starts, pa.int32()), items.field("token").take(at)),
                 ],
                 ["node", "n", "m", "l", "prefix"],
             )
@@ -266,17 +268,23 @@ def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def _candidate_nodes(docs: DataFrame, first: DataFrame, words: int, percent: int) -> DataFrame:
     """node, key, n, tokens (those in two sets or more), ranked: sets that may have a partner."""
-    rows = first.select("row", F.explode("alone").alias("token"), F.lit(True).alias("own")).unionByName(
-        first.select("row", F.explode("shared").alias("token"), F.lit(False).alias("own"))
+    rows = first.select("row", F.explode("alone").alias("token")).unionByName(
+        first.select(F.lit(None).cast("bigint").alias("row"), F.explode("shared").alias("token"))
+    )
+    # Tokens that no other chunk has, by the row that has them: a token of many chunks is
+    # combined on the map side, and its rows never meet.
+    lonely = (
+        rows.groupBy("token")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row"))
+        .where("n = 1 AND row IS NOT NULL")
+        .groupBy("row")
+        .agg(F.count(F.lit(1)).alias("lonely"))
     )
-    # At most one row per token and chunk, so the window over a token is small.
-    counted = rows.selectExpr("row", "own", "count(*) OVER (PARTITION BY token) AS n")
-    credit = counted.where("own AND n > 1").groupBy("row").agg(F.count(F.lit(1)).alias("more"))
     alive = (
         first.where("n > 0")
-        .select("row", "key", "hits", "need")
-        .join(credit, "row", "left")
-        .where("hits + coalesce(more, 0) >= need")
+        .select("row", "key", "need", (F.col("hits") + F.size("alone")).alias("found"))
+        .join(lonely, "row", "left")
+        .where("found - coalesce(lonely, 0) >= need")
         .select("key")
         .distinct()
     )
@@ -303,7 +311,7 @@ def _candidate_nodes(docs: DataFrame, first: DataFrame, words: int, percent: int
     tokens = sets.select("node", F.explode("tokens").alias("token"))
     frequent = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ranked = (
-        tokens.join(frequent, "token")
+        tokens.join(own_exchange(frequent), "token")
         .groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
     )
@@ -343,7 +351,7 @@ def _links(nodes: DataFrame, percent: int) -> DataFrame:
     hubs = posted.groupBy("token").agg(F.min(standing).alias("hub"))
     spokes = (
         posted.alias("p")
-        .join(hubs.select("token", "hub.node", "hub.n", "hub.m").alias("h"), "token")
+        .join(own_exchange(hubs.select("token", "hub.node", "hub.n", "hub.m")).alias("h"), "token")
         .where((F.col("p.node") != F.col("h.node")) & _possible("p", "h", percent))
         .select(F.least("p.node", "h.node").alias("a"), F.greatest("p.node", "h.node").alias("b"))
         .distinct()
