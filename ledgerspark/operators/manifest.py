@@ -49,40 +49,65 @@ def add_file_coverage(
     date in the file name is the fallback; neither is an error. Records with a NULL event
     time add the undated month.
     """
-    times, named = F.col("_times"), F.col("_named")
+    times = F.col("_times")
+    seen = files.withColumn("_times", payload_times(F.col(values))).withColumns(
+        {
+            "_first": F.array_min(times),
+            "_months": F.array_distinct(F.transform(times, lambda v: F.year(v) * 100 + F.month(v))),
+            "_undated": F.coalesce(F.exists(values, lambda v: v.isNull()), F.lit(False)),
+        }
+    )
+    return _dated(seen, path, extension).drop("_times", values)
+
+
+def add_record_coverage(
+    files: DataFrame, records: DataFrame, value: str, extension: str = ".json"
+) -> DataFrame:
+    """Like :func:`add_file_coverage`, from one row per record (``path`` and ``value``).
+
+    Times are combined on the map side, so a file of any number of records is one row per
+    task, and no task holds all of them.
+    """
+    text = F.when(F.length(F.trim(value)) > 0, F.col(value))
+    time = parse_lenient(text)
+    seen = records.groupBy("path").agg(
+        F.min(time).alias("_first"),
+        F.collect_set(F.year(time) * 100 + F.month(time)).alias("_months"),
+        F.count_if(text.isNotNull() & time.isNull()).alias("_bad"),
+        F.bool_or(F.col(value).isNull()).alias("_undated"),
+    )
+    # One unreadable value discards the whole payload.
+    first = F.when(F.coalesce("_bad", F.lit(0)) == 0, F.col("_first"))
+    joined = files.join(seen, "path", "left").withColumns(
+        {"_first": first, "_undated": F.coalesce("_undated", F.lit(False))}
+    )
+    return _dated(joined, "path", extension).drop("_bad")
+
+
+def _dated(files: DataFrame, path: str, extension: str) -> DataFrame:
+    """``file_date`` and ``months`` from the first time (null: no readable payload), the months
+    of the payload and whether a record has no time."""
+    first, named = F.col("_first"), F.col("_named")
     failure = F.raise_error(
         F.concat(F.lit("No parseable date in the name or records of "), F.col(path))
     ).cast("int")
     named_month = named["year"] * 100 + named["month"]
-    dated = F.when(
-        times.isNotNull(),
-        F.array_distinct(F.transform(times, lambda v: F.year(v) * 100 + F.month(v))),
-    ).otherwise(F.array(named_month))
-    has_undated = F.coalesce(F.exists(values, lambda v: v.isNull()), F.lit(False))
-    undated = F.when(has_undated, F.array(F.lit(UNDATED))).otherwise(
+    dated = F.when(first.isNotNull(), F.col("_months")).otherwise(F.array(named_month))
+    undated = F.when(F.col("_undated"), F.array(F.lit(UNDATED))).otherwise(
         F.array().cast("array<int>")
     )
-    first = F.array_min(times)
     first_day = F.year(first) * 10000 + F.month(first) * 100 + F.dayofmonth(first)
     file_date = (
-        F.when(times.isNotNull(), first_day)
+        F.when(first.isNotNull(), first_day)
         .when(named.isNotNull(), named_month * 100 + named["day"])
         .otherwise(failure)
     )
     return (
-        files.withColumns(
-            {
-                "_times": payload_times(F.col(values)),
-                "_named": file_name_date(F.col(path), extension),
-            }
-        )
+        files.withColumn("_named", file_name_date(F.col(path), extension))
         .withColumns(
-            {
-                "file_date": file_date,
-                "months": F.array_sort(F.array_union(dated, undated)),
-            }
+            {"file_date": file_date, "months": F.array_sort(F.array_union(dated, undated))}
         )
-        .drop("_times", "_named", values)
+        .drop("_first", "_months", "_undated", "_named")
     )
 
 
@@ -137,6 +162,13 @@ def without_content_of(files: DataFrame, others: DataFrame) -> DataFrame:
     return files.join(taken, "content_digest", "left_anti").select(*files.columns)
 
 
+def without_copies_of(files: DataFrame, holders: DataFrame) -> DataFrame:
+    """Files that hold their content themselves, or whose content no holder has."""
+    own = files.join(holders.select("path"), "path", "left_semi")
+    others = files.join(holders.select("path"), "path", "left_anti")
+    return own.unionByName(without_content_of(others, holders))
+
+
 def ignored_duplicates(
     current: DataFrame, manifest: DataFrame, unseen: DataFrame
 ) -> DataFrame:

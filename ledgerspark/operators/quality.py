@@ -55,10 +55,10 @@ def stage(trusted: DataFrame) -> DataFrame:
 def repeated_pairs(df: DataFrame, first: str, second: str) -> DataFrame:
     """(first, second, count of first, count of second) where either value repeats.
 
-    One aggregate of the rows by both columns; the counts of each follow from it. The
-    null value of ``first`` is not counted (0).
+    One aggregate of the rows by both columns, stored; the counts of each follow from it, so
+    ``df`` is read once. The null value of ``first`` is not counted (0).
     """
-    pairs = df.groupBy(first, second).agg(F.count(F.lit(1)).alias("n"))
+    pairs = materialize(df.groupBy(first, second).agg(F.count(F.lit(1)).alias("n")), "key-pairs")
 
     def repeated(key: str, name: str) -> DataFrame:
         return (
@@ -106,19 +106,31 @@ def add_occurrences(staged: DataFrame, *, write_counts: bool = False) -> DataFra
         repeated = materialize(repeated, "repeated-keys")
     else:
         repeated = own_exchange(repeated)
+    return join_occurrences(staged, repeated)
+
+
+def join_occurrences(staged: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``staged`` with the counts of ``repeated`` (as from :func:`repeated_pairs`).
+
+    Where that has none, the counts that ``staged`` has stay; without any, a key occurs once
+    and a null id never.
+    """
     same = F.col("s.transaction_partner_sk").eqNullSafe(F.col("r.transaction_partner_sk")) & F.col(
         "s.transaction_id"
     ).eqNullSafe(F.col("r.transaction_id"))
     once, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    ids, keys = COUNT_COLUMNS
+    known = ids in staged.columns
+    others = [F.col(f"s.{c}") for c in staged.columns if c not in COUNT_COLUMNS]
     return (
         staged.alias("s")
         .join(repeated.alias("r"), same, "left")
         .select(
-            "s.*",
+            *others,
             F.when(F.col("s.transaction_id").isNull(), none)
-            .otherwise(F.coalesce("r.first_count", once))
-            .alias("transaction_id_occurrences"),
-            F.coalesce("r.second_count", once).alias("transaction_partner_sk_occurrences"),
+            .otherwise(F.coalesce("r.first_count", F.col(f"s.{ids}") if known else once))
+            .alias(ids),
+            F.coalesce("r.second_count", F.col(f"s.{keys}") if known else once).alias(keys),
         )
     )
 
@@ -152,14 +164,19 @@ def classify(
     A row whose only fault is a NULL amount has a NULL ``is_rejected`` and is neither
     accepted nor rejected. ``null_amount='reject'`` treats it as a non-positive amount.
     """
+    base = staged.select(*BASE_COLUMNS)
+    return judge(add_occurrences(base, write_counts=write_counts), null_amount)
+
+
+def judge(counted: DataFrame, null_amount: str = "keep") -> DataFrame:
+    """Flags, verdict and reason of rows that have their counts; see :func:`classify`."""
     if null_amount not in ("keep", "reject"):
         raise ValueError("null_amount must be 'keep' or 'reject'.")
     flags = rejection_flags()
     if null_amount == "reject":
         name, condition = flags["non_positive_amount"]
         flags["non_positive_amount"] = (name, F.coalesce(condition, F.lit(True)))
-    base = staged.select(*BASE_COLUMNS)
-    return add_occurrences(base, write_counts=write_counts).select(
+    return counted.select(
         *BASE_COLUMNS,
         *COUNT_COLUMNS,
         F.year("created_at").alias("year"),

@@ -38,6 +38,7 @@ from ledgerspark.sinks.tables import (
 )
 from ledgerspark.sources import landing
 from ledgerspark.sources.bronze import scan_bronze
+from ledgerspark.sources.ranges import RANGE_BYTES, scan_ranges
 
 DRIFT_DDL = "field string, frozen_type string, observed_type string, status string"
 PENDING_DDL = "year int, month int, days array<int>"
@@ -63,6 +64,8 @@ class IngestConfig:
     # Compare the fields of the files to read with the kept schema: one more pass over them.
     report_drift: bool = False
     rebalance: bool = True
+    # Files are read by ranges of so many bytes; part of a large file's identity, so keep it.
+    range_bytes: int = RANGE_BYTES
     # Versions of the trusted table to keep after a load, for readers still on the last one.
     keep_versions: int = 2
 
@@ -72,16 +75,16 @@ class IngestConfig:
 
 @dataclass(frozen=True)
 class BronzePlan:
-    """What a bronze run will read. File lists are frames, months are small."""
+    """What a bronze run will read. Sets of files are stored frames, months are small."""
 
     current: DataFrame
+    scans: DataFrame  # byte ranges of the files that were opened
     manifest: DataFrame
     unseen: DataFrame
     changed: DataFrame
     ignored: DataFrame
+    reread: DataFrame  # other files to read, for the months to rebuild
     impacted: list[int]
-    new_paths: list[str]
-    reread_paths: list[str]
 
 
 def read_manifest(spark: SparkSession, config: IngestConfig) -> DataFrame:
@@ -100,46 +103,64 @@ def read_drift(spark: SparkSession, config: IngestConfig) -> DataFrame:
 def plan_bronze(spark: SparkSession, config: IngestConfig) -> BronzePlan:
     """Compare the landing folder with the manifest. Changes nothing."""
     manifest = read_manifest(spark, config)
-    # The listing is joined several times; hash and parse the files once.
-    current = materialize(
-        landing.describe_directory(
-            spark,
-            config.landing_dir,
-            manifest,
-            tokens=config.tokens,
-            extension=config.extension,
-            time_column=config.time_column,
-            trust_mtime=config.trust_mtime,
-        ),
-        "landing",
+    described = landing.describe_directory(
+        spark,
+        config.landing_dir,
+        manifest,
+        tokens=config.tokens,
+        extension=config.extension,
+        time_column=config.time_column,
+        trust_mtime=config.trust_mtime,
+        range_bytes=config.range_bytes,
     )
+    # Joined several times: hash and parse the files once.
+    current = materialize(described.current, "landing")
     changed = materialize(m.changed_files(current, manifest), "changed")
     # A new file may also repeat what a changed file holds now.
     fresh = m.unseen_files(current, manifest)
     unseen = materialize(m.without_content_of(fresh, changed), "unseen")
     impacted = _impacted(spark, config, changed, unseen)
-    reread_paths: list[str] = []
+    reread = current.limit(0)
     if impacted:
         months = spark.createDataFrame([(v,) for v in impacted], "month_id int")
         to_read = m.files_to_read(current, months, unseen)
-        reread = to_read.join(unseen.select("path"), "path", "left_anti")
-        # Copies stay ignored in a rebuild: of a new file, and of one that is no longer in
-        # the landing folder but whose rows bronze keeps.
-        gone = manifest.join(current.select("path"), "path", "left_anti")
-        reread = m.without_content_of(m.without_content_of(reread, unseen), gone)
-        reread_paths = landing.path_list(m.first_copies(reread))
+        rest = to_read.join(unseen.select("path"), "path", "left_anti")
+        # Copies stay ignored in a rebuild: of a new file, and of a file whose rows bronze
+        # holds, whether that file is still in the landing folder or not.
+        holders = _holders(spark, config, manifest, changed, impacted)
+        rest = m.without_copies_of(m.without_content_of(rest, unseen), holders)
+        reread = materialize(m.first_copies(rest), "reread")
     return BronzePlan(
         current=current,
+        scans=described.scans,
         manifest=manifest,
         unseen=unseen,
         changed=changed,
         ignored=m.ignored_duplicates(current, manifest, unseen),
+        reread=reread,
         impacted=impacted,
-        new_paths=landing.path_list(unseen),
-        reread_paths=reread_paths,
     )
 
 
+def _holders(
+    spark: SparkSession,
+    config: IngestConfig,
+    manifest: DataFrame,
+    changed: DataFrame,
+    impacted: list[int],
+) -> DataFrame:
+    """Known files, not changed, of which bronze has rows in the months to rebuild.
+
+    Being in the manifest is not enough: an ignored copy is, and has no rows.
+    """
+    known = manifest.join(changed.select("path"), "path", "left_anti")
+    bronze = scan_bronze(spark, config.bronze_dir.rstrip("/"), impacted)
+    if bronze is None:
+        return known.limit(0)
+    held = bronze.select(F.col("source_file").alias("path")).distinct()
+    return materialize(known.join(held, "path", "left_semi"), "holders")
+
+
 def _impacted(
     spark: SparkSession, config: IngestConfig, changed: DataFrame, unseen: DataFrame
 ) -> list[int]:
@@ -162,57 +183,73 @@ def _interrupted_months(spark: SparkSession, config: IngestConfig) -> list[int]
     return None if text is None else json.loads(text)
 
 
-def _schema(spark: SparkSession, config: IngestConfig, paths: list[str]) -> T.StructType:
+def _schema(spark: SparkSession, config: IngestConfig, scans: DataFrame) -> T.StructType:
     path = config.state("schema.json")
     schema = load_schema(spark, path)
     if schema is None:
-        schema = config.schema or landing.observe_schema(spark, paths)
+        schema = config.schema or landing.observe_schema(scans, config.range_bytes)
         save_schema(spark, path, schema)
     return schema
 
 
-def _bronze_rows(
-    spark: SparkSession, config: IngestConfig, paths: list[str], schema: T.StructType
-) -> DataFrame:
-    records = landing.read_records(spark, paths, schema)
+def _ranges(config: IngestConfig, plan: BronzePlan, files: DataFrame) -> DataFrame:
+    """Byte ranges of ``files``; those not opened by the plan are scanned now."""
+    scans = plan.scans.join(files.select("path"), "path", "left_semi")
+    if config.trust_mtime:
+        rest = files.join(plan.scans.select("path"), "path", "left_anti")
+        if not rest.isEmpty():
+            return scans.unionByName(materialize(scan_ranges(rest, config.range_bytes), "ranges"))
+    return scans
+
+
+def _bronze_rows(config: IngestConfig, scans: DataFrame, schema: T.StructType) -> DataFrame:
+    records = landing.read_records(scans, schema, config.range_bytes)
     return add_event_time(records, config.time_column, config.timestamp_column)
 
 
-def _archived_rows(
+def _kept_rows(
     spark: SparkSession, config: IngestConfig, plan: BronzePlan
 ) -> DataFrame | None:
-    """Rows of the months being rebuilt whose file has left the landing folder."""
+    """Rows of the months being rebuilt whose file is not read again.
+
+    Rows of files that changed go, and so do those whose content is read from any file.
+    """
     bronze = scan_bronze(spark, config.bronze_dir.rstrip("/"), plan.impacted)
     if bronze is None:
         return None
-    present = plan.current.select(F.col("path").alias("source_file"))
-    return bronze.join(present, "source_file", "left_anti").select(*bronze.columns)
+    taken = plan.reread.select("path", "content_digest").unionByName(
+        plan.unseen.select("path", "content_digest")
+    )
+    gone = taken.select("path").unionByName(plan.changed.select("path"))
+    kept = m.without_content_of(plan.manifest.join(gone, "path", "left_anti"), taken)
+    files = kept.select(F.col("path").alias("source_file"))
+    return bronze.join(files, "source_file", "left_semi").select(*bronze.columns)
 
 
 def _write_bronze(spark: SparkSession, config: IngestConfig, plan: BronzePlan) -> list[int]:
     """Append new files, rebuild impacted months; returns the months written."""
-    paths = plan.new_paths + plan.reread_paths
-    schema = _schema(spark, config, paths)
-    if config.report_drift and paths:
-        found = schema_drift(schema, landing.observe_schema(spark, paths), spark)
-        _replace_state(found, config.state("drift"))
+    sides = {"new": plan.unseen, "reread": plan.reread}
+    scans = {side: _ranges(config, plan, files) for side, files in sides.items() if not files.isEmpty()}
+    if scans:
+        every = reduce(DataFrame.unionByName, scans.values())
+        schema = _schema(spark, config, every)
+        if config.report_drift:
+            found = schema_drift(schema, landing.observe_schema(every, config.range_bytes), spark)
+            _replace_state(found, config.state("drift"))
     bronze = config.bronze_dir.rstrip("/")
     if not plan.impacted:
-        rows = _bronze_rows(spark, config, plan.new_paths, schema)
+        rows = _bronze_rows(config, scans["new"], schema)
         return sorted(append_months(rows, bronze, rebalance=config.rebalance).months)
 
     # Parse once into a staging area; nothing in bronze changes if a record is bad.
     with scratch_folder(spark, "bronze-staging") as staging:
-        sides = {"new": plan.new_paths, "reread": plan.reread_paths}
-        for side, paths in sides.items():
-            if paths:
-                rows = _bronze_rows(spark, config, paths, schema)
-                append_months(rows, f"{staging}/{side}", rebalance=config.rebalance)
-        archived = _archived_rows(spark, config, plan)
-        if archived is not None:
-            append_months(archived, f"{staging}/archived", rebalance=False)
-        sides["archived"] = []
-        staged = {side: scan_bronze(spark, f"{staging}/{side}") for side in sides}
+        for side, ranges in scans.items():
+            rows = _bronze_rows(config, ranges, schema)
+            append_months(rows, f"{staging}/{side}", rebalance=config.rebalance)
+        kept = _kept_rows(spark, config, plan)
+        if kept is not None:
+            append_months(kept, f"{staging}/kept", rebalance=False)
+        staged = {side: scan_bronze(spark, f"{staging}/{side}") for side in (*sides, "kept")}
         in_impacted = month_predicate(plan.impacted)
         rebuilt = [rows.where(in_impacted) for rows in staged.values() if rows is not None]
         touched = set(plan.impacted)
@@ -234,7 +271,7 @@ def run_bronze(spark: SparkSession, config: IngestConfig) -> BronzePlan:
     """Bring bronze up to date with the landing folder and mark its months pending."""
     plan = plan_bronze(spark, config)
     in_progress = config.state("write_in_progress.json")
-    if plan.new_paths or plan.reread_paths or plan.impacted:
+    if plan.impacted or not plan.unseen.isEmpty():
         fs.write_text(spark, in_progress, json.dumps(_planned_months(plan)))
         touched = _write_bronze(spark, config, plan)
         _add_pending(spark, config, touched)

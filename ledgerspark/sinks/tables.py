@@ -21,6 +21,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark import fs
 from ledgerspark.functions.calendar import UNDATED, month_id, month_predicate
@@ -58,11 +59,24 @@ def current_path(spark: SparkSession, root: str) -> str:
     return versions[-1]
 
 
+def current_version(spark: SparkSession, root: str) -> int:
+    """Number of the version that readers see; 0 without a table."""
+    versions = _versions(spark, root)
+    return _number(versions[-1]) if versions else 0
+
+
+def roll_back(spark: SparkSession, root: str, version: int) -> None:
+    """Take back all versions after the given one (0: the table goes)."""
+    for path in fs.glob(spark, f"{root}/v=*"):
+        if _number(path) > version:
+            fs.delete(spark, path)
+
+
 def _marker(spark: SparkSession, path: str) -> dict:
     return json.loads(fs.read_text(spark, f"{path}/{MARKER}") or "{}")
 
 
-def _month_writes(spark: SparkSession, root: str) -> dict[int, list[str]] | None:
+def month_writes(spark: SparkSession, root: str) -> dict[int, list[str]] | None:
     """Month -> the writes it consists of; None if the table is not kept by month."""
     months = _marker(spark, current_path(spark, root)).get("months")
     return None if months is None else {int(m): writes for m, writes in months.items()}
@@ -78,7 +92,7 @@ def _months_of_write(writes: dict[int, list[str]]) -> dict[str, list[int]]:
 
 def source_of(spark: SparkSession, root: str) -> tuple[str, Column]:
     """Folder of the current version's files, and a filter for those that belong to it."""
-    writes = _month_writes(spark, root)
+    writes = month_writes(spark, root)
     if writes is None:
         return current_path(spark, root), F.lit(True)
     terms = [
@@ -90,7 +104,7 @@ def source_of(spark: SparkSession, root: str) -> tuple[str, Column]:
 
 def current_files_sql(spark: SparkSession, root: str) -> str:
     """The filter of :func:`source_of` as SQL text, for a catalog view."""
-    writes = _month_writes(spark, root)
+    writes = month_writes(spark, root)
     if writes is None:
         return "TRUE"
     month = f"coalesce(year * 100 + month, {UNDATED})"
@@ -102,6 +116,10 @@ def current_files_sql(spark: SparkSession, root: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame:
+    marker = _marker(spark, current_path(spark, root))
+    if marker.get("months") == {} and "schema" in marker:
+        # No file to take the columns from.
+        return spark.createDataFrame([], T.StructType.fromJson(marker["schema"]))
     folder, belongs = source_of(spark, root)
     rows = spark.read.parquet(folder)
     if WRITE not in rows.columns:
@@ -134,6 +152,12 @@ def _publish(spark: SparkSession, path: str, **marker) -> None:
     fs.write_text(spark, f"{path}/{MARKER}", json.dumps(marker))
 
 
+def _publish_months(
+    df: DataFrame, path: str, rows: int, months: dict[int, list[str]]
+) -> None:
+    _publish(df.sparkSession, path, rows=rows, months=months, schema=json.loads(df.schema.json()))
+
+
 def _write_months(
     df: DataFrame, root: str, rebalance: bool
 ) -> tuple[int, set[int], str]:
@@ -171,7 +195,7 @@ def replace_table(
     if by_month:
         rows, months, name = _write_months(df, root, rebalance)
         if rows or not keep_if_empty:
-            _publish(spark, path, rows=rows, months={m: [name] for m in sorted(months)})
+            _publish_months(df, path, rows, {m: [name] for m in sorted(months)})
         return rows
     rows = _add_files(df, path, partition_by)
     if rows == 0 and keep_if_empty:
@@ -189,7 +213,7 @@ def replace_months(
     A month without rows becomes empty. A missing table is created.
     """
     spark = df.sparkSession
-    writes = _month_writes(spark, root) if table_exists(spark, root) else {}
+    writes = month_writes(spark, root) if table_exists(spark, root) else {}
     if writes is None:
         raise ValueError(f"Table {root} is not kept by month.")
     wanted = set(months)
@@ -198,7 +222,7 @@ def replace_months(
     if found - wanted:
         raise ValueError(f"Rows of months that are not replaced: {sorted(found - wanted)}.")
     kept = {m: names for m, names in writes.items() if m not in wanted}
-    _publish(spark, path, rows=rows, months=kept | {m: [name] for m in sorted(found)})
+    _publish_months(df, path, rows, kept | {m: [name] for m in sorted(found)})
     return rows
 
 
@@ -209,13 +233,13 @@ def append_table(
     spark = df.sparkSession
     if not table_exists(spark, root):
         return replace_table(df, root, by_month=by_month, rebalance=rebalance)
-    writes = _month_writes(spark, root)
+    writes = month_writes(spark, root)
     if writes is None:
         return _add_files(df, current_path(spark, root))
     path = _next_path(spark, root)
     rows, found, name = _write_months(df, root, rebalance)
     if rows:
-        _publish(spark, path, rows=rows, months=writes | {m: [*writes.get(m, ()), name] for m in found})
+        _publish_months(df, path, rows, writes | {m: [*writes.get(m, ()), name] for m in found})
     return rows
 
 
@@ -251,7 +275,7 @@ def _upsert(source: DataFrame, root: str, keys: list[str], by_month: bool) -> in
     if rows == 0:
         return 0
     target = read_table(spark, root)
-    if _month_writes(spark, root) is None:
+    if month_writes(spark, root) is None:
         replace_table(upsert_rows(target, source, keys), root)
     else:
         _upsert_months(target, source, root, keys)

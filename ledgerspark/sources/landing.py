@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerspark import fs
-from ledgerspark.operators.manifest import STATE_COLUMNS, add_file_coverage
+from ledgerspark.operators.manifest import STATE_COLUMNS, add_record_coverage
 from ledgerspark.schema import storable
 from ledgerspark.session import materialize
+from ledgerspark.sources.ranges import RANGE_BYTES, file_digests, json_records, scan_ranges
 
 
 def _matching(
@@ -24,17 +27,8 @@ def _matching(
     wanted = name.endswith(extension)
     for token in tokens:
         wanted = wanted & name.contains(token)
-    return _binary(spark, [directory], f"*{extension}").where(wanted)
-
-
-def _binary(spark: SparkSession, paths: Sequence[str], name_glob: str = "*") -> DataFrame:
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", name_glob)
-    return reader.load(_literal(paths))
-
-
-def _literal(paths: Sequence[str]) -> list[str]:
-    """Paths for a Spark reader, with its pattern characters escaped."""
-    return [re.sub(r"([\\\[\]{}*?])", r"\\\1", path) for path in paths]
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{extension}")
+    return reader.load(re.sub(r"([\\\[\]{}*?])", r"\\\1", directory)).where(wanted)
 
 
 def list_files(
@@ -54,22 +48,27 @@ def list_files(
     )
 
 
-def _describe(files: DataFrame, time_column: str, extension: str) -> DataFrame:
-    """State of each binary file: size, time, sha-256, first date and months.
+@dataclass(frozen=True)
+class Described:
+    """State of all landing files, and the byte ranges of those that were opened."""
 
-    One pass over the bytes and no shuffle: the digest and the dates come from the same
-    scan, and only the event-time field is kept from the records.
-    """
-    records = T.ArrayType(T.StructType([T.StructField(time_column, T.StringType())]))
-    parsed = F.from_json(F.col("content").cast("string"), records)
-    described = files.select(
-        "path",
-        F.col("length").alias("size_bytes"),
-        F.col("modificationTime").alias("modified_at"),
-        F.sha2("content", 256).alias("content_digest"),
-        F.transform(parsed, lambda r: r[time_column]).alias("_values"),
+    current: DataFrame
+    scans: DataFrame
+
+
+def _describe(
+    files: DataFrame, scans: DataFrame, time_column: str, extension: str, range_bytes: int
+) -> DataFrame:
+    """First date and months of each file: only the event-time field of its records is kept."""
+    field = T.StructType([T.StructField(time_column, T.StringType())])
+    records = json_records(_ranges_of(scans, files), range_bytes).select(
+        "path", F.from_json("value", field)[time_column].alias("_value")
     )
-    return add_file_coverage(described, "_values", extension=extension).select(*STATE_COLUMNS)
+    return add_record_coverage(files, records, "_value", extension).select(*STATE_COLUMNS)
+
+
+def _ranges_of(scans: DataFrame, files: DataFrame) -> DataFrame:
+    return scans.join(files.select("path"), "path", "left_semi")
 
 
 def describe_directory(
@@ -81,83 +80,74 @@ def describe_directory(
     extension: str = ".json",
     time_column: str = "created_at",
     trust_mtime: bool = False,
-) -> DataFrame:
+    range_bytes: int = RANGE_BYTES,
+) -> Described:
     """Current state of all landing files.
 
-    By default every file is hashed, so a change that keeps size and time is seen. With
+    Files of any size are read by ranges, one pass for digests and the places of records. By
+    default every file is hashed, so a change that keeps size and time is seen. With
     ``trust_mtime`` only files whose size or time differ from the manifest are opened. In
     both cases only content that the manifest does not hold for the path is parsed; of
     the other files the stored dates and months are taken.
     """
-    if trust_mtime:
-        seen = list_files(spark, directory, tokens, extension)
-        same = ["path", "size_bytes", "modified_at"]
-    else:
-        seen = materialize(
-            _matching(spark, directory, tokens, extension).select(
-                "path",
-                F.col("length").alias("size_bytes"),
-                F.col("modificationTime").alias("modified_at"),
-                F.sha2("content", 256).alias("content_digest"),
-            ),
-            "digests",
-        )
-        same = ["path", "content_digest"]
+    seen = materialize(list_files(spark, directory, tokens, extension), "listing")
     known = manifest.where(F.col("content_digest").isNotNull())
-    stored = known.select(*same, *[c for c in STATE_COLUMNS if c not in seen.columns])
-    unchanged = seen.join(stored, same).select(*STATE_COLUMNS)
-    paths = path_list(seen.join(known.select(*same), same, "left_anti"))
-    if not paths:
-        return unchanged
-    opened = _describe(_binary(spark, paths), time_column, extension)
-    return unchanged.unionByName(opened)
+    same = ["path", "size_bytes", "modified_at"] if trust_mtime else ["path", "content_digest"]
+    wanted = seen.join(known.select(*same), same, "left_anti") if trust_mtime else seen
+    scans = materialize(scan_ranges(wanted, range_bytes), "ranges")
+    hashed = materialize(wanted.join(file_digests(scans), "path"), "digests")
+    current = seen if trust_mtime else hashed
+    stored = known.select(*same, *[c for c in STATE_COLUMNS if c not in current.columns])
+    unchanged = current.join(stored, same).select(*STATE_COLUMNS)
+    opened = hashed if trust_mtime else hashed.join(known.select(*same), same, "left_anti")
+    if opened.isEmpty():
+        return Described(unchanged, scans)
+    described = _describe(opened, scans, time_column, extension, range_bytes)
+    return Described(unchanged.unionByName(described), scans)
 
 
-def listed_path(file_path: Column) -> Column:
-    """A record's ``_metadata.file_path``, which is encoded as a URI, as listings have it."""
-    plain = F.url_decode(F.regexp_replace(file_path, "\\+", "%2B"))
-    return F.regexp_replace(plain, "^file:/+", "file:/")
+def in_source_order(files: DataFrame) -> DataFrame:
+    return files.orderBy("file_date", "path")
 
 
-def path_list(files: DataFrame) -> list[str]:
-    """Paths in source order (first date, then path), names only.
+def with_positions(files: DataFrame) -> DataFrame:
+    """Add ``position``, the place of each file in source order (first date, path), from 1.
 
-    They go to the driver because Spark's reader takes a list, which its own file index
-    keeps there too.
+    The sorted files are stored; counts per part give the offsets, so neither the driver nor
+    one task holds the list.
     """
-    ordered = in_source_order(files) if "file_date" in files.columns else files
-    return [row["path"] for row in ordered.select("path").collect()]
-
-
-def in_source_order(files: DataFrame) -> DataFrame:
-    return files.orderBy("file_date", "path")
+    place = F.monotonically_increasing_id()
+    ordered = materialize(in_source_order(files).withColumn("_place", place), "ordered-files")
+    part = F.shiftright("_place", 33).alias("_part")
+    sizes = ordered.select(part).groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.selectExpr(
+        "_part", "sum(_n) OVER (ORDER BY _part ROWS UNBOUNDED PRECEDING) - _n AS _before"
+    )
+    within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return ordered.withColumn("_part", part).join(before, "_part").select(
+        *files.columns, (F.col("_before") + within + 1).alias("position")
+    )
 
 
-def observe_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType:
+def observe_schema(scans: DataFrame, range_bytes: int = RANGE_BYTES) -> T.StructType:
     """Schema of the records as Spark infers it from all of them, in storable types."""
-    inferred = _records(spark).load(_literal(paths)).schema
-    return storable(inferred)
-
-
-def _records(spark: SparkSession):
-    return spark.read.format("json").option("multiLine", True)
+    spark = scans.sparkSession
+    texts = json_records(scans, range_bytes).select("value")
+    encoder = spark._jvm.org.apache.spark.sql.Encoders.STRING()
+    dataset = getattr(texts._jdf, "as")(encoder)
+    inferred = spark._jsparkSession.read().json(dataset).schema().json()
+    return storable(T.StructType.fromJson(json.loads(inferred)))
 
 
 def read_records(
-    spark: SparkSession, paths: Sequence[str], schema: T.StructType
-) -> DataFrame | None:
-    """Records of JSON array files with their ``source_file``; None without paths.
+    scans: DataFrame, schema: T.StructType, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
+    """Records of the JSON array files whose ranges ``scans`` holds, with their ``source_file``.
 
-    A malformed file or a value of another type fails the job. Unknown fields are
-    dropped. A JSON array is read by one task, so the number of files sets parallelism.
+    A malformed file or a value of another type fails the job. Unknown fields are dropped. A
+    file is read by as many tasks as it has ranges.
     """
-    if not paths:
-        return None
-    return (
-        _records(spark)
-        .schema(schema)
-        .option("mode", "FAILFAST")
-        .load(_literal(paths))
-        .select(*schema.fieldNames(), listed_path(F.col("_metadata.file_path")).alias("source_file"))
+    parsed = F.from_json("value", schema, {"mode": "FAILFAST"}).alias("record")
+    return json_records(scans, range_bytes).select(F.col("path").alias("source_file"), parsed).select(
+        *[F.col("record")[name].alias(name) for name in schema.fieldNames()], "source_file"
     )
-

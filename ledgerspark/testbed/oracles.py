@@ -179,7 +179,7 @@ runs AS (
 
 
 
-def _bronze(factor: str) -> str:
+def bronze_rows(factor: str) -> str:
     """Raw rows with their dates; ``factor`` scales the amounts."""
     return f"""WITH {TXN}
 SELECT transaction_id, strftime(created_at_timestamp, '%m/%d/%Y %H:%M:%S') AS created_at,
@@ -488,9 +488,9 @@ SELECT relation, "check", column_name, failures::BIGINT AS failures FROM (
   UNION ALL SELECT 'monthly_partner_premiums_by_currency', 'accepted_values', 'currency',
     odd_reported FROM c
 )""",
-    "ingest_correction_with_copies": _bronze("CASE WHEN status = 'processed' THEN 2 ELSE 1 END"),
-    "ingest_after_archiving": _bronze("CASE WHEN status = 'processed' THEN 1 ELSE 2 END"),
-    "append_second_file_same_month": _bronze("1"),
+    "ingest_correction_with_copies": bronze_rows("CASE WHEN status = 'processed' THEN 2 ELSE 1 END"),
+    "ingest_after_archiving": bronze_rows("CASE WHEN status = 'processed' THEN 1 ELSE 2 END"),
+    "append_second_file_same_month": bronze_rows("1"),
     "ingest_run_log": LOADS,
     "schema_drift_report": f"""WITH {TXN}
 SELECT field, frozen_type, observed_type, status,

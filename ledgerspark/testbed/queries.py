@@ -44,6 +44,7 @@ from ledgerspark.sinks.report import export_report, read_report
 from ledgerspark.sinks.runlog import append_run, read_run_log
 from ledgerspark.sources import landing
 from ledgerspark.sources.bronze import bronze_months
+from ledgerspark.sources.ranges import scan_ranges
 from ledgerspark.sources.relations import read_relation
 from ledgerspark.schema import RAW_SCHEMA
 from ledgerspark.testbed import tables as t
@@ -640,7 +641,7 @@ def manifest_after_ingest(spark, sf_dir):
 def json_ingest(spark, sf_dir):
     config, root = _landing_config(spark, sf_dir)
     files = landing.list_files(spark, config.landing_dir, config.tokens, config.extension)
-    records = landing.read_records(spark, landing.path_list(files), RAW_SCHEMA)
+    records = landing.read_records(scan_ranges(files), RAW_SCHEMA)
     parsed = eventtime.add_event_time(
         records.drop("source_file"), "created_at", "created_at_timestamp"
     )
@@ -671,11 +672,11 @@ def warehouse_checks(spark, sf_dir):
 RAW_FIELDS = RAW_SCHEMA.fieldNames()
 
 
-def _bronze_content(spark, config: IngestConfig) -> DataFrame:
+def bronze_content(spark, config: IngestConfig) -> DataFrame:
     return comparable(month_sink.read_months(spark, config.bronze_dir).select(*RAW_FIELDS, "year", "month", "day"))
 
 
-def _replace_files(spark, paths: list[str], rows: DataFrame, root: str) -> None:
+def replace_files(spark, paths: list[str], rows: DataFrame, root: str) -> None:
     """Put new content under old names: one file per path, as many as there are paths."""
     draft = f"{root}/corrections"
     write_landing(rows.repartition(len(paths), "transaction_id", "amount", "created_at"), draft)
@@ -686,11 +687,11 @@ def _replace_files(spark, paths: list[str], rows: DataFrame, root: str) -> None:
             fs.rename(spark, parts[k], path)
 
 
-def _landed(spark, config: IngestConfig) -> list[str]:
+def landed(spark, config: IngestConfig) -> list[str]:
     return fs.glob(spark, f"{config.landing_dir}/part-*")
 
 
-def _split_feed(spark, sf_dir, **options):
+def split_feed(spark, sf_dir, **options):
     """A feed, its processed rows and the rest, both stored so that they read the same twice."""
     config, root, rows = _feed(spark, sf_dir, **options)
     rows.write.parquet(f"{root}/rows")
@@ -702,38 +703,38 @@ def _split_feed(spark, sf_dir, **options):
 @query
 def ingest_correction_with_copies(spark, sf_dir):
     """One run corrects every old file and brings new files, each of them twice."""
-    config, root, first, second = _split_feed(spark, sf_dir)
+    config, root, first, second = split_feed(spark, sf_dir)
     write_landing(first, config.landing_dir)
     run_bronze(spark, config)
     corrected = first.withColumn("amount", F.col("amount") * 2)
-    _replace_files(spark, _landed(spark, config), corrected, root)
+    replace_files(spark, landed(spark, config), corrected, root)
     for _ in range(2):
         write_landing(second, config.landing_dir)
     run_bronze(spark, config)
-    return _bronze_content(spark, config)
+    return bronze_content(spark, config)
 
 
 @query
 def ingest_after_archiving(spark, sf_dir):
     """Files leave the landing folder before the others are corrected: their rows stay."""
-    config, root, first, second = _split_feed(spark, sf_dir)
+    config, root, first, second = split_feed(spark, sf_dir)
     write_landing(first, config.landing_dir)
     run_bronze(spark, config)
-    archived = _landed(spark, config)
+    archived = landed(spark, config)
     write_landing(second, config.landing_dir)
     run_bronze(spark, config)
     for path in archived:
         fs.delete(spark, path)
     corrected = second.withColumn("amount", F.col("amount") * 2)
-    _replace_files(spark, _landed(spark, config), corrected, root)
+    replace_files(spark, landed(spark, config), corrected, root)
     run_bronze(spark, config)
-    return _bronze_content(spark, config)
+    return bronze_content(spark, config)
 
 
 @query
 def append_second_file_same_month(spark, sf_dir):
     """Append mode with two deliveries for the same months: every row once."""
-    config, root, first, second = _split_feed(spark, sf_dir, write_mode="append")
+    config, root, first, second = split_feed(spark, sf_dir, write_mode="append")
     for part in (first, second):
         write_landing(part, config.landing_dir)
         run_ingest(spark, config, f"{root}/runs")
@@ -744,7 +745,7 @@ def append_second_file_same_month(spark, sf_dir):
 @query
 def schema_drift_report(spark, sf_dir):
     """The second delivery lacks the status and says through which channel it came."""
-    config, _, first, second = _split_feed(spark, sf_dir, report_drift=True)
+    config, _, first, second = split_feed(spark, sf_dir, report_drift=True)
     write_landing(first, config.landing_dir)
     run_bronze(spark, config)
     write_landing(second.drop("status").withColumn("channel", F.lit("branch")), config.landing_dir)
@@ -758,7 +759,7 @@ def schema_drift_report(spark, sf_dir):
 @query
 def ingest_run_log(spark, sf_dir):
     """Two loads and a skip, with months and rows as the log has them."""
-    config, root, first, second = _split_feed(spark, sf_dir)
+    config, root, first, second = split_feed(spark, sf_dir)
     for part in (first, second, None):
         if part is not None:
             write_landing(part, config.landing_dir)
@@ -773,10 +774,10 @@ def ingest_run_log(spark, sf_dir):
 @query
 def ingest_acknowledged_copies(spark, sf_dir):
     """Copies that arrive later are ignored once, then known: files and contents by run."""
-    config, root, first, _ = _split_feed(spark, sf_dir)
+    config, root, first, _ = split_feed(spark, sf_dir)
     write_landing(first, config.landing_dir)
     run_bronze(spark, config)
-    before = len(_landed(spark, config))
+    before = len(landed(spark, config))
     write_landing(first, config.landing_dir)
     plans = [run_bronze(spark, config) for _ in range(2)]
     known = read_manifest(spark, config)

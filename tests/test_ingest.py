@@ -79,17 +79,13 @@ def feed(spark, tmp_path):
     return Feed(spark, tmp_path)
 
 
-def base(paths):
-    return sorted(os.path.basename(p) for p in paths)
-
-
 def test_new_file_in_an_existing_month_is_appended(feed):
     feed.put("premium_transaction_2031_07_04.json", [(1, "07/04/2031 08:00:00")])
     feed.bronze()
     feed.put("premium_transaction_2031_07_19.json", [(2, "07/19/2031 08:00:00")])
     plan = feed.bronze()
-    assert base(plan.new_paths) == ["premium_transaction_2031_07_19.json"]
-    assert plan.reread_paths == []
+    assert feed.names(plan.unseen) == ["premium_transaction_2031_07_19.json"]
+    assert feed.names(plan.reread) == []
     assert feed.ids() == [1, 2]
     assert feed.pending() == {(2031, 7): [4, 19]}
 
@@ -113,7 +109,7 @@ def test_second_run_without_changes_parses_and_reads_nothing(feed, monkeypatch):
 
     monkeypatch.setattr(landing, "_describe", parsed)
     plan = feed.bronze()
-    assert (plan.new_paths, plan.reread_paths, plan.impacted) == ([], [], [])
+    assert (feed.names(plan.unseen), feed.names(plan.reread), plan.impacted) == ([], [], [])
     assert feed.ids() == [11, 12]
 
 
@@ -131,7 +127,7 @@ def test_file_without_a_date_in_its_name_uses_the_payload(feed):
     for row in ((1, "02/28/2031 01:00:00"), (2, "02/28/2031 02:00:00")):
         feed.put("premium_transactions_from_branch.json", [row])
         plan = feed.bronze()
-    assert base(plan.reread_paths) == ["premium_transactions_from_branch.json"]
+    assert feed.names(plan.reread) == ["premium_transactions_from_branch.json"]
     assert feed.ids() == [2]
 
 
@@ -144,7 +140,7 @@ def test_changed_file_over_a_year_end_rereads_the_files_of_both_months(feed):
     feed.put(wide, [(5, "12/31/2030 20:00:00"), (6, "01/01/2031 04:00:00")])
     plan = feed.bronze()
     assert feed.names(plan.changed) == [wide]
-    assert base(plan.reread_paths) == [near, wide]
+    assert feed.names(plan.reread) == [near, wide]
     assert feed.ids() == [3, 4, 5, 6]
 
 
@@ -154,7 +150,7 @@ def test_late_copy_is_ignored_and_then_acknowledged(feed):
     feed.bronze()
     feed.put("premium_transaction_resent_20310509.json", rows)
     plan = feed.bronze()
-    assert plan.new_paths == []
+    assert feed.names(plan.unseen) == []
     assert feed.names(plan.ignored) == ["premium_transaction_resent_20310509.json"]
     assert feed.names(feed.bronze().ignored) == []
     assert feed.ids() == [1]
@@ -165,7 +161,7 @@ def test_copies_that_arrive_together_are_read_once(feed):
     for name in names:
         feed.put(name, [(1, "05/09/2031 00:00:00")])
     plan = feed.bronze()
-    assert base(plan.new_paths) == names[:1]
+    assert feed.names(plan.unseen) == names[:1]
     assert feed.names(plan.ignored) == names[1:]
     assert feed.ids() == [1]
     assert feed.names(read_manifest(feed.spark, feed.config)) == names
@@ -436,10 +432,10 @@ def test_file_names_with_pattern_characters_and_spaces(feed):
     feed.put(name, [(1, "01/01/2025 00:00:00")])
     feed.put("premium_transaction_1 a%20 20250102x.json", [(2, "01/02/2025 00:00:00")])
     plan = feed.bronze()
-    assert name in base(plan.new_paths)
+    assert name in feed.names(plan.unseen)
     assert feed.ids() == [1, 2]
     feed.put(name, [(3, "01/01/2025 00:00:00")])
-    assert len(feed.bronze().reread_paths) == 2
+    assert len(feed.names(feed.bronze().reread)) == 2
     assert feed.ids() == [2, 3]
 
 
@@ -476,3 +472,76 @@ def test_new_file_equal_to_a_changed_file_is_a_copy(feed):
     feed.put("premium_transaction_c_20250101.json", corrected)
     feed.bronze()
     assert feed.ids() == [2]
+
+
+def test_removed_copy_of_an_original_keeps_its_rows(feed):
+    """The copy was ignored, so bronze has no rows of it: it holds nothing."""
+    rows = [(1, "05/01/2031 00:00:00")]
+    feed.put("premium_transaction_a_20310501.json", rows)
+    copies = [feed.put(f"premium_transaction_a_copy{k}_20310501.json", rows) for k in range(2)]
+    feed.put("premium_transaction_b_20310502.json", [(2, "05/02/2031 00:00:00")])
+    feed.bronze()
+    for row, copy in zip((99, 100), copies):
+        copy.unlink()
+        feed.put("premium_transaction_b_20310502.json", [(row, "05/02/2031 00:00:00")])
+        feed.bronze()
+        assert feed.ids() == [1, row]
+
+
+@pytest.mark.parametrize("mode", ["append", "replace"])
+def test_renamed_original_and_its_copies_are_loaded_once(spark, tmp_path, mode):
+    feed = Feed(spark, tmp_path, write_mode=mode)
+    rows = [(1, "05/01/2031 00:00:00"), (2, "06/01/2031 00:00:00")]
+    first = feed.put("premium_transaction_m_20310501.json", rows)
+    other = feed.put("premium_transaction_b_20310502.json", [(3, "05/02/2031 00:00:00")])
+    feed.bronze()
+    feed.load()
+    # Sorts before the original, and stays when that goes.
+    feed.put("premium_transaction_c_20310501.json", rows)
+    feed.bronze()
+    for k, day in enumerate(("05/03", "06/02")):
+        if k:
+            first.unlink()
+        other.unlink()
+        other = feed.put(f"premium_transaction_b{k}_20310502.json", [(3, f"{day}/2031 00:00:00"), (4 + k, f"{day}/2031 00:00:00")])
+        feed.bronze()
+        feed.load()
+    # Files that left keep their rows; the copied content is there once.
+    assert feed.ids() == [1, 2, 3, 3, 3, 4, 5]
+    assert feed.trusted_ids() == [1, 2, 3, 3, 3, 4, 5]
+
+
+def test_corrected_file_that_becomes_a_copy_of_an_archived_one(feed):
+    gone = feed.put("premium_transaction_a_20310501.json", [(1, "05/01/2031 00:00:00")])
+    feed.put("premium_transaction_b_20310502.json", [(2, "05/02/2031 00:00:00")])
+    feed.bronze()
+    text = gone.read_text()
+    gone.unlink()
+    feed.put_text("premium_transaction_b_20310502.json", text)
+    feed.bronze()
+    assert feed.ids() == [1]
+
+
+def test_files_are_read_by_ranges(spark, tmp_path):
+    feed = Feed(spark, tmp_path, range_bytes=100)
+    rows = [(k, f"05/{1 + k % 28:02d}/2031 00:00:00") for k in range(40)]
+    feed.put("premium_transaction_a.json", rows)
+    feed.put("premium_transaction_b.json", [(99, "06/01/2031 00:00:00")])
+    plan = feed.bronze()
+    assert plan.scans.count() > 15
+    assert feed.ids() == [*range(40), 99]
+    state = {os.path.basename(r["path"]): r for r in read_manifest(feed.spark, feed.config).collect()}
+    assert state["premium_transaction_a.json"]["months"] == [203105]
+    assert state["premium_transaction_a.json"]["file_date"] == 20310501
+    feed.put("premium_transaction_a.json", rows[:39])
+    assert feed.names(feed.bronze().changed) == ["premium_transaction_a.json"]
+    assert feed.ids() == [*range(39), 99]
+
+
+def test_malformed_file_changes_nothing(feed):
+    feed.put("premium_transaction_a_20310501.json", [(1, "05/01/2031 00:00:00")])
+    feed.bronze()
+    feed.put_text("premium_transaction_b_20310501.json", '[{"id": 2, "created_at": "05/01/2031 00:00:00"},')
+    with pytest.raises(Exception, match="not a JSON array"):
+        feed.bronze()
+    assert feed.ids() == [1]

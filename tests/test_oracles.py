@@ -6,8 +6,7 @@ import os
 import duckdb
 import pytest
 
-from ledgerspark.testbed.oracles import ORACLES
-from ledgerspark.testbed.queries import QUERIES
+from ledgerspark.testbed.all import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
