@@ -25,7 +25,7 @@ from ledgerspark.llm.pieces import ragged, slices
 from ledgerspark.llm.text import whole_text
 from ledgerspark.session import materialize, scratch_path
 
-FIRST_PREFIX = 6
+FIRST_PREFIX = 8
 SCALE = 1_000_000_000
 
 # Bytes of terms: ASCII letters, in lower case, and all bytes of other characters.
@@ -141,7 +141,7 @@ def _batch(level, lang: pa.Array, source: pa.Array, items: list, n, n_docs) -> p
 
 
 # A task adds up so many terms, or rows of counts, before it passes them on.
-MOST_TERMS, MOST_ROWS = 500_000, 3_000_000
+MOST_TERMS, MOST_ROWS = 300_000, 1_500_000
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

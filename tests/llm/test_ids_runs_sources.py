@@ -319,18 +319,19 @@ def test_divergence_is_brute_force(spark, monkeypatch):
 
 
 def test_prefixes_are_counted_once_per_document_and_discarded(spark):
-    """abcdef + ten endings in two documents: a prefix of two documents, whatever its terms."""
-    many = " ".join("abcdef" + chr(97 + k) + "tuvwxyz" for k in range(10))
-    rows = [("l", "s", many)] * 2 + [("l", "s", "abcdefg cd"), ("l", "t", "cd cd"), ("l", "t", "cd")]
+    """Ten terms of one beginning in two documents: a prefix of two, whatever its terms."""
+    many = " ".join("abcdefgh" + chr(97 + k) + "tuvwxyzuvw" for k in range(10))
+    rows = [("l", "s", many)] * 2 + [("l", "s", "abcdefghi cd"), ("l", "t", "cd cd"), ("l", "t", "cd")]
     counts = divergence._Counts()
     for lang, source, text in rows:
         counts.add([lang], [source], [text.encode()])
     counted = [batch.to_pylist() for batch in counts.batches()]
     prefixes = {(r["level"], r["item"]): r["n_docs"] for batch in counted[1:] for r in batch}
-    assert prefixes.pop((0, b"abcdef")) == 3
+    assert prefixes.pop((0, b"abcdefgh")) == 3
     assert len(prefixes) == 10 and set(prefixes.values()) == {2}
     complete = {(r["source"], r["item"]): (r["level"], r["n"], r["n_docs"]) for r in counted[0]}
-    assert complete["s", b"abcdefg"] == (1, 1, 1) and complete["s", b"abcdefatuvwxyz"] == (2, 2, 2)
+    assert complete["s", b"abcdefghi"] == (1, 1, 1)
+    assert complete["s", b"abcdefghatuvwxyzuvw"] == (2, 2, 2)
     assert complete["t", b"cd"] == (0, 3, 2)
     df = spark.createDataFrame(rows, "lang string, source string, text string")
     assert rows_of(divergence.source_divergence(df)) == divergence_by_force(rows)
