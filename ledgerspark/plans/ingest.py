@@ -23,7 +23,7 @@ from ledgerspark.functions.calendar import add_calendar_features, month_id, mont
 from ledgerspark.functions.eventtime import add_event_time
 from ledgerspark.operators import manifest as m
 from ledgerspark.operators.coverage import day_coverage, missing_days, pending_month_ids
-from ledgerspark.schema import load_schema, save_schema, schema_drift
+from ledgerspark.schema import evolved, load_schema, save_schema, schema_drift
 from ledgerspark.session import materialize, scratch_folder
 from ledgerspark.sinks.months import append_months, rebuild_months
 from ledgerspark.sinks.runlog import append_run, run_record
@@ -63,6 +63,9 @@ class IngestConfig:
     trust_mtime: bool = False
     # Compare the fields of the files to read with the kept schema: one more pass over them.
     report_drift: bool = False
+    # Add fields that later files bring to the kept schema, instead of leaving them out. A
+    # value that a kept field cannot hold is an error either way.
+    evolve_schema: bool = False
     rebalance: bool = True
     # Files are read by ranges of so many bytes; part of a large file's identity, so keep it.
     range_bytes: int = RANGE_BYTES
@@ -154,7 +157,7 @@ def _holders(
     Being in the manifest is not enough: an ignored copy is, and has no rows.
     """
     known = manifest.join(changed.select("path"), "path", "left_anti")
-    bronze = scan_bronze(spark, config.bronze_dir.rstrip("/"), impacted)
+    bronze = _scan_bronze(spark, config, impacted)
     if bronze is None:
         return known.limit(0)
     held = bronze.select(F.col("source_file").alias("path")).distinct()
@@ -189,9 +192,29 @@ def _schema(spark: SparkSession, config: IngestConfig, scans: DataFrame) -> T.St
     if schema is None:
         schema = config.schema or landing.observe_schema(scans, config.range_bytes)
         save_schema(spark, path, schema)
+    if config.evolve_schema:
+        wider = evolved(schema, landing.record_schema(scans, config.range_bytes))
+        if wider != schema:
+            # Saved before any file has the new fields: older files give null for them.
+            save_schema(spark, path, wider)
+        return wider
     return schema
 
 
+def _scan_bronze(spark: SparkSession, config: IngestConfig, months: list[int]) -> DataFrame | None:
+    """Bronze rows of some months, with the fields of the kept schema."""
+    root = config.bronze_dir.rstrip("/")
+    kept = load_schema(spark, config.state("schema.json"))
+    if kept is None:
+        return scan_bronze(spark, root, months)
+    added = [
+        T.StructField("source_file", T.StringType()),
+        T.StructField(config.timestamp_column, T.TimestampNTZType()),
+        T.StructField("day", T.IntegerType()),
+    ]
+    return scan_bronze(spark, root, months, [*kept.fields, *added])
+
+
 def _ranges(config: IngestConfig, plan: BronzePlan, files: DataFrame) -> DataFrame:
     """Byte ranges of ``files``; those not opened by the plan are scanned now."""
     scans = plan.scans.join(files.select("path"), "path", "left_semi")
@@ -214,7 +237,7 @@ def _kept_rows(
 
     Rows of files that changed go, and so do those whose content is read from any file.
     """
-    bronze = scan_bronze(spark, config.bronze_dir.rstrip("/"), plan.impacted)
+    bronze = _scan_bronze(spark, config, plan.impacted)
     if bronze is None:
         return None
     taken = plan.reread.select("path", "content_digest").unionByName(
@@ -296,7 +319,7 @@ def _replace_state(df: DataFrame, root: str) -> None:
 def _add_pending(spark: SparkSession, config: IngestConfig, touched: list[int]) -> None:
     """Union with months still pending; days are those bronze now holds."""
     months = sorted({*touched, *pending_month_ids(read_pending(spark, config))})
-    bronze = scan_bronze(spark, config.bronze_dir.rstrip("/"), months)
+    bronze = _scan_bronze(spark, config, months)
     marks = spark.createDataFrame([(v,) for v in months], "m int")
     if bronze is None:
         return
@@ -351,7 +374,7 @@ def run_silver(spark: SparkSession, config: IngestConfig, run_log_dir: str) -> D
         )
         append_run(record, run_log_dir)
         return record
-    bronze = scan_bronze(spark, config.bronze_dir.rstrip("/"), months)
+    bronze = _scan_bronze(spark, config, months)
     if bronze is None:
         record = run_record(
             spark,

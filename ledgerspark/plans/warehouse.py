@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark import fs
 from ledgerspark.functions.money import RATES_PER_EUR
 from ledgerspark.operators import marts, quality
 from ledgerspark.operators.checks import run_checks
@@ -41,6 +43,10 @@ LAYERS: Mapping[str, tuple[str, ...]] = {
 }
 
 
+# Which views are published, below the warehouse's root.
+VIEWS = "_state/views.json"
+
+
 @dataclass(frozen=True)
 class WarehouseConfig:
     """Where the relations live and how the two incremental ones are kept.
@@ -122,6 +128,10 @@ def build_warehouse(
             "monthly_partner_premiums_by_currency", marts.by_currency_from_totals(totals)
         ),
     }
+    # Views move to this build before the versions they may point at go.
+    published = _published_layers(spark, config)
+    if published:
+        publish_views(spark, config, published)
     for name in (*relations, "monthly_currency_totals"):
         drop_old_versions(spark, config.table(name), config.keep_versions)
     return relations
@@ -146,7 +156,8 @@ def publish_views(
     """Point a catalog view ``schema.relation`` at the current version of each relation.
 
     No data is copied: staging, accepted and rejected rows are selections from the stored
-    quality table. Each view switches to a new build in one catalog update.
+    quality table. Each view switches to a new build in one catalog update. The warehouse
+    remembers what is published, and every later build points these views at itself.
     """
     flags = [name for name, _ in quality.rejection_flags().values()]
     verdict_columns = [*quality.COUNT_COLUMNS, *flags, "is_rejected", "rejection_reason"]
@@ -178,6 +189,25 @@ def publish_views(
             )
 
 
+    state = config.table(VIEWS)
+    known = _published_layers(spark, config)
+    if known != {schema: tuple(names) for schema, names in layers.items()}:
+        fs.write_text(spark, state, json.dumps({k: list(v) for k, v in {**known, **layers}.items()}))
+
+
+def _published_layers(spark: SparkSession, config: WarehouseConfig) -> dict[str, tuple[str, ...]]:
+    text = fs.read_text(spark, config.table(VIEWS))
+    return {schema: tuple(names) for schema, names in json.loads(text or "{}").items()}
+
+
+def unpublish_views(spark: SparkSession, config: WarehouseConfig) -> None:
+    """Drop the published views and forget them; their schemas stay."""
+    for schema, names in _published_layers(spark, config).items():
+        for name in names:
+            spark.sql(f"DROP VIEW IF EXISTS {quoted(schema)}.{quoted(name)}")
+    fs.delete(spark, config.table(VIEWS))
+
+
 def export_monthly_report(
     spark: SparkSession,
     output_dir: str,

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerspark import fs
 from ledgerspark.functions.calendar import UNDATED, month_id, month_predicate
@@ -85,10 +86,22 @@ def has_data(spark: SparkSession, root: str) -> bool:
     return bool(fs.glob(spark, f"{root}/year=*/month=*"))
 
 
-def read_months(spark: SparkSession, root: str, months: Iterable[int] | None = None) -> DataFrame:
-    """The dataset, or only some of its months (pruned at planning time)."""
+def read_months(
+    spark: SparkSession,
+    root: str,
+    months: Iterable[int] | None = None,
+    fields: Iterable[T.StructField] | None = None,
+) -> DataFrame:
+    """The dataset, or only some of its months (pruned at planning time).
+
+    With ``fields``, the columns besides year and month; files that lack one give null.
+    """
+    reader = spark.read
+    if fields is not None:
+        parts = [T.StructField(c, T.IntegerType()) for c in PARTITION_COLUMNS]
+        reader = reader.schema(T.StructType([*fields, *parts]))
     # The cast matters only where every month is undated and Spark sees text.
-    df = spark.read.parquet(root)
+    df = reader.parquet(root)
     df = df.withColumns({c: F.col(c).cast("int") for c in PARTITION_COLUMNS})
     if months is None:
         return df

@@ -121,7 +121,14 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
         # No file to take the columns from.
         return spark.createDataFrame([], T.StructType.fromJson(marker["schema"]))
     folder, belongs = source_of(spark, root)
-    rows = spark.read.parquet(folder)
+    reader = spark.read
+    if "schema" in marker:
+        # Files of older writes may lack fields that later ones added.
+        schema = T.StructType.fromJson(marker["schema"])
+        own = [f for f in schema.fields if f.name not in month_sink.PARTITION_COLUMNS]
+        parts = [T.StructField(c, T.IntegerType()) for c in month_sink.PARTITION_COLUMNS]
+        reader = reader.schema(T.StructType([*own, *parts, T.StructField(WRITE, T.StringType())]))
+    rows = reader.parquet(folder)
     if WRITE not in rows.columns:
         return rows
     # The casts matter only where every month is undated and Spark sees text.
@@ -226,10 +233,23 @@ def replace_months(
     return rows
 
 
+# A month that consists of more writes than this is compacted by the append that adds one.
+MOST_WRITES = 64
+
+
 def append_table(
-    df: DataFrame, root: str, *, by_month: bool = False, rebalance: bool = True
+    df: DataFrame,
+    root: str,
+    *,
+    by_month: bool = False,
+    rebalance: bool = True,
+    most_writes: int = MOST_WRITES,
 ) -> int:
-    """Add rows to the current version, or create the table."""
+    """Add rows to the current version, or create the table.
+
+    A month table compacts the months that have gathered more than ``most_writes`` writes, so
+    that neither its marker nor its reads grow with the number of appends.
+    """
     spark = df.sparkSession
     if not table_exists(spark, root):
         return replace_table(df, root, by_month=by_month, rebalance=rebalance)
@@ -240,9 +260,26 @@ def append_table(
     rows, found, name = _write_months(df, root, rebalance)
     if rows:
         _publish_months(df, path, rows, writes | {m: [*writes.get(m, ()), name] for m in found})
+        compact_table(spark, root, most_writes)
     return rows
 
 
+def compact_table(spark: SparkSession, root: str, most_writes: int = 1) -> list[int]:
+    """Make one write of each month that consists of more than ``most_writes``.
+
+    The new files are published with one marker, in the sizes that REBALANCE gives them;
+    other months keep theirs. The marker and the filter of a read then have one name per
+    compacted month, however many appends there were. Returns the months.
+    """
+    writes = month_writes(spark, root)
+    if writes is None:
+        raise ValueError(f"Table {root} is not kept by month.")
+    months = sorted(m for m, names in writes.items() if len(names) > most_writes)
+    if months:
+        replace_months(read_table(spark, root).where(month_predicate(months)), root, months)
+    return months
+
+
 def upsert_table(
     df: DataFrame,
     root: str,

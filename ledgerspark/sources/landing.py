@@ -139,6 +139,24 @@ def observe_schema(scans: DataFrame, range_bytes: int = RANGE_BYTES) -> T.Struct
     return storable(T.StructType.fromJson(json.loads(inferred)))
 
 
+def record_schema(scans: DataFrame, range_bytes: int = RANGE_BYTES) -> T.StructType:
+    """Fields and types of all records, from one pass over them as VARIANT values."""
+    record = F.try_parse_json("value")
+    row = json_records(scans, range_bytes).agg(F.schema_of_variant_agg(record).alias("found")).first()
+    found = (row["found"] or "VOID").replace("OBJECT<", "STRUCT<")
+    if not found.startswith("STRUCT<") or found == "STRUCT<>":
+        return T.StructType()
+
+    def plain(kind: T.DataType) -> T.DataType:
+        # As schema inference has them: fractions are doubles, whole numbers BIGINT if they fit.
+        if isinstance(kind, T.DecimalType) and (kind.scale or kind.precision <= 18):
+            return T.DoubleType() if kind.scale else T.LongType()
+        return kind
+
+    fields = T._parse_datatype_string(found).fields
+    return T.StructType([T.StructField(f.name, plain(f.dataType)) for f in fields])
+
+
 def read_records(
     scans: DataFrame, schema: T.StructType, range_bytes: int = RANGE_BYTES
 ) -> DataFrame:

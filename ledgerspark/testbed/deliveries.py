@@ -12,7 +12,7 @@ from ledgerspark.functions import eventtime
 from ledgerspark.functions.calendar import add_calendar_features
 from ledgerspark.operators.manifest import STATE_DDL
 from ledgerspark.plans.incremental import IncrementalConfig, refresh, relations
-from ledgerspark.plans.ingest import read_manifest, run_bronze
+from ledgerspark.plans.ingest import read_manifest, run_bronze, run_ingest
 from ledgerspark.schema import RAW_SCHEMA
 from ledgerspark.session import scratch_path
 from ledgerspark.sinks import months as month_sink
@@ -181,3 +181,34 @@ def large_file_manifest(spark, sf_dir):
 def ordered_file_set(spark, sf_dir):
     """documents as landing files, with their places in source order."""
     return landing.with_positions(t.landing_files(spark, sf_dir)).select("path", "file_date", "position")
+
+
+@query
+def schema_evolution(spark, sf_dir):
+    """The second delivery lacks the status and says through which channel it came: the kept
+    schema grows, and the rows of both have all fields."""
+    config, _, first, second = split_feed(spark, sf_dir, evolve_schema=True)
+    write_landing(first, config.landing_dir)
+    run_ingest(spark, config, f"{config.landing_dir}-runs")
+    write_landing(second.drop("status").withColumn("channel", F.lit("branch")), config.landing_dir)
+    run_ingest(spark, config, f"{config.landing_dir}-runs")
+    trusted = tables.read_table(spark, config.trusted_dir)
+    return comparable(trusted.select(*RAW_FIELDS, "channel", "year", "month", "day"))
+
+
+@query
+def compacted_table(spark, sf_dir):
+    """orders in five appends, one per priority, then compacted: every row, and the writes its
+    month consists of."""
+    root = scratch_path(spark, "orders")
+    time = F.col("o_orderdate")
+    rows = t.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", "o_orderpriority", F.year(time).alias("year"), F.month(time).alias("month")
+    )
+    for first in "12345":
+        tables.append_table(rows.where(F.col("o_orderpriority").startswith(first)), root, by_month=True)
+    tables.compact_table(spark, root)
+    writes = [(m, len(names)) for m, names in tables.month_writes(spark, root).items()]
+    counts = spark.createDataFrame(writes, "month_id int, n_writes int")
+    found = tables.read_table(spark, root).withColumn("month_id", F.col("year") * 100 + F.col("month"))
+    return found.join(counts, "month_id", "left").drop("year", "month")

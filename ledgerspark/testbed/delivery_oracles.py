@@ -70,4 +70,15 @@ SELECT DISTINCT file_date, n_records, 2::BIGINT AS n_files,
 FROM txn, whole""",
     "ordered_file_set": f"""WITH {FILES}
 SELECT path, file_date, row_number() OVER (ORDER BY file_date, path) AS position FROM now""",
+    "schema_evolution": f"""WITH {TXN}
+SELECT transaction_id, strftime(created_at_timestamp, '%m/%d/%Y %H:%M:%S') AS created_at, amount,
+  currency, charged_partner, CASE WHEN status = 'processed' THEN status END AS status,
+  CASE WHEN status <> 'processed' THEN 'branch' END AS channel,
+  year(created_at_timestamp)::INTEGER AS year, month(created_at_timestamp)::INTEGER AS month,
+  day(created_at_timestamp)::INTEGER AS day
+FROM txn""",
+    "compacted_table": """
+SELECT o_orderkey, o_totalprice, o_orderpriority, 1::INTEGER AS n_writes,
+  (year(o_orderdate) * 100 + month(o_orderdate))::INTEGER AS month_id
+FROM orders""",
 }

@@ -545,3 +545,27 @@ def test_malformed_file_changes_nothing(feed):
     with pytest.raises(Exception, match="not a JSON array"):
         feed.bronze()
     assert feed.ids() == [1]
+
+
+def test_schema_grows_with_the_files(spark, tmp_path):
+    feed = Feed(spark, tmp_path, evolve_schema=True)
+    feed.put("premium_transaction_a.json", [(1, "05/01/2031 00:00:00")])
+    feed.bronze()
+    feed.load()
+    feed.put_text(
+        "premium_transaction_b.json",
+        '[{"id": 2, "created_at": "05/02/2031 00:00:00", "channel": "web", "rate": 1.5, "none": null},'
+        ' {"id": 3, "created_at": "06/01/2031 00:00:00", "rate": 2, "more": {"x": [1]}}]',
+    )
+    feed.bronze()
+    feed.load()
+    # A rebuild keeps the values of both.
+    feed.put("premium_transaction_a.json", [(9, "05/01/2031 00:00:00")])
+    feed.bronze()
+    feed.load()
+    rows = read_table(spark, feed.config.trusted_dir).orderBy("id").collect()
+    assert [(r["id"], r["channel"], r["rate"]) for r in rows] == [(2, "web", 1.5), (3, None, 2.0), (9, None, None)]
+    assert "none" not in rows[0].asDict() and '"x"' in rows[1]["more"]
+    feed.put_text("premium_transaction_c.json", '[{"id": "text", "created_at": "06/01/2031 00:00:00"}]')
+    with pytest.raises(Exception, match="id .string for bigint"):
+        feed.bronze()

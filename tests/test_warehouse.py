@@ -14,6 +14,7 @@ from ledgerspark.plans.warehouse import (
     export_monthly_report,
     publish_views,
     register,
+    unpublish_views,
 )
 from ledgerspark.sinks.report import REPORT_NAME, export_report, read_report
 from ledgerspark.sources.relations import quoted, read_relation
@@ -204,3 +205,21 @@ def test_views_of_a_merged_warehouse_show_its_current_months(spark, tmp_path):
             assert ids(view) == ids(relations["premium_transactions"])
     finally:
         spark.sql("DROP SCHEMA IF EXISTS merged_layer CASCADE")
+
+
+def test_published_views_follow_every_build(spark, tmp_path):
+    config = WarehouseConfig(str(tmp_path))
+    layers = {"followed": ("dim_partner", "premium_transactions", "stg_premium__transactions")}
+    build_warehouse(spark, trusted(spark, FIRST), config)
+    publish_views(spark, config, layers)
+    try:
+        for rows, partners in ((SECOND, ["p", "r"]), (FIRST, ["p", "q"]), (SECOND, ["p", "r"])):
+            # More builds than versions are kept, and nobody publishes again.
+            build_warehouse(spark, trusted(spark, rows), config)
+            assert sorted(r["partner_name"] for r in read_relation(spark, "followed.dim_partner").collect()) == partners
+            assert read_relation(spark, "followed.stg_premium__transactions").count() == len(rows)
+    finally:
+        unpublish_views(spark, config)
+        spark.sql("DROP SCHEMA followed CASCADE")
+    build_warehouse(spark, trusted(spark, FIRST), config)
+    assert not spark.catalog.databaseExists("followed")
