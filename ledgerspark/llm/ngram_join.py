@@ -324,6 +324,60 @@ def _candidate_nodes(docs: DataFrame, first: DataFrame, words: int, percent: int
     )
 
 
+# Tokens of so many sets are looked at again while these are in several components.
+CROWD = 16
+
+
+def _tied_in_crowds(
+    labelled: DataFrame, nodes: DataFrame, percent: int, rounds: int = 8
+) -> DataFrame | None:
+    """More pairs (a, b) that reach the threshold, among sets of frequent tokens; or None.
+
+    Copies of a lost original may be like some of each other, and not like one hub. Each
+    round takes another hub per crowded token and compares it with the sets of other
+    components, one row per posting, so that components grow before pairs are formed; the
+    pairs between those that are left are formed in full afterwards.
+    """
+    crowded = (
+        labelled.groupBy("token")
+        .agg(F.count(F.lit(1)).alias("count"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .where((F.col("count") >= CROWD) & (F.col("low") != F.col("high")))
+        .select("token")
+    )
+    crowd = materialize(
+        labelled.join(own_exchange(crowded), "token", "left_semi").select("token", "node", "n", "m", "root"),
+        "crowd",
+    )
+    found: DataFrame | None = None
+    for turn in range(rounds):
+        drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "m", "root")
+        hubs = crowd.groupBy("token").agg(F.min(drawn).alias("hub")).select("token", "hub.*").drop("h")
+        spokes = materialize(
+            crowd.alias("p")
+            .join(own_exchange(hubs).alias("h"), "token")
+            .where((F.col("p.root") != F.col("h.root")) & _possible("p", "h", percent))
+            .select(
+                F.col("p.node").alias("a"), F.col("h.node").alias("b"),
+                F.col("p.root").alias("root_a"), F.col("h.root").alias("root_b"),
+            )
+            .distinct(),
+            "crowd-spokes",
+        )
+        reached = materialize(_verified(spokes.select("a", "b"), nodes, percent), "crowd-links")
+        if reached.isEmpty():
+            break
+        found = reached if found is None else found.unionByName(reached)
+        joined = reached.join(spokes, ["a", "b"]).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        merged = components(joined).select(F.col("node").alias("root"), F.col("root").alias("now"))
+        crowd = materialize(
+            crowd.join(merged, "root", "left").select(
+                "token", "node", "n", "m", F.coalesce("now", "root").alias("root")
+            ),
+            "crowd",
+        )
+    return found
+
+
 def _links(nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes that reach the threshold; not all of them, but enough to connect
     what the full set would connect."""
@@ -357,11 +411,17 @@ def _links(nodes: DataFrame, percent: int) -> DataFrame:
         .distinct()
     )
     tied = materialize(_verified(spokes, nodes, percent), "spokes")
-    roots = components(tied)
-    labelled = materialize(
-        posted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")),
-        "labelled-prefixes",
-    )
+
+    def with_roots() -> DataFrame:
+        roots = components(tied)
+        rooted = posted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        return materialize(rooted, "labelled-prefixes")
+
+    labelled = with_roots()
+    more = _tied_in_crowds(labelled, nodes, percent)
+    if more is not None:
+        tied = materialize(tied.unionByName(more), "spokes")
+        labelled = with_roots()
     here = labelled.withColumn("at", F.col("bucket"))
     near = labelled.select("*", F.explode(F.array("bucket", F.col("bucket") + 1)).alias("at"))
     order = (F.col("x.n") < F.col("y.n")) | (

@@ -374,3 +374,32 @@ def test_held_out_text_is_likelier_than_its_shuffle(spark, docs):
     config = lm_score.LmConfig(units=256, classes=16, every=1, rounds=3)
     score = {r["doc_id"]: r["score"] for r in lm_score.lm_scores(frame, BYTES, 50_257, config=config).collect()}
     assert shuffled and all(score[k] > score[other] for k, other, _ in shuffled)
+
+
+@pytest.mark.parametrize("rounds", [0, 8])
+def test_copies_of_a_lost_original_are_connected(spark, docs, monkeypatch, rounds):
+    """Each copy lacks other words, so only some pairs are near, and no one hub has them all."""
+    rng = random.Random(11)
+    rows = []
+    for family in range(2):
+        base = [f"w{family}x{k}" for k in range(90)]
+        rows += [(family * 100 + k, " ".join(w for w in base if rng.random() < 0.885)) for k in range(45)]
+    original = ngram_join._tied_in_crowds
+    tied = []
+
+    def crowds(labelled, nodes, percent):
+        found = original(labelled, nodes, percent, rounds)
+        tied.append(0 if found is None else found.count())
+        return found
+
+    monkeypatch.setattr(ngram_join, "_tied_in_crowds", crowds)
+    sets = {i: set(t.split()) for i, t in rows}
+    least = {i: i for i in sets}
+    linked = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert 50 < len(linked) < 1500
+    for _ in sets:
+        for a, b in linked:
+            least[a] = least[b] = min(least[a], least[b])
+    found = ngram_join.ngram_jaccard_join(docs(rows), words=1, percent=80)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == least
+    assert (tied[0] > 0) == (rounds > 0)
