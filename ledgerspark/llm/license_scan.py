@@ -3,7 +3,9 @@
 Size bounds prune first: two sets of a and b bigrams reach a Dice coefficient of d only if
 a lies between b*d/(2-d) and b*(2-d)/d, so most lines are never compared. They also share
 b*d/(2-d) bigrams at least, so a passage is compared only where a window of its template's
-size holds as many places with a bigram of the template.
+size holds as many places with a bigram of the template. Windows of long templates are never
+formed: the distinct and the shared bigrams of any window follow from running counts of the
+places whose bigram comes again within, or came before within, the template's length.
 """
 
 from __future__ import annotations
@@ -94,29 +96,101 @@ def _one_of(value: str, grams: list[str]) -> str:
     return f"{value} IN ({', '.join(repr(g) for g in grams)})"
 
 
-def _passages(template: Template, least: float, short: bool) -> str:
-    """SQL: the windows of the template's size that begin with a bigram of it and reach ``least``.
+# Windows of templates with up to so many bigrams are formed as arrays.
+SHORT_WIDTH = 32
+# Running counts are kept in blocks of so many places.
+BLOCK = 256
 
-    From ``grams``, the bigrams of the text in order, and ``hits``, the places of those that
-    some template has. ``x -> ...`` over an array of one value gives that value a name.
+
+def _starts(template: Template, least: float) -> str:
+    """SQL: where windows of the template's size may begin; null without any.
+
+    From ``hits``, the places of bigrams that some template has: a window begins with a bigram
+    of the template and holds as many places with such bigrams as the coefficient needs.
     """
     words = normal_words(template.text)
     wanted = bigrams_of(words)
     b, width = len(wanted), len(words) - 1
     need = max(1, math.ceil(b * least / (2 - least) - 1e-9))
-    return f"""CASE WHEN size(hits) >= {need} THEN flatten(transform(
+    return f"""CASE WHEN size(hits) >= {need} THEN transform(
       array(transform(filter(hits, h -> {_one_of("h.g", wanted)}), h -> h.i)),
-      at -> filter(transform(
-        transform(
-          filter(at, (p, k) -> coalesce(get(at, k + {need - 1}) - p < {width}, false)),
-          p -> named_struct('start', p, 'own', array_distinct(slice(grams, p + 1, {width})))),
-        w -> transform(
-          array(size(array_intersect(w.own, split('{",".join(wanted)}', ',')))),
-          shared -> named_struct(
-            'dice', 2.0D * shared / (size(w.own) + {b}), 'license', '{template.license}',
-            'shared', shared, 'start', w.start, 'stop', w.start + {width + 1},
-            'short', {str(short).lower()}))[0]),
-        c -> c.dice >= {least!r}D))) END"""
+      at -> filter(at, (p, k) -> coalesce(get(at, k + {need - 1}) - p < {width}, false)))[0] END"""
+
+
+def _candidate(template: Template, short: bool, size: str) -> str:
+    """SQL: one passage, from its start ``p``, its ``shared`` bigrams and the ``size`` of its set."""
+    words = normal_words(template.text)
+    return f"""named_struct(
+      'dice', 2.0D * shared / ({size} + {len(bigrams_of(words))}), 'license', '{template.license}',
+      'shared', shared, 'start', p, 'stop', p + {len(words)}, 'short', {str(short).lower()})"""
+
+
+def _passages(template: Template, starts: str, least: float, short: bool) -> str:
+    """SQL: the windows from ``starts`` that reach ``least``, formed one by one.
+
+    From ``grams``, the bigrams of the text in order. ``x -> ...`` over an array of one value
+    gives that value a name.
+    """
+    words = normal_words(template.text)
+    return f"""filter(transform({starts},
+      p -> transform(array(array_distinct(slice(grams, p + 1, {len(words) - 1}))),
+        own -> transform(array(size(array_intersect(own, split('{",".join(bigrams_of(words))}', ',')))),
+          shared -> {_candidate(template, short, "size(own)")})[0])[0]),
+      c -> c.dice >= {least!r}D)"""
+
+
+# SQL: for each place of a text, how far its bigram's last and next places are; far without any.
+_GAPS = f"""transform(
+  array(array_sort(transform(grams, (g, i) -> named_struct('g', g, 'i', i)))),
+  s -> transform(
+    array_sort(transform(s, (x, k) -> named_struct('i', x.i,
+      'back', IF(get(s, k - 1).g = x.g, x.i - get(s, k - 1).i, {2**31 - 1}),
+      'ahead', IF(get(s, k + 1).g = x.g, get(s, k + 1).i - x.i, {2**31 - 1})))),
+    x -> named_struct('back', x.back, 'ahead', x.ahead)))[0]"""
+
+
+def _running(values: str) -> str:
+    """SQL: blocks of running sums of an array of longs, each block with the sum before it.
+
+    Appending to an array copies it, so sums are made within blocks, and over the blocks.
+    """
+    appended = "(x, y) -> concat(x, array(element_at(x, -1) + y))"
+    return f"""transform(array({values}), v -> transform(
+      array(transform(sequence(0, size(v) div {BLOCK}),
+        j -> aggregate(slice(v, j * {BLOCK} + 1, {BLOCK}), array(0L), {appended}))),
+      blocks -> transform(
+        array(aggregate(transform(blocks, y -> element_at(y, -1)), array(0L), {appended})),
+        before -> transform(blocks, (y, j) -> named_struct('before', before[j], 'sums', y)))[0])[0])[0]"""
+
+
+def _sum_before(blocks: str, place: str) -> str:
+    """SQL: the sum of the values before a place."""
+    block = f"{blocks}[({place}) div {BLOCK}]"
+    return f"({block}.before + {block}.sums[({place}) % {BLOCK}])"
+
+
+def _long_passages(template: Template, starts: str, least: float, short: bool) -> str:
+    """SQL: as ``_passages``, with work that grows with the text and not with its windows.
+
+    A window of w places that begins at p has as many distinct bigrams as there are places
+    before p + w whose bigram does not come in the w - 1 places before, less the places before
+    p whose bigram does not come in the w - 1 places after. Those of the template are counted
+    in the upper half of the same long. From ``grams`` and ``gaps``.
+    """
+    words = normal_words(template.text)
+    width = len(words) - 1
+    weights = f"transform(grams, g -> IF({_one_of('g', bigrams_of(words))}, {2**32 + 1}L, 1L))"
+
+    def sums(side: str) -> str:
+        return _running(f"transform(gaps, (x, i) -> IF(x.{side} >= {width}, weights[i], 0L))")
+
+    both = f"{_sum_before('came', f'least(p + {width}, size(gaps))')} - {_sum_before('went', 'p')}"
+    return f"""CASE WHEN size({starts}) > 0 THEN transform(array({weights}), weights ->
+      transform(array({sums("back")}), came -> transform(array({sums("ahead")}),
+        went -> filter(transform({starts},
+          p -> transform(array({both}), n -> transform(array(CAST(shiftright(n, 32) AS int)),
+            shared -> {_candidate(template, short, f"(n & {2**32 - 1}L)")})[0])[0]),
+          c -> c.dice >= {least!r}D))[0])[0])[0] END"""
 
 
 # Passages that overlap neither a better one nor, if they are short notices, a line found before.
@@ -155,7 +229,7 @@ def license_scan(
     lines. Rows are scanned one by one: repeated rows, null ids and further columns change
     nothing; an empty table gives an empty result.
     """
-    longest = max(len(bigrams_of(normal_words(t.text))) for t in templates)
+    longest = max((len(bigrams_of(normal_words(t.text))) for t in templates), default=0)
     most = int(longest * (2 - least) / least)
 
     def words(body: Column) -> Column:
@@ -195,7 +269,15 @@ def license_scan(
             f"filter(transform(grams, (g, i) -> named_struct('i', i, 'g', g)), h -> {_one_of('h.g', every)})"
         ).alias("hits"),
     )
-    found = [_passages(t, least, True) for t in templates] + [_passages(t, least, False) for t in texts]
+    long = [t for t in templates + texts if len(normal_words(t.text)) - 1 > SHORT_WIDTH]
+    rows = rows.select("*", *(F.expr(_starts(t, least)).alias(f"starts{k}") for k, t in enumerate(long)))
+    wide = " OR ".join(f"size(starts{k}) > 0" for k in range(len(long))) or "false"
+    rows = rows.select("*", F.expr(f"CASE WHEN {wide} THEN {_GAPS} END").alias("gaps"))
+    found = [
+        _long_passages(t, f"starts{long.index(t)}", least, t in templates) if t in long
+        else _passages(t, _starts(t, least), least, t in templates)
+        for t in templates + texts
+    ]
     none = "array<struct<dice:double,license:string,shared:int,start:int,stop:int,short:boolean>>"
     rows = rows.select(
         "*",

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -173,6 +174,62 @@ def test_notices_within_lines_and_over_lines(docs):
     }
 
 
+def passages_by_force(text, templates, least):
+    """Licences of the passages that count, best first, with windows formed one by one."""
+    words = license_scan.normal_words(text or "")
+    grams, found = [f"{a} {b}" for a, b in zip(words, words[1:])], []
+    for template in templates:
+        own = license_scan.normal_words(template.text)
+        wanted = set(license_scan.bigrams_of(own))
+        for p, gram in enumerate(grams):
+            window = set(grams[p : p + len(own) - 1])
+            dice = 2.0 * len(window & wanted) / (len(window) + len(wanted))
+            if gram in wanted and dice >= least:
+                found.append((-len(window & wanted) * dice, template.license, p, p + len(own), dice))
+    found.sort(key=lambda c: (c[0], [-ord(x) for x in c[1]], c[2]))
+    kept = []
+    for c in found:
+        if not any(c[2] < o[3] and o[2] < c[3] for o in kept):
+            kept.append(c)
+    return kept
+
+
+@pytest.mark.parametrize("least", [0.5, 0.8])
+def test_passages_against_brute_force(docs, least):
+    rng = random.Random(int(10 * least))
+    vocabulary = [f"w{k}" for k in range(12)]
+    templates = tuple(
+        license_scan.Template(f"T{k}", " ".join(rng.choices(vocabulary, k=n)))
+        for k, n in enumerate((5, 20, 34, 60, 150, 400))
+    )
+    rows = []
+    for k in range(60):
+        parts = []
+        for _ in range(rng.randint(0, 5)):
+            words = rng.choice(templates).text.split()
+            for _ in range(rng.choice([0, 1, 3, 10])):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            parts += words[rng.choice([0, 0, 3]) :] + rng.choices(vocabulary, k=rng.choice([0, 5, 200, 600]))
+        rows.append((k, " ".join(parts)))
+    rows += [(60, None), (61, ""), (62, "w1"), (63, "w1 " * 900)]
+    found = license_scan.license_scan(docs(rows), templates=(), texts=templates, least=least)
+    got = {r["doc_id"]: (r["n_notices"], r["licenses"], r["best_dice"]) for r in found.collect()}
+    kept = {k: passages_by_force(text, templates, least) for k, text in rows}
+    assert got == {
+        k: (len(v), ",".join(sorted({c[1] for c in v})), max((c[4] for c in v), default=None))
+        for k, v in kept.items()
+    }
+    assert sum(map(len, kept.values())) > 50
+
+
+def test_many_copies_of_a_long_licence(docs):
+    gpl = (license_scan.Path(license_scan.__file__).parent / "licenses" / "GPL-3.0.txt").read_text()
+    begin = time.monotonic()
+    row = license_scan.license_scan(docs([(1, "\n".join([gpl] * 20))])).first()
+    assert (row["licenses"], row["n_notices"], row["best_dice"]) == ("GPL-3.0", 20, 1.0)
+    assert time.monotonic() - begin < 600, "formed window by window this takes an hour"
+
+
 def brute_components(rows, words, percent):
     def shingles(text):
         ws = WORD.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
