@@ -3,12 +3,16 @@
 A package holds the archive (one gzip member per record) and an index as *stored* ZIP
 members, so that a record is a range of bytes of the package. The reader parses the ZIP
 directory, finds where the stored members begin, takes the record ranges from the index and
-reads only those; nothing is extracted. Files are opened through Arrow's file systems by
-URI, in the shared folder that the caller names.
+reads only those; nothing is extracted. An index has JSON lines, CDXJ lines or CDX fields,
+plain or in gzip members, and may itself be a deflated ZIP member. An archive without an
+index is read from its begin to its end in chunks. Files are opened through Arrow's file
+systems by URI, in the shared folder that the caller names.
 """
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import json
 import struct
@@ -22,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerspark.operators.quality import own_exchange
 from ledgerspark.session import materialize
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.jsonl"
@@ -102,11 +107,16 @@ def stored_range(read: ReadAt, member: Member) -> tuple[int, int]:
     """Offset and length of a stored member's bytes in the package."""
     if member.method != 0 or member.size != member.stored_size:
         raise ValueError(f"{member.name} is compressed; only stored members are read by range.")
+    return _member_range(read, member)
+
+
+def _member_range(read: ReadAt, member: Member) -> tuple[int, int]:
+    """Offset and length of a member's bytes as they lie in the package."""
     header = read(member.header, 30)
     if header[:4] != LOCAL:
         raise ValueError(f"Damaged ZIP file: no local header of {member.name}.")
     n, m = struct.unpack_from("<HH", header, 26)
-    return member.header + 30 + n + m, member.size
+    return member.header + 30 + n + m, member.stored_size
 
 
 def zip_package(members: list[tuple[str, bytes]]) -> list[bytes]:
@@ -175,28 +185,61 @@ def _parse_head(data: bytes) -> tuple[str, dict[str, str], int]:
 
 
 def parse_record(data: bytes) -> dict:
-    """Fields of one uncompressed record; ``payload`` is None for a revisit."""
+    """Fields of one uncompressed record; ``payload`` is None for a revisit.
+
+    Of a response over HTTP the payload is what follows the HTTP head, else the whole block.
+    A payload that does not have the digest of its record is an error; digests other than
+    SHA-1 and SHA-256, and bodies in a transfer encoding, are not compared. ``payload_digest``
+    is bare for SHA-256 and keeps its label otherwise.
+    """
     version, fields, begin = _parse_head(data)
     if not version.startswith("WARC/"):
         raise ValueError("Not a WARC record.")
     block = data[begin : begin + int(fields["content-length"])]
-    _, http, body = _parse_head(block)
-    payload = block[body:] if fields["warc-type"] == "response" else None
+    kind = fields.get("warc-type")
+    http, body = {}, 0
+    if kind in ("response", "revisit") and fields.get("content-type", "").startswith("application/http"):
+        _, http, body = _parse_head(block)
+    payload = None if kind == "revisit" else block[body:]
 
     def page(name: str) -> str | None:
         return fields.get(name, "").strip("<>").removeprefix("urn:page:") or None
 
+    label = fields.get("warc-payload-digest")
+    if payload is not None and label and "transfer-encoding" not in http and not _digest_fits(label, payload):
+        raise ValueError(f"Payload of {page('warc-record-id')} is damaged.")
+    length = http.get("content-length", "") if payload is None else str(len(payload))
     return {
         "record_id": page("warc-record-id"),
-        "record_type": fields["warc-type"],
+        "record_type": kind,
         "target_uri": fields.get("warc-target-uri"),
         "refers_to": page("warc-refers-to"),
-        "payload_digest": fields["warc-payload-digest"].removeprefix("sha256:"),
-        "payload_bytes": int(http["content-length"]) if payload is None else len(payload),
+        "payload_digest": label and label.removeprefix("sha256:"),
+        "payload_bytes": int(length) if length.isdecimal() else None,
         "payload": payload,
     }
 
 
+# Lengths of the digests that are checked, by algorithm.
+DIGESTS = {"sha1": 20, "sha256": 32}
+
+
+def _digest_fits(label: str, payload: bytes) -> bool:
+    """Whether a ``name:value`` digest is the payload's; true for algorithms not checked.
+
+    Values are hexadecimal or base32, as other writers use the one or the other.
+    """
+    name, _, value = label.partition(":")
+    size = DIGESTS.get(name.lower())
+    if size is None:
+        return True
+    try:
+        wanted = bytes.fromhex(value) if len(value) == 2 * size else base64.b32decode(value.upper())
+    except (ValueError, binascii.Error):
+        return False
+    return hashlib.new(name.lower(), payload).digest() == wanted
+
+
 def _filesystem(uri: str):
     from pyarrow import fs
 
@@ -208,8 +251,9 @@ def with_revisits(
 ) -> DataFrame:
     """page_id, url, payload, digest, refers_to (null for a response).
 
-    Only contents that repeat are joined back; they are counted on the map side first, and
-    adaptive execution splits a content that many pages share.
+    Only contents that repeat are joined back; they are counted on the map side first and
+    have an exchange of their own, so that adaptive execution splits a content that many
+    pages share.
     """
     rows = pages.select(
         F.col(page_id).alias("page_id"),
@@ -222,7 +266,7 @@ def with_revisits(
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )
-    return rows.join(repeated, "digest", "left").select(
+    return rows.join(own_exchange(repeated), "digest", "left").select(
         "page_id",
         "url",
         "payload",
@@ -298,27 +342,84 @@ def _splits(split_bytes: int):
     return run
 
 
+def member_bytes(read: ReadAt, member: Member) -> bytes:
+    """Content of a small member, stored or deflated."""
+    begin, size = _member_range(read, member)
+    data = read(begin, size)
+    if member.method == 0:
+        return data
+    if member.method != 8:
+        raise ValueError(f"{member.name}: compression method {member.method} is not known.")
+    return zlib.decompress(data, wbits=-15)
+
+
+def _gunzipped(data: bytes) -> bytes:
+    """Content of all gzip members of ``data``."""
+    parts, view = [], memoryview(data)
+    while len(view):
+        unpacker = zlib.decompressobj(wbits=31)
+        parts.append(unpacker.decompress(view))
+        if not unpacker.eof:
+            raise ValueError("Damaged index: a gzip member ends early.")
+        view = view[len(view) - len(unpacker.unused_data) :]
+    return b"".join(parts)
+
+
+def index_entries(name: str, data: bytes) -> Iterator[tuple[str, int, int]]:
+    """Archive file, offset and length of each record that an index names.
+
+    Lines are JSON objects, CDXJ (key, time, JSON), or CDX fields as the head line orders
+    them (g: file, V: offset, S: length). Lines that begin with ``!`` and entries without an
+    offset are left out; so are ``.idx`` files, which only point into another index.
+    """
+    if name.endswith(".idx"):
+        return
+    if data[:2] == b"\x1f\x8b":
+        data = _gunzipped(data)
+    fields: list[str] = []
+    for line in data.decode("utf-8").splitlines():
+        if not line.strip() or line.startswith("!"):
+            continue
+        if line.lstrip().startswith("CDX "):
+            fields = line.split()[1:]
+            continue
+        if fields:
+            values = dict(zip(fields, line.split(" ")))
+            place = values.get("g"), values.get("V"), values.get("S")
+        else:
+            at = line.find("{")
+            if at < 0:
+                raise ValueError(f"{name}: a line is neither JSON nor CDXJ: {line[:80]!r}")
+            entry = json.loads(line[at:])
+            place = entry.get("member", entry.get("filename")), entry.get("offset"), entry.get("length")
+        if None not in place and "-" not in place:
+            yield place[0], int(place[1]), int(place[2])
+
+
 def _package_splits(file, split_bytes: int) -> Iterator[tuple[int, int, list[int]]]:
     def read(offset: int, length: int) -> bytes:
         return file.read_at(length, offset)
 
     members = {m.name: m for m in zip_directory(read, file.size())}
-    ranges: dict[str, list[tuple[int, int]]] = {
-        name: [] for name in members if name.endswith((".warc.gz", ".warc"))
+    # Several indexes may name the same record.
+    ranges: dict[str, set[tuple[int, int]]] = {
+        name: set() for name in members if name.endswith((".warc.gz", ".warc"))
     }
     for name, member in members.items():
         if name.startswith("indexes/"):
-            begin, size = stored_range(read, member)
-            for line in read(begin, size).splitlines():
-                entry = json.loads(line)
-                ranges[entry["member"]].append((entry["offset"], entry["length"]))
-    for name, records in ranges.items():
+            for archive, offset, length in index_entries(name, member_bytes(read, member)):
+                # Indexes of other writers give the file's name below archive/.
+                held = archive if archive in ranges else f"archive/{archive}"
+                if held not in ranges:
+                    raise ValueError(f"{name} names {archive}, which the package does not hold.")
+                ranges[held].add((offset, length))
+    for name, places in ranges.items():
         base, size = stored_range(read, members[name])
-        if not records:
+        if not places:
             if size:
                 yield base, size, []
             continue
-        records.sort()
+        records = sorted(places)
         lengths: list[int] = []
         begin = end = records[0][0]
         for offset, length in records:
@@ -330,18 +431,71 @@ def _package_splits(file, split_bytes: int) -> Iterator[tuple[int, int, list[int
         yield base + begin, end - begin, lengths
 
 
-def _unindexed(data: bytes) -> Iterator[bytes]:
-    """Records of a range without index: gzip members, or plain records by their length."""
-    while data:
-        if data[:2] == b"\x1f\x8b":
-            unpacker = zlib.decompressobj(wbits=31)
-            yield unpacker.decompress(data)
-            data = unpacker.unused_data
+class _Chunks:
+    """Bytes of a range of a file, read in chunks and taken from the front."""
+
+    def __init__(self, read: ReadAt, begin: int, size: int, chunk: int = 1 << 20) -> None:
+        self.read, self.at, self.end, self.chunk = read, begin, begin + size, chunk
+        self.held, self.used = b"", 0
+
+    def more(self) -> bool:
+        """Read another chunk behind what is held; false at the end."""
+        data = self.read(self.at, min(max(self.chunk, len(self.held) - self.used), self.end - self.at))
+        if not data:
+            return False
+        self.at += len(data)
+        self.held, self.used = self.held[self.used :] + data, 0
+        return True
+
+    def have(self, n: int) -> bool:
+        while len(self.held) - self.used < n:
+            if not self.more():
+                return False
+        return True
+
+    def take(self, n: int) -> bytes:
+        self.used += n
+        return self.held[self.used - n : self.used]
+
+    def find(self, mark: bytes) -> int:
+        """Where the mark begins, counted from the front; -1 without it."""
+        start = 0
+        while True:
+            at = self.held.find(mark, self.used + start)
+            if at >= 0:
+                return at - self.used
+            start = max(0, len(self.held) - self.used - len(mark) + 1)
+            if not self.more():
+                return -1
+
+
+def unindexed(read: ReadAt, begin: int, size: int, chunk: int = 1 << 20) -> Iterator[bytes]:
+    """Records of a range without index, one at a time: gzip members, or plain by their length.
+
+    Holds one record and about one chunk; the time grows with the range.
+    """
+    data = _Chunks(read, begin, size, chunk)
+    while data.have(1):
+        if data.have(2) and data.held[data.used : data.used + 2] == b"\x1f\x8b":
+            unpacker, parts = zlib.decompressobj(wbits=31), []
+            while not unpacker.eof:
+                if not data.have(1):
+                    raise ValueError("Damaged archive: a gzip member ends early.")
+                piece = data.take(min(len(data.held) - data.used, 1 << 16))
+                parts.append(unpacker.decompress(piece))
+            data.used -= len(unpacker.unused_data)
+            raw = b"".join(parts)
+            # A member is one record by the standard; others may have put several into it.
+            yield from unindexed(lambda o, n, raw=raw: raw[o : o + n], 0, len(raw), len(raw))
         else:
-            _, fields, begin = _parse_head(data)
-            end = begin + int(fields["content-length"]) + 4
-            yield data[:end]
-            data = data[end:]
+            head = data.find(b"\r\n\r\n")
+            if head < 0:
+                raise ValueError("Damaged archive: a record's head does not end.")
+            _, fields, body = _parse_head(data.held[data.used : data.used + head + 4])
+            length = body + int(fields["content-length"]) + 4
+            if not data.have(length):
+                raise ValueError("Damaged archive: a record ends early.")
+            yield data.take(length)
 
 
 RECORD = pa.schema(
@@ -357,31 +511,43 @@ RECORD = pa.schema(
 )
 
 
-def _records(with_payload: bool):
+def _raw_records(file, begin: int, size: int, lengths: list[int]) -> Iterator[bytes]:
+    """Uncompressed records of a range: as the lengths of its index say, else one after another."""
+
+    def read(offset: int, length: int) -> bytes:
+        return file.read_at(length, offset)
+
+    if not lengths:
+        yield from unindexed(read, begin, size)
+        return
+    data, at = read(begin, size), 0
+    for length in lengths:
+        piece = data[at : at + length]
+        at += length
+        yield from unindexed(lambda o, n, piece=piece: piece[o : o + n], 0, len(piece))
+
+
+def _records(with_payload: bool, batch_bytes: int = 8_000_000):
     names = RECORD.names if with_payload else RECORD.names[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, begin, size, lengths in zip(*(batch.column(c).to_pylist() for c in ("path", "begin", "size", "lengths"))):
+            for path, *place in zip(*(batch.column(c).to_pylist() for c in ("path", "begin", "size", "lengths"))):
                 filesystem, name = _filesystem(path)
                 with filesystem.open_input_file(name) as file:
-                    data = file.read_at(size, begin)
-                rows, at = [], 0
-                pieces = []
-                for length in lengths:
-                    pieces.append(data[at : at + length])
-                    at += length
-                for piece in pieces if lengths else [data]:
-                    for raw in _unindexed(piece):
-                        record = parse_record(raw)
-                        payload = record["payload"]
-                        if payload is not None:
-                            digest = hashlib.sha256(payload).hexdigest()
-                            if digest != record["payload_digest"]:
-                                raise ValueError(f"{path}: payload of {record['record_id']} is damaged.")
+                    rows, held = [], 0
+                    for raw in _raw_records(file, *place):
+                        try:
+                            record = parse_record(raw)
+                        except ValueError as damage:
+                            raise ValueError(f"{path}: {damage}") from damage
+                        held += 500 + (len(raw) if with_payload else 0)
                         if not with_payload:
                             record["payload"] = None
                         rows.append(record)
+                        if held >= batch_bytes:
+                            yield pa.RecordBatch.from_pylist(rows, RECORD).select(names)
+                            rows, held = [], 0
                 yield pa.RecordBatch.from_pylist(rows, RECORD).select(names)
 
     return run
@@ -392,8 +558,9 @@ def read_packages(packages: DataFrame, split_bytes: int = 4_000_000, with_payloa
 
     record_id, record_type, target_uri, refers_to, payload_digest, payload_bytes and, on
     demand, payload. Payloads are held against their digest; a revisit's length is that of
-    its HTTP head. A package is split at records, so a large one is read by many tasks. A
-    range without an index is read by one. No package gives no record.
+    its HTTP head, null without one. A package is split at records, so a large one is read by
+    many tasks; of an archive that an index names, the named records are read. An archive
+    without an index is read by one task, in chunks. No package gives no record.
     """
     total = packages.agg(F.sum("n_bytes")).first()[0] or 0
     count = packages.count()
