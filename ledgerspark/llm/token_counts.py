@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark import fs
 from ledgerspark.llm.text import one_spaced, whole_text
+from ledgerspark.operators.quality import own_exchange
 
 COUNT_SCHEMA = "digest binary, n_tokens bigint"
 
@@ -119,6 +120,7 @@ def token_counts(
     distinct.mapInArrow(_encode(tokenizer), COUNT_SCHEMA).write.mode("append").parquet(folder)
     stored = spark.read.schema(COUNT_SCHEMA).parquet(folder)
     counts = stored.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    return rows.join(counts, "digest").select(
+    # An exchange of its own lets adaptive execution split a content that many rows share.
+    return rows.join(own_exchange(counts), "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
