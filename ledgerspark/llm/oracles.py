@@ -100,10 +100,10 @@ FROM counts
 
 
 
-def _op4(rounds: int = 10, damping: float = 0.85) -> str:
-    """Rules as a table; one pair of common tables per round of the two rankings."""
+def _op4(rounds: int = 130, damping: float = 0.85) -> str:
+    """Rules as a table; each ranking is the sum of what moves in each round."""
     url_parts = r"""
-WITH u AS (
+WITH RECURSIVE u AS (
   SELECT page_id, html, instr(url, '://') AS place, substr(url, instr(url, '://') + 3) AS rest FROM pages),
 p AS (
   SELECT page_id, coalesce(html, '') AS html,
@@ -135,21 +135,19 @@ c AS (SELECT host, count(*) FILTER (best.said = 'allow') AS a, count(*) FILTER (
   FROM m WHERE host <> '' GROUP BY host),
 s AS (SELECT host, coalesce(a / nullif((SELECT sum(a) FROM c), 0), 0) AS t,
   coalesce(d / nullif((SELECT sum(d) FROM c), 0), 0) AS d FROM c),
-t0 AS (SELECT host, t AS x FROM s), d0 AS (SELECT host, d AS x FROM s)"""
-    steps = "".join(
-        f""",
-t{k} AS MATERIALIZED (SELECT host, sum(x) AS x FROM (
-  SELECT dst AS host, {damping} * x * w AS x FROM t{k - 1} JOIN f ON src = host
-  UNION ALL SELECT host, {1 - damping} * t FROM s) GROUP BY host),
-d{k} AS MATERIALIZED (SELECT host, sum(x) AS x FROM (
-  SELECT src AS host, {damping} * x * w AS x FROM d{k - 1} JOIN b ON dst = host
-  UNION ALL SELECT host, {1 - damping} * d FROM s) GROUP BY host)"""
-        for k in range(1, rounds + 1)
-    )
+"""
+    steps = f"""t(k, host, x) AS (
+  SELECT 0, host, t FROM s WHERE t > 0
+  UNION ALL SELECT k + 1, dst, sum({damping} * x * w) FROM t JOIN f ON src = host WHERE k < {rounds} GROUP BY k, dst),
+r(k, host, x) AS (
+  SELECT 0, host, d FROM s WHERE d > 0
+  UNION ALL SELECT k + 1, src, sum({damping} * x * w) FROM r JOIN b ON dst = host WHERE k < {rounds} GROUP BY k, src),
+trust AS (SELECT host, sum(x) / (SELECT sum(x) FROM t) AS x FROM t GROUP BY host),
+distrust AS (SELECT host, sum(x) / (SELECT sum(x) FROM r) AS x FROM r GROUP BY host)"""
     return f"""{url_parts}{steps}
 SELECT page_id, m.host, path, best.rule AS rule, coalesce(best.said,
-  CASE WHEN coalesce(d{rounds}.x, 0) > coalesce(t{rounds}.x, 0) THEN 'block' ELSE 'allow' END) AS verdict
-FROM m LEFT JOIN t{rounds} ON t{rounds}.host = m.host LEFT JOIN d{rounds} ON d{rounds}.host = m.host
+  CASE WHEN coalesce(distrust.x, 0) > 1.000001 * coalesce(trust.x, 0) THEN 'block' ELSE 'allow' END) AS verdict
+FROM m LEFT JOIN trust ON trust.host = m.host LEFT JOIN distrust ON distrust.host = m.host
 """
 
 

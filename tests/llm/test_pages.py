@@ -1,5 +1,6 @@
 """Url verdicts and packaged archives."""
 
+import base64
 import hashlib
 import io
 import zipfile
@@ -38,8 +39,8 @@ def test_rules(spark, url, host, path, rule, verdict):
     assert (row["host"], row["path"], row["rule"], row["rule_verdict"]) == (host, path, rule, verdict)
 
 
-def brute_scores(pages, rounds, damping):
-    """The same two rankings with dictionaries."""
+def brute_scores(pages, damping, rounds=400):
+    """The same two rankings with dictionaries; mass at a host without steps goes to the seeds."""
     links, allowed, blocked = {}, {}, {}
     for host, good, bad, targets in pages:
         allowed[host] = allowed.get(host, 0) + good
@@ -48,15 +49,20 @@ def brute_scores(pages, rounds, damping):
             links[host, target] = links.get((host, target), 0) + 1
     scores = []
     for seeds, forward in ((allowed, True), (blocked, False)):
+        steps, out = {}, {}
+        for (a, b), n in links.items():
+            source, target = (a, b) if forward else (b, a)
+            steps.setdefault(source, []).append((target, n))
+            out[source] = out.get(source, 0) + n
         total = sum(seeds.values()) or 1
         start = {h: n / total for h, n in seeds.items()}
         now = dict(start)
         for _ in range(rounds):
-            new = {h: (1 - damping) * s for h, s in start.items()}
-            for (a, b), n in links.items():
-                source, target = (a, b) if forward else (b, a)
-                out = sum(m for (c, d), m in links.items() if (c if forward else d) == source)
-                new[target] = new.get(target, 0) + damping * now.get(source, 0) * n / out
+            lost = sum(x for h, x in now.items() if h not in steps)
+            new = {h: (1 - damping + damping * lost) * s for h, s in start.items()}
+            for source, targets in steps.items():
+                for target, n in targets:
+                    new[target] = new.get(target, 0) + damping * now.get(source, 0) * n / out[source]
             now = new
         scores.append(now)
     return scores
@@ -95,10 +101,25 @@ def test_trust_flows_along_links_and_distrust_against_them(spark):
     seeds = spark.createDataFrame(
         [(h, sum(p[1] for p in pages if p[0] == h), sum(p[2] for p in pages if p[0] == h))
          for h in {p[0] for p in pages}], "host string, allowed long, blocked long")
-    trust, distrust = brute_scores(pages, 10, 0.85)
+    trust, distrust = brute_scores(pages, 0.85)
     for row in url_filter.spread(url_filter.host_edges(frame(spark, rows)), seeds).collect():
-        assert row["trust"] == pytest.approx(trust.get(row["host"], 0), abs=1e-12)
-        assert row["distrust"] == pytest.approx(distrust.get(row["host"], 0), abs=1e-12)
+        assert row["trust"] == pytest.approx(trust.get(row["host"], 0), abs=1e-7)
+        assert row["distrust"] == pytest.approx(distrust.get(row["host"], 0), abs=1e-7)
+
+
+def test_a_chain_of_hosts_is_followed_to_its_end(spark):
+    """Forty hosts that link to the next one; the last links to a blocked page."""
+    rows = [(k, f"http://h{k}.org/", f'<a href="http://h{k + 1}.org/">t</a>') for k in range(39)]
+    rows += [(39, "http://h39.org/", '<a href="http://bad.net/fr/">t</a>'), (40, "http://bad.net/fr/", None)]
+    verdicts = {r["page_id"]: r["verdict"] for r in url_filter.url_verdicts(frame(spark, rows)).collect()}
+    assert set(verdicts.values()) == {"block"} and len(verdicts) == 41
+    pages = [(f"h{k}.org", 0, 0, [f"h{k + 1}.org"]) for k in range(39)]
+    pages += [("h39.org", 0, 0, ["bad.net"]), ("bad.net", 0, 1, [])]
+    seeds = spark.createDataFrame([(p[0], p[1], p[2]) for p in pages], "host string, allowed long, blocked long")
+    distrust = brute_scores(pages, 0.85)[1]
+    found = {r["host"]: r for r in url_filter.spread(url_filter.host_edges(frame(spark, rows)), seeds).collect()}
+    assert found["h0.org"]["distrust"] == pytest.approx(distrust["h0.org"], rel=1e-5)
+    assert sum(r["distrust"] for r in found.values()) == pytest.approx(1) and found["h0.org"]["trust"] == 0
 
 
 def test_no_pages(spark, tmp_path):
@@ -173,6 +194,92 @@ def test_records_of_plain_and_unindexed_archives(spark, tmp_path):
     )
 
 
+def plain_records(n, size=10):
+    return [
+        warc_zip.warc_record(k, None, p, hashlib.sha256(p).hexdigest(), None, "2000-01-01T00:00:00Z")
+        for k, p in ((k, f"{k} ".encode() * size) for k in range(n))
+    ]
+
+
+def read_ids(spark, path, **options):
+    packages = spark.createDataFrame([(str(path), path.stat().st_size)], "path string, n_bytes long")
+    return sorted(int(r["record_id"]) for r in warc_zip.read_packages(packages, **options).collect())
+
+
+@pytest.mark.parametrize("form", ["cdxj", "cdxj.gz", "cdx", "jsonl"])
+@pytest.mark.parametrize("deflated", [False, True])
+def test_indexes_of_other_writers(spark, tmp_path, form, deflated):
+    """Packages made by the standard library; the index names two records of three."""
+    packed = [zlib.compress(r, wbits=31) for r in plain_records(3)]
+    at = [sum(map(len, packed[:k])) for k in range(3)]
+    lines = {
+        "cdxj": ["!meta {}"] + [
+            f'org,x)/{k} 20000101000000 {{"url": "http://x.org/{k}", "offset": "{at[k]}", "length": "{len(packed[k])}",'
+            ' "filename": "data.warc.gz"}' for k in (2, 0)
+        ],
+        "cdx": [" CDX N b a m s k r M S V g"] + [
+            f"org,x)/{k} 20000101000000 http://x.org/{k} text/html 200 ABC - - {len(packed[k])} {at[k]} data.warc.gz"
+            for k in (2, 0)
+        ],
+        "jsonl": [f'{{"member": "archive/data.warc.gz", "offset": {at[k]}, "length": {len(packed[k])}}}' for k in (2, 0, 2)],
+    }
+    index = "".join(line + "\n" for line in lines[form.removesuffix(".gz")]).encode()
+    if form.endswith(".gz"):
+        half = len(index) // 2
+        index = zlib.compress(index[:half], wbits=31) + zlib.compress(index[half:], wbits=31)
+    path = tmp_path / "p.wacz"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as package:
+        package.writestr("archive/data.warc.gz", b"".join(packed))
+        package.writestr(f"indexes/index.{form}", index, zipfile.ZIP_DEFLATED if deflated else zipfile.ZIP_STORED)
+        package.writestr("indexes/index.idx", "points elsewhere")
+    assert read_ids(spark, path) == [0, 2]
+
+
+def test_bad_indexes_are_errors(spark):
+    with pytest.raises(ValueError, match="neither JSON nor CDXJ"):
+        list(warc_zip.index_entries("indexes/a.cdxj", b"key 2000 text\n"))
+    with pytest.raises(ValueError, match="ends early"):
+        list(warc_zip.index_entries("indexes/a.cdxj.gz", zlib.compress(b"a" * 100, wbits=31)[:-9]))
+    assert list(warc_zip.index_entries("indexes/a.cdxj", b"")) == []
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 20])
+def test_archives_without_index_in_chunks(chunk):
+    records = plain_records(20)
+    for data in (b"".join(records), b"".join(zlib.compress(r, wbits=31) for r in records),
+                 zlib.compress(b"".join(records), wbits=31)):
+        assert list(warc_zip.unindexed(reader(b"xyz" + data + b"end"), 3, len(data), chunk)) == records
+        with pytest.raises(ValueError, match="Damaged"):
+            list(warc_zip.unindexed(reader(data), 0, len(data) - 5, chunk))
+    assert list(warc_zip.unindexed(reader(b""), 0, 0, chunk)) == []
+
+
+def test_many_records_without_index_in_linear_time(spark, tmp_path):
+    """Copying the rest for each of these records did not end in minutes."""
+    records = plain_records(16_000, 600)
+    path = tmp_path / "p.wacz"
+    members = [("archive/a.warc", b"".join(records)), ("archive/b.warc.gz", b"".join(zlib.compress(r, 1, wbits=31) for r in records))]
+    path.write_bytes(b"".join(warc_zip.zip_package(members)))
+    assert read_ids(spark, path, with_payload=False) == sorted([*range(16_000)] * 2)
+
+
+def test_records_of_other_kinds():
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Type: application/warc-fields\r\nContent-Length: 5\r\n\r\na: b\n\r\n\r\n"
+    found = warc_zip.parse_record(info)
+    assert (found["record_type"], found["payload"], found["payload_digest"]) == ("warcinfo", b"a: b\n", None)
+    head = b"HTTP/1.1 200 OK\r\n\r\n"
+    sha1 = base64.b32encode(hashlib.sha1(b"body").digest())
+    for digest, fits in ((b"sha1:" + sha1, True), (b"sha1:" + sha1[::-1], False), (b"md5:00", True), (b"sha1:!", False)):
+        block = head + b"body"
+        record = (b"WARC/1.1\r\nWARC-Type: response\r\nContent-Type: application/http\r\nWARC-Payload-Digest: " + digest
+                  + b"\r\nContent-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n")
+        if fits:
+            assert warc_zip.parse_record(record)["payload"] == b"body"
+        else:
+            with pytest.raises(ValueError, match="damaged"):
+                warc_zip.parse_record(record)
+
+
 def test_round_trip_with_copies_nulls_and_small_packages(spark, tmp_path):
     long, short = "long payload " * 20, "short"
     rows = [
