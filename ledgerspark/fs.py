@@ -6,6 +6,10 @@ Data always goes through Spark readers and writers.
 
 from __future__ import annotations
 
+import threading
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -49,6 +53,43 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     rename(spark, draft, path)
 
 
+_CREATING = threading.Lock()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False, without any change, if it is there already.
+
+    The file appears whole, by a rename that never overwrites. HDFS makes that one step, so
+    of several writers one gets True; on a file system that checks first and renames then
+    (local files, object stores) two processes may in a moment's overlap.
+    """
+    draft = f"{path}.{uuid.uuid4().hex}"
+    stream = _fs(spark, path).create(_path(spark, draft), False)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    files = spark._jvm.org.apache.hadoop.fs
+    target = _fs(spark, path).makeQualified(_path(spark, path))
+    context = files.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    no_options = spark.sparkContext._gateway.new_array(getattr(files, "Options$Rename"), 0)
+    try:
+        with _CREATING:
+            context.rename(context.makeQualified(_path(spark, draft)), target, no_options)
+    except Py4JJavaError as error:
+        delete(spark, draft)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Time since a file or folder was last changed."""
+    changed = _fs(spark, path).getFileStatus(_path(spark, path)).getModificationTime()
+    return (spark._jvm.java.lang.System.currentTimeMillis() - changed) / 1000
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Text of a small file, or None when it does not exist."""
     if not exists(spark, path):

@@ -127,3 +127,83 @@ def pending_month_ids(pending: DataFrame) -> list[int]:
     """Month ids of a pending table; bounded by the number of calendar months."""
     rows = pending.select(month_id(F.col("year"), F.col("month")).alias("m")).distinct().collect()
     return sorted(row["m"] for row in rows)
+
+
+# --- coverage of many feeds as bits ------------------------------------------------------
+
+
+def month_bits(months: DataFrame, feed: str, month: str = "month") -> DataFrame:
+    """feed, year, bits: bit 0 is January. One row per feed and year, combined on the map side.
+
+    Rows without a month say nothing about coverage; a null feed is a feed of its own.
+    """
+    bit = F.expr(f"shiftleft(1, month(`{month}`) - 1)")
+    return (
+        months.where(F.col(month).isNotNull())
+        .groupBy(F.col(feed).alias("feed"), F.year(month).alias("year"))
+        .agg(F.bit_or(bit).alias("bits"))
+    )
+
+
+def range_bits(ranges: DataFrame, feed: str, first: str = "first", last: str = "last") -> DataFrame:
+    """feed, year, bits of all months from ``first`` to ``last``, which are one row per year.
+
+    Reversed ranges have none. Ranges of a feed may overlap.
+    """
+    rows = ranges.where(F.trunc(first, "MM") <= F.trunc(last, "MM")).select(
+        F.col(feed).alias("feed"),
+        F.explode(F.sequence(F.year(first), F.year(last))).alias("year"),
+        F.col(first).alias("first"),
+        F.col(last).alias("last"),
+    )
+    low = F.when(F.year("first") == F.col("year"), F.month("first")).otherwise(F.lit(1))
+    high = F.when(F.year("last") == F.col("year"), F.month("last")).otherwise(F.lit(12))
+    rows = rows.withColumns({"low": low, "high": high})
+    return rows.groupBy("feed", "year").agg(
+        F.bit_or(F.expr("shiftleft(1, high) - shiftleft(1, low - 1)")).alias("bits")
+    )
+
+
+def months_of_bits(bits: DataFrame) -> DataFrame:
+    """feed, month (its first day) for every bit that is set."""
+    month = F.expr("explode(filter(sequence(1, 12), m -> (bits & shiftleft(1, m - 1)) <> 0))")
+    return bits.select("feed", "year", month.alias("m")).select(
+        "feed", F.make_date("year", "m", F.lit(1)).alias("month")
+    )
+
+
+def backfill_bits(requested: DataFrame, available: DataFrame, loaded: DataFrame) -> DataFrame:
+    """feed, year and the bits of the five lists of a plan, for all feeds at once.
+
+    The inputs are feed, year, bits. They are added up by one aggregate, so there is no join
+    and no set operation: what is selected or not available follows from two words by AND.
+    """
+    sides = {"requested": requested, "available": available, "latest_loaded": loaded}
+    rows = None
+    for name, side in sides.items():
+        part = side.select(
+            "feed", "year",
+            *[(F.col("bits") if c == name else F.lit(0)).cast("int").alias(c) for c in sides],
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    plan = rows.groupBy("feed", "year").agg(*(F.bit_or(c).alias(c) for c in sides))
+    return plan.select(
+        "feed", "year", "requested", "available",
+        F.expr("requested & available").alias("selected"),
+        F.expr("requested & ~available").alias("not_available"),
+        "latest_loaded",
+    )
+
+
+def backfill_plans(requested: DataFrame, available: DataFrame, loaded: DataFrame) -> DataFrame:
+    """(feed, status, month) rows: :func:`backfill_plan` of every feed, from bits."""
+    lists = backfill_bits(requested, available, loaded).select(
+        "feed", "year",
+        F.explode(
+            F.array(*(F.struct(F.lit(c).alias("status"), F.col(c).alias("bits")) for c in PLAN_STATUSES))
+        ).alias("list"),
+    )
+    month = F.expr("explode(filter(sequence(1, 12), m -> (list.bits & shiftleft(1, m - 1)) <> 0))")
+    return lists.select("feed", "year", "list.status", month.alias("m")).select(
+        "feed", "status", F.date_format(F.make_date("year", "m", F.lit(1)), "yyyy-MM").alias("month")
+    )

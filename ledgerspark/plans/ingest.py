@@ -28,6 +28,7 @@ from ledgerspark.session import materialize, scratch_folder
 from ledgerspark.sinks.months import append_months, rebuild_months
 from ledgerspark.sinks.runlog import append_run, run_record
 from ledgerspark.sinks.tables import (
+    IN_FLIGHT_SECONDS,
     drop_old_versions,
     read_or_empty,
     read_table,
@@ -403,7 +404,7 @@ def run_silver(spark: SparkSession, config: IngestConfig, run_log_dir: str) -> D
     record = run_record(spark, status="completed", rows_written=rows, months=months, **common)
     append_run(record, run_log_dir)
     _clear_pending(spark, config, months)
-    drop_old_versions(spark, config.trusted_dir, config.keep_versions)
+    drop_old_versions(spark, config.trusted_dir, config.keep_versions, IN_FLIGHT_SECONDS)
     return record
 
 

@@ -2,13 +2,17 @@
 
 A table is a folder of versions ``v=<n>``. A version counts once its marker exists, and
 the highest one is the table, so a write that dies half-way leaves the old table as it
-was. One writer per table at a time is assumed, as for any plain Parquet folder; readers
-change nothing.
+was. Readers change nothing.
 
 A table written with ``by_month=True`` keeps its files under ``data``, by year, month and
 the write that made them; a version's marker lists which writes make up each month. A write
 that touches some months adds their files and publishes a marker that names the other months
-as they were: readers see the old table or the new one.
+as they were: readers see the old table or the new one. Several writers may write such a
+table at once. Each adds its files, then creates the marker of the next version, which never
+overwrites one. A writer that finds the version taken looks at what was published since it
+read the table: appends always follow, writes that replace other months follow too, and those
+that replace a month which has changed take their files back with :class:`WriteConflict`.
+Tables that are not kept by month take one writer at a time, as any plain Parquet folder.
 """
 
 from __future__ import annotations
@@ -39,6 +43,10 @@ WRITE = "write_id"
 WRITE_MODES = ("replace", "append", "upsert")
 
 
+class WriteConflict(RuntimeError):
+    """Another writer has published a change of the same months since the table was read."""
+
+
 def _number(path: str) -> int:
     return int(path.rstrip("/").rsplit("v=", 1)[1])
 
@@ -155,14 +163,54 @@ def _add_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> in
     return seen.get["rows"]
 
 
-def _publish(spark: SparkSession, path: str, **marker) -> None:
-    fs.write_text(spark, f"{path}/{MARKER}", json.dumps(marker))
+def _publish(spark: SparkSession, path: str, **marker) -> bool:
+    """Create a version's marker; False if another writer has published that version."""
+    return fs.create_text(spark, f"{path}/{MARKER}", json.dumps(marker))
 
 
-def _publish_months(
-    df: DataFrame, path: str, rows: int, months: dict[int, list[str]]
+def _commit_months(
+    df: DataFrame,
+    root: str,
+    base: int,
+    rows: int,
+    name: str,
+    added: Iterable[int],
+    replaced: Iterable[int] | None = (),
 ) -> None:
-    _publish(df.sparkSession, path, rows=rows, months=months, schema=json.loads(df.schema.json()))
+    """Publish one write: its months, and those whose older content goes (None: all).
+
+    ``base`` is the version that the write's content was made from. Versions published since
+    are taken along unless they changed a replaced month; a version that is not there any more
+    may have changed anything. A write that conflicts takes its files back.
+    """
+    spark, added = df.sparkSession, sorted(added)
+    replaced = None if replaced is None else set(replaced)
+    while True:
+        current = current_version(spark, root)
+        for number in range(base + 1, current + 1):
+            changed = _marker(spark, f"{root}/v={number}").get("changed")
+            if replaced is None or (replaced and (changed is None or replaced & set(changed))):
+                _remove_write(spark, root, name)
+                raise WriteConflict(f"Version {number} of {root} changed months that this write replaces.")
+        before = month_writes(spark, root) if current else {}
+        if before is None and replaced is not None:
+            raise ValueError(f"Table {root} is not kept by month.")
+        kept = {} if replaced is None else {m: w for m, w in before.items() if m not in replaced}
+        months = kept | {m: [*kept.get(m, ()), name] for m in added}
+        schema = json.loads(df.schema.json())
+        if current != base:
+            known = {f["name"] for f in schema["fields"]}
+            others = _marker(spark, f"{root}/v={current}").get("schema", {"fields": []})["fields"]
+            schema["fields"] += [f for f in others if f["name"] not in known]
+        changed = None if replaced is None else sorted(replaced | set(added))
+        path = f"{root}/v={current + 1}"
+        if _publish(spark, path, rows=rows, months=months, schema=schema, changed=changed):
+            return
+
+
+def _remove_write(spark: SparkSession, root: str, name: str) -> None:
+    for folder in fs.glob(spark, f"{root}/{DATA}/year=*/month=*/{WRITE}={name}"):
+        fs.delete(spark, folder)
 
 
 def _write_months(
@@ -176,9 +224,11 @@ def _write_months(
         F.count(F.lit(1)).alias("rows"),
         F.collect_set(month_id(F.col("year"), F.col("month"))).alias("months"),
     )
-    rows.withColumn(WRITE, F.lit(name)).write.mode("append").partitionBy(
-        *month_sink.PARTITION_COLUMNS, WRITE
-    ).parquet(f"{root}/{DATA}")
+    # Only partitions of this write are overwritten, and there are none. Unlike an append, this
+    # has a staging folder of its own, so writers do not remove each other's unfinished files.
+    rows.withColumn(WRITE, F.lit(name)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*month_sink.PARTITION_COLUMNS, WRITE).parquet(f"{root}/{DATA}")
     return seen.get["rows"], set(seen.get["months"] or ()), name
 
 
@@ -198,38 +248,46 @@ def replace_table(
     ``by_month`` with ``rebalance`` off, for input that already is laid out by month.
     """
     spark = df.sparkSession
-    path = _next_path(spark, root)
     if by_month:
+        base = current_version(spark, root)
         rows, months, name = _write_months(df, root, rebalance)
         if rows or not keep_if_empty:
-            _publish_months(df, path, rows, {m: [name] for m in sorted(months)})
+            _commit_months(df, root, base, rows, name, months, replaced=None)
         return rows
+    path = _next_path(spark, root)
     rows = _add_files(df, path, partition_by)
     if rows == 0 and keep_if_empty:
         fs.delete(spark, path)
         return 0
-    _publish(spark, path, rows=rows)
+    if not _publish(spark, path, rows=rows):
+        raise WriteConflict(f"{path} was published by another writer.")
     return rows
 
 
 def replace_months(
-    df: DataFrame, root: str, months: Iterable[int], *, rebalance: bool = True
+    df: DataFrame,
+    root: str,
+    months: Iterable[int],
+    *,
+    rebalance: bool = True,
+    base: int | None = None,
 ) -> int:
     """Make ``df`` the content of the named months; others keep their files.
 
-    A month without rows becomes empty. A missing table is created.
+    A month without rows becomes empty. A missing table is created. ``base`` is the version
+    that ``df`` was read from (default: the one that is current now); if another writer has
+    changed one of the months since, the write is undone with :class:`WriteConflict`.
     """
     spark = df.sparkSession
-    writes = month_writes(spark, root) if table_exists(spark, root) else {}
-    if writes is None:
+    if base is None:
+        base = current_version(spark, root)
+    if table_exists(spark, root) and month_writes(spark, root) is None:
         raise ValueError(f"Table {root} is not kept by month.")
     wanted = set(months)
-    path = _next_path(spark, root)
     rows, found, name = _write_months(df, root, rebalance)
     if found - wanted:
         raise ValueError(f"Rows of months that are not replaced: {sorted(found - wanted)}.")
-    kept = {m: names for m, names in writes.items() if m not in wanted}
-    _publish_months(df, path, rows, kept | {m: [name] for m in sorted(found)})
+    _commit_months(df, root, base, rows, name, found, wanted)
     return rows
 
 
@@ -256,10 +314,10 @@ def append_table(
     writes = month_writes(spark, root)
     if writes is None:
         return _add_files(df, current_path(spark, root))
-    path = _next_path(spark, root)
+    base = current_version(spark, root)
     rows, found, name = _write_months(df, root, rebalance)
     if rows:
-        _publish_months(df, path, rows, writes | {m: [*writes.get(m, ()), name] for m in found})
+        _commit_months(df, root, base, rows, name, found)
         compact_table(spark, root, most_writes)
     return rows
 
@@ -269,17 +327,27 @@ def compact_table(spark: SparkSession, root: str, most_writes: int = 1) -> list[
 
     The new files are published with one marker, in the sizes that REBALANCE gives them;
     other months keep theirs. The marker and the filter of a read then have one name per
-    compacted month, however many appends there were. Returns the months.
+    compacted month, however many appends there were. Returns the months; none if another
+    writer changed one of them meanwhile, which then stay as they are.
     """
+    base = current_version(spark, root)
     writes = month_writes(spark, root)
     if writes is None:
         raise ValueError(f"Table {root} is not kept by month.")
     months = sorted(m for m, names in writes.items() if len(names) > most_writes)
     if months:
-        replace_months(read_table(spark, root).where(month_predicate(months)), root, months)
+        try:
+            rows = read_table(spark, root).where(month_predicate(months))
+            replace_months(rows, root, months, base=base)
+        except WriteConflict:
+            return []
     return months
 
 
+# How often an upsert starts anew because another writer changed its months.
+TRIES = 5
+
+
 def upsert_table(
     df: DataFrame,
     root: str,
@@ -290,7 +358,8 @@ def upsert_table(
 ) -> int:
     """Replace rows with equal keys and add the rest. Returns the number of source rows.
 
-    A missing table is created. Repeated keys in the source are an error. The source is
+    A missing table is created. Repeated keys in the source are an error. An upsert of a month
+    table whose months another writer changes meanwhile is made anew. The source is
     written once before it is used several times, unless ``stored_source`` says that it
     already comes straight from files.
     """
@@ -311,15 +380,23 @@ def _upsert(source: DataFrame, root: str, keys: list[str], by_month: bool) -> in
     rows = source.count()
     if rows == 0:
         return 0
-    target = read_table(spark, root)
     if month_writes(spark, root) is None:
-        replace_table(upsert_rows(target, source, keys), root)
-    else:
-        _upsert_months(target, source, root, keys)
+        replace_table(upsert_rows(read_table(spark, root), source, keys), root)
+        return rows
+    for attempt in range(1, TRIES + 1):
+        try:
+            _upsert_months(source, root, keys)
+            break
+        except WriteConflict:
+            if attempt == TRIES:
+                raise
     return rows
 
 
-def _upsert_months(target: DataFrame, source: DataFrame, root: str, keys: list[str]) -> None:
+def _upsert_months(source: DataFrame, root: str, keys: list[str]) -> None:
+    spark = source.sparkSession
+    base = current_version(spark, root)
+    target = read_table(spark, root)
     month = month_id(F.col("year"), F.col("month")).alias("m")
     # The keys and partition columns are all this scan of the target reads.
     matched = target.select(*keys, *[c for c in ("year", "month") if c not in keys]).join(
@@ -328,7 +405,7 @@ def _upsert_months(target: DataFrame, source: DataFrame, root: str, keys: list[s
     touched = matched.select(month).union(source.select(month)).distinct()
     months = sorted(row["m"] for row in touched.collect())
     affected = target.where(month_predicate(months))
-    replace_months(upsert_rows(affected, source, keys), root, months)
+    replace_months(upsert_rows(affected, source, keys), root, months, base=base)
 
 
 def write_table(
@@ -350,15 +427,27 @@ def write_table(
     raise ValueError(f"Unsupported write mode {mode!r}; use one of {', '.join(WRITE_MODES)}.")
 
 
-def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
-    """Remove all but the newest versions and the files that none of those name."""
+# Files that no version names yet may be those of another writer for so long.
+IN_FLIGHT_SECONDS = 24 * 3600
+
+
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2, in_flight: float = 0) -> None:
+    """Remove all but the newest versions and the files that none of those name.
+
+    Where other writers may be at work, ``in_flight`` seconds keep the files that no version
+    has named; those of the removed versions always go.
+    """
     versions = _versions(spark, root)
+    named = set()
     for path in versions[:-keep]:
+        named |= {n for names in _marker(spark, path).get("months", {}).values() for n in names}
         fs.delete(spark, path)
     used = set()
     for path in versions[-keep:]:
         for month, names in _marker(spark, path).get("months", {}).items():
             used |= {f"{month_sink.month_folder(DATA, int(month))}/{WRITE}={n}" for n in names}
     for folder in fs.glob(spark, f"{root}/{DATA}/year=*/month=*/{WRITE}=*"):
-        if not folder.endswith(tuple(used)):
+        if folder.endswith(tuple(used)):
+            continue
+        if folder.rsplit("=", 1)[1] in named or fs.age_seconds(spark, folder) >= in_flight:
             fs.delete(spark, folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerspark import fs
 from ledgerspark.functions import eventtime
 from ledgerspark.functions.calendar import add_calendar_features
+from ledgerspark.operators import coverage
 from ledgerspark.operators.manifest import STATE_DDL
 from ledgerspark.plans.incremental import IncrementalConfig, refresh, relations
 from ledgerspark.plans.ingest import read_manifest, run_bronze, run_ingest
@@ -27,6 +29,7 @@ from ledgerspark.testbed.queries import (
     landed,
     replace_files,
     split_feed,
+    with_month,
     write_landing,
 )
 
@@ -212,3 +215,46 @@ def compacted_table(spark, sf_dir):
     counts = spark.createDataFrame(writes, "month_id int, n_writes int")
     found = tables.read_table(spark, root).withColumn("month_id", F.col("year") * 100 + F.col("month"))
     return found.join(counts, "month_id", "left").drop("year", "month")
+
+
+@query
+def concurrent_commits(spark, sf_dir):
+    """orders appended by two writers at a time, then upserted by two more that change half of
+    the orders of every month each: the rows of all four."""
+    root = scratch_path(spark, "orders")
+    rows = with_month(t.table(spark, sf_dir, "orders"), "o_orderdate")
+    rows = rows.select("o_orderkey", "o_totalprice", "o_orderpriority", "year", "month")
+    even, price = F.col("o_orderkey") % 2 == 0, F.col("o_totalprice")
+    urgent = F.coalesce(F.col("o_orderpriority") < "3", F.lit(False))
+
+    def append(part):
+        tables.append_table(part, root, by_month=True)
+
+    def upsert(part):
+        tables.upsert_table(part, root, ["o_orderkey"], by_month=True, stored_source=True)
+
+    # The table is there before its writers.
+    tables.replace_months(rows.limit(0), root, [])
+    for write, parts in (
+        (append, (rows.where(urgent), rows.where(~urgent))),
+        (upsert, (rows.where(even).withColumn("o_totalprice", price * 2),
+                  rows.where(~even).withColumn("o_totalprice", price + 1))),
+    ):
+        with ThreadPoolExecutor(2) as writers:
+            list(writers.map(write, parts))
+    return tables.read_table(spark, root)
+
+
+@query
+def bitmap_backfill(spark, sf_dir):
+    """The backfill plans of all partners at once: three months before the first one to the
+    last; loaded are the months with processed rows."""
+    rows = t.transactions(spark, sf_dir).withColumn("month", F.trunc("created_at_timestamp", "MM"))
+    spans = rows.groupBy("charged_partner").agg(
+        F.add_months(F.min("month"), -3).alias("first"), F.max("month").alias("last")
+    )
+    return coverage.backfill_plans(
+        coverage.range_bits(spans, "charged_partner"),
+        coverage.month_bits(rows, "charged_partner"),
+        coverage.month_bits(rows.where(F.col("status") == "processed"), "charged_partner"),
+    )

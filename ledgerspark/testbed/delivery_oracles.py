@@ -81,4 +81,25 @@ FROM txn""",
 SELECT o_orderkey, o_totalprice, o_orderpriority, 1::INTEGER AS n_writes,
   (year(o_orderdate) * 100 + month(o_orderdate))::INTEGER AS month_id
 FROM orders""",
+    "concurrent_commits": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice * 2 ELSE o_totalprice + 1 END AS o_totalprice,
+  o_orderpriority, year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month
+FROM orders""",
+    "bitmap_backfill": f"""WITH {TXN},
+m AS (
+  SELECT charged_partner AS feed, date_trunc('month', created_at_timestamp) AS m, status FROM txn
+  WHERE created_at_timestamp IS NOT NULL
+),
+requested AS (
+  SELECT feed, unnest(generate_series(min(m) - INTERVAL 3 MONTH, max(m), INTERVAL 1 MONTH)) AS m FROM m GROUP BY feed
+),
+available AS (SELECT DISTINCT feed, m FROM m),
+found AS (
+  SELECT feed, 'requested' AS status, m FROM requested
+  UNION ALL SELECT feed, 'available', m FROM available
+  UNION ALL (SELECT feed, 'selected', m FROM requested INTERSECT SELECT feed, 'selected', m FROM available)
+  UNION ALL (SELECT feed, 'not_available', m FROM requested EXCEPT SELECT feed, 'not_available', m FROM available)
+  UNION ALL SELECT DISTINCT feed, 'latest_loaded', m FROM m WHERE status = 'processed'
+)
+SELECT feed, status, strftime(m, '%Y-%m') AS month FROM found""",
 }

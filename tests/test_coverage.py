@@ -1,6 +1,7 @@
 """Coverage, planning, run summaries and schema drift."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +152,41 @@ def test_old_content_of_a_changed_file_is_still_known(spark):
     unseen = m.unseen_files(now, old)
     assert paths(unseen) == ["fresh"]
     assert paths(m.ignored_duplicates(now, old, unseen)) == ["copy_of_old"]
+
+
+def test_bits_say_what_the_month_lists_say(spark):
+    """Random feeds, one of them null: the plans from bits are those of each feed by itself."""
+    rng = random.Random(5)
+    months = [dt.date(2019 + k // 12, 1 + k % 12, 1) for k in range(40)]
+    spans, lists = [], {"available": [], "loaded": []}
+    for feed in ("a", "b", "c", None):
+        first, last = sorted(rng.choices(range(40), k=2))
+        spans.append((feed, months[first], months[last]))
+        for rows in lists.values():
+            # Any day of a month, and repeated ones, count for the month.
+            rows += [(feed, m.replace(day=rng.randint(1, 28))) for m in rng.choices(months, k=25)]
+            rows.append((feed, None))
+    spans.append(("reversed", months[5], months[2]))
+    frames = {k: spark.createDataFrame(v, "feed string, month date") for k, v in lists.items()}
+    ranges = spark.createDataFrame(spans, "feed string, first date, last date")
+    bits = {k: coverage.month_bits(v, "feed") for k, v in frames.items()}
+    found = coverage.backfill_plans(coverage.range_bits(ranges, "feed"), bits["available"], bits["loaded"])
+    got = sorted(map(tuple, found.collect()), key=repr)
+    expected = []
+    for feed, first, last in spans:
+        sides = [
+            v.where(F.col("feed").eqNullSafe(feed) & F.col("month").isNotNull()).select(F.trunc("month", "MM").alias("month")).distinct()
+            for v in frames.values()
+        ]
+        asked = ranges.where(F.col("feed").eqNullSafe(feed)).select(
+            F.explode(coverage.months_between(F.col("first"), F.col("last"))).alias("month")
+        )
+        plan = coverage.backfill_plan(asked, sides[0], sides[1])
+        expected += [(feed, r["status"], r["month"]) for r in plan.collect()]
+    assert got == sorted(expected, key=repr) and ("reversed", "requested") not in {x[:2] for x in got}
+    assert sorted(r["month"] for r in coverage.months_of_bits(bits["available"]).where("feed = 'a'").collect()) == sorted(
+        {m.replace(day=1) for f, m in lists["available"] if f == "a" and m}
+    )
+    empty = spark.createDataFrame([], "feed string, month date")
+    none = coverage.month_bits(empty, "feed")
+    assert coverage.backfill_plans(none, none, none).count() == 0

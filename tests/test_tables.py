@@ -252,3 +252,102 @@ def test_fields_that_a_later_write_adds_are_null_before(spark, tmp_path):
     tables.append_table(wider, root, by_month=True)
     found = {r["id"]: r["extra"] for r in tables.read_table(spark, root).collect()}
     assert found == {1: None, 2: "x"}
+
+
+def meanwhile(monkeypatch, action):
+    """Run ``action`` once, between the files of the next write and its marker."""
+    write = tables._write_months
+
+    def writes(*args, **kwargs):
+        result = write(*args, **kwargs)
+        monkeypatch.setattr(tables, "_write_months", write)
+        action()
+        return result
+
+    monkeypatch.setattr(tables, "_write_months", writes)
+
+
+def ids(spark, root):
+    return sorted(r["id"] for r in tables.read_table(spark, root).collect())
+
+
+def test_two_writers_of_a_month_table(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+
+    def append(*rows):
+        return tables.append_table(months_frame(spark, list(rows)), root, by_month=True)
+
+    append((1, 2024, 1), (2, 2024, 2))
+    # Two appends, also to the same month.
+    meanwhile(monkeypatch, lambda: append((3, 2024, 1)))
+    append((4, 2024, 1))
+    assert ids(spark, root) == [1, 2, 3, 4]
+    # An append while another month is replaced, and while the same one is.
+    for month, new in ((2, 5), (1, 6)):
+        meanwhile(monkeypatch, lambda month=month, new=new: append((new, 2024, month)))
+        if month == 2:
+            tables.replace_months(months_frame(spark, [(7, 2024, 1)]), root, [202401])
+            assert ids(spark, root) == [2, 5, 7]
+        else:
+            files = everything_in(root)
+            with pytest.raises(tables.WriteConflict):
+                tables.replace_months(months_frame(spark, [(8, 2024, 1)]), root, [202401])
+            assert ids(spark, root) == [2, 5, 6, 7]
+            parts = [x for x in everything_in(root) - files if x[1].startswith("part-")]
+            assert len(parts) == 1, "the refused write takes its files back"
+    # A compaction that comes too late changes nothing.
+    meanwhile(monkeypatch, lambda: append((9, 2024, 1)))
+    assert tables.compact_table(spark, root) == []
+    assert ids(spark, root) == [2, 5, 6, 7, 9]
+    # A replaced table must not swallow what came meanwhile.
+    meanwhile(monkeypatch, lambda: append((10, 2024, 3)))
+    with pytest.raises(tables.WriteConflict):
+        tables.replace_table(months_frame(spark, [(0, 2024, 1)]), root, by_month=True)
+    assert 10 in ids(spark, root)
+
+
+def test_an_upsert_starts_anew_after_a_conflict(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+
+    def upsert(*rows):
+        return tables.upsert_table(frame(spark, list(rows), MONTH_DDL), root, ["id"], by_month=True)
+
+    upsert((1, "a", 2024, 1), (2, "b", 2024, 1))
+    meanwhile(monkeypatch, lambda: upsert((1, "A", 2024, 1), (3, "c", 2024, 1)))
+    assert upsert((2, "B", 2024, 1), (3, "C", 2024, 1)) == 2
+    assert content(spark, root) == [(1, "A"), (2, "B"), (3, "C")]
+
+
+def test_writers_that_find_the_first_version_taken(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    meanwhile(monkeypatch, lambda: tables.replace_months(months_frame(spark, [(1, 2024, 1)]), root, [202401]))
+    tables.replace_months(months_frame(spark, [(2, 2024, 2)]), root, [202402])
+    assert ids(spark, root) == [1, 2]
+
+
+def test_a_wider_write_meanwhile_keeps_its_field(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    tables.append_table(months_frame(spark, [(1, 2024, 1)]), root, by_month=True)
+    wider = spark.createDataFrame([(2, "x", 2024, 2)], "id int, extra string, year int, month int")
+    meanwhile(monkeypatch, lambda: tables.append_table(wider, root, by_month=True))
+    tables.append_table(months_frame(spark, [(3, 2024, 3)]), root, by_month=True)
+    found = {r["id"]: r["extra"] for r in tables.read_table(spark, root).collect()}
+    assert found == {1: None, 2: "x", 3: None}
+
+
+def test_files_of_a_writer_at_work_are_kept(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    tables.replace_table(months_frame(spark, [(1, 2024, 1)]), root, by_month=True)
+    for k in (2, 3):
+        tables.replace_months(months_frame(spark, [(k, 2024, 1)]), root, [202401])
+    meanwhile(monkeypatch, lambda: tables.drop_old_versions(spark, root, 1, tables.IN_FLIGHT_SECONDS))
+    tables.append_table(months_frame(spark, [(4, 2024, 2)]), root, by_month=True)
+    assert ids(spark, root) == [3, 4]
+    assert len([x for x in everything_in(root) if x[1].startswith("part-")]) == 2
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    path = str(tmp_path / "v=1" / "mark")
+    assert fs.create_text(spark, path, "é") and not fs.create_text(spark, path, "other")
+    assert fs.read_text(spark, path) == "é" and os.listdir(tmp_path / "v=1")[0].lstrip(".").startswith("mark")
+    assert [x for x in os.listdir(tmp_path / "v=1") if not x.endswith(".crc")] == ["mark"]
