@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.operators import manifest
 from ledgerspark.sources import landing, ranges
+from ledgerspark.testbed.queries import write_landing, write_landing_file
 
 
 class Memory:
@@ -145,3 +146,31 @@ def test_positions_in_source_order(spark):
     found = [(r["path"], r["file_date"]) for r in landing.with_positions(df).orderBy("position").collect()]
     assert found == sorted(rows, key=lambda r: (r[1], r[0]))
     assert sorted(r["position"] for r in landing.with_positions(df).collect()) == list(range(1, 201))
+
+
+def test_small_ranges_share_tasks_and_are_scanned_once(spark, tmp_path):
+    (tmp_path / "premium_transaction_all.json").write_text(json.dumps([{"id": k} for k in range(20_000)]))
+    scans = ranges.scan_ranges(landing.list_files(spark, str(tmp_path)), 500)
+    most = max(32, 2 * spark.sparkContext.defaultParallelism)
+    assert scans.count() > 400 and scans.rdd.getNumPartitions() <= most
+    records = ranges.json_records(scans, 500)
+    assert records.rdd.getNumPartitions() <= most
+    # The states are stored: the records are read without another scan of the ranges.
+    assert records._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert records.count() == 20_000
+
+
+def test_one_landing_file_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("id", "'[\"' || id AS text").repartition(7)
+    write_landing_file(rows, f"{tmp_path}/in", copies=2)
+    one, two = sorted((tmp_path / "in").glob("part-*.txt"))
+    assert one.read_bytes() == two.read_bytes()
+    found = json.loads(one.read_text())
+    assert sorted(r["id"] for r in found) == list(range(5000)) and found[0].keys() == {"id", "text"}
+
+
+def test_landing_files_hold_what_was_written(spark, tmp_path):
+    rows = spark.range(30_000).selectExpr("id", "'a,\\n[\"' || id AS text").repartition(3)
+    write_landing(rows, f"{tmp_path}/in")
+    found = [r for path in (tmp_path / "in").glob("part-*.txt") for r in json.loads(path.read_text())]
+    assert sorted((r["id"], r["text"]) for r in found) == sorted(map(tuple, rows.collect()))
