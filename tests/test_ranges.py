@@ -174,3 +174,59 @@ def test_landing_files_hold_what_was_written(spark, tmp_path):
     write_landing(rows, f"{tmp_path}/in")
     found = [r for path in (tmp_path / "in").glob("part-*.txt") for r in json.loads(path.read_text())]
     assert sorted((r["id"], r["text"]) for r in found) == sorted(map(tuple, rows.collect()))
+
+
+def test_fields_read_by_arrow_are_those_that_spark_reads(spark, tmp_path):
+    schema = landing.T.StructType.fromDDL("s string, n bigint, d double, b boolean")
+    cases = {
+        "plain": '[{"s": "é\\u0041\\n", "n": 1, "d": 2, "b": true}\n , {"x": {"s": [1]}, "d": -0.0},{}, {"s": null}]',
+        "number_as_text": '[{"s": 5, "n": 1}, {"s": {"a": 1}}, {"s": "x"}]',
+        "twice": '[{"s": "a", "s": "b"}]',
+        "integer_zero": '[{"d": -0}, {"d": 1}]',
+        "surrogates": '[{"s": "\\ud83d\\ude00"}, {"s": "{\\"n\\": 9}"}]',
+        "large": '[{"d": 12345678901234567890, "n": 9223372036854775807}, {"d": 1.7976931348623157e308}]',
+        "nothing": "[ ]",
+    }
+    for name, text in cases.items():
+        (tmp_path / f"premium_transaction_{name}.json").write_text(text)
+    texts = "path", F.from_json("value", schema, {"mode": "FAILFAST"}).alias("record")
+    for size in (7, 10_000):
+        scans = ranges.scan_ranges(landing.list_files(spark, str(tmp_path)), size)
+        found = ranges.json_fields(scans, schema, "FAILFAST", size).select("path", "record.*").collect()
+        expected = ranges.json_records(scans, size).select(*texts).select("path", "record.*").collect()
+        # As text, which tells -0.0 from 0.0.
+        assert sorted(map(str, found)) == sorted(map(str, expected)) and len(found) == 14
+
+
+def test_plain_records_do_not_pass_as_text(spark, tmp_path):
+    rows = [{"id": k % 10, "text": "x" * 50} for k in range(5000)]
+    (tmp_path / "premium_transaction_all.json").write_text(json.dumps(rows))
+    schema = landing.T.StructType.fromDDL("id bigint")
+    scans = ranges.scan_ranges(landing.list_files(spark, str(tmp_path)), 50_000)
+    found = ranges.json_fields(scans, schema, "PERMISSIVE", 50_000, distinct=True)
+    assert found.count() <= 10 * scans.count()
+    assert sorted(r["id"] for r in found.select("record.id").distinct().collect()) == list(range(10))
+    data = (tmp_path / "premium_transaction_all.json").read_bytes()
+    places = ranges._places(Memory(data), len(data), 0, len(data), False, 0)
+    assert len(ranges._columns(*places, ranges.pa.schema([("id", ranges.pa.int64())]))) == 5000
+
+
+@pytest.mark.parametrize("text", ['[{"s": "\\ud83d"}]', '[{"s": "a\tb"}]', '[{"s": 01}]', '[{"n": 1.5}]', '[{"n": "1"}]', "[{'s': 1}]", '[{"s": nul}]'])
+def test_what_only_spark_can_judge_is_left_to_it(text):
+    data = text.encode()
+    places = ranges._places(Memory(data), len(data), 0, len(data), False, 0)
+    fields = ranges.pa.schema([("s", ranges.pa.string()), ("n", ranges.pa.int64())])
+    assert ranges._columns(*places, fields) is None
+
+
+def test_deep_records_are_left_to_spark():
+    assert ranges._deep(b'[{"a": ' + b"[" * 600 + b"]" * 600 + b"}]")
+    assert not ranges._deep(b'[{"a": [[{"b": 1}]]}\n,' * 1 + b'{"a": {}},' * 5000 + b"{}]")
+    assert not ranges._deep(b"")
+
+
+def test_landing_files_of_limited_rows(spark, tmp_path):
+    write_landing(spark.range(1000).repartition(2), f"{tmp_path}/in", 300)
+    files = [json.loads(path.read_text()) for path in (tmp_path / "in").glob("part-*.txt")]
+    assert sorted(r["id"] for f in files for r in f) == list(range(1000))
+    assert len(files) == 4 and max(map(len, files)) == 300
