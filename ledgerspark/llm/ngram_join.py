@@ -14,14 +14,16 @@ chance are not candidates. This is used twice, both times without loss:
    the smaller of both ``l``.
 
 Groups of near copies are first tied to one hub per token, which gives as many pairs as rows;
-after that only pairs of different components are formed.
+after that only pairs of different components are formed. For tokens of many sets, signatures
+bound how many tokens only one set of a pair has, so pairs that are too far apart are not formed.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -257,6 +259,56 @@ def _reachable(a: str, b: str, percent: int) -> Column:
     return (100 + percent) * (before + after) >= percent * total
 
 
+# A set's signature: for each of so many bits, whether an odd number of its tokens fall on it.
+SIGNATURE_BITS = 512
+SIGNATURE = [f"s{k}" for k in range(SIGNATURE_BITS // 64)]
+
+
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node and the signature of its tokens."""
+    for batch in batches:
+        for begin in range(0, len(batch), 2_000):
+            part = batch.slice(begin, 2_000)
+            tokens = part.column("tokens")
+            sizes = np.diff(tokens.offsets.to_numpy())
+            bits = tokens.flatten().to_numpy() & (SIGNATURE_BITS - 1)
+            owner = np.repeat(np.arange(len(part)), sizes)
+            odd = np.bincount(owner * SIGNATURE_BITS + bits, minlength=len(part) * SIGNATURE_BITS) & 1
+            words = np.packbits(odd.astype(np.uint8).reshape(len(part), SIGNATURE_BITS), axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("node"), *[pa.array(words[:, k].copy()) for k in range(len(SIGNATURE))]],
+                ["node", *SIGNATURE],
+            )
+
+
+def _close(a: str, b: str, percent: int) -> Column:
+    """Whether a pair may reach the threshold by its signatures; without one, it may.
+
+    Each bit that differs stands for a token that only one of the sets has, and so does each
+    token that is in no other set.
+    """
+    differ = reduce(add, [F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SIGNATURE])
+    alone = F.col(f"{a}.n") - F.col(f"{a}.m") + F.col(f"{b}.n") - F.col(f"{b}.m")
+    total = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return F.coalesce((100 + percent) * (differ + alone) <= (100 - percent) * total, F.lit(True))
+
+
+def _signed_in_crowds(labelled: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Add signatures to the rows of tokens of many sets, which would form most pairs."""
+    crowded = (
+        labelled.groupBy("token")
+        .agg(F.count(F.lit(1)).alias("count"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .where((F.col("count") >= CROWD) & (F.col("low") != F.col("high")))
+        .select("token", F.lit(True).alias("crowded"))
+    )
+    marked = labelled.join(own_exchange(crowded), "token", "left")
+    kind = ", ".join(f"{c} bigint" for c in ("node", *SIGNATURE))
+    signed = nodes.select("node", "tokens").mapInArrow(_signatures, kind)
+    plain = marked.where("crowded IS NULL").drop("crowded")
+    with_all = marked.where("crowded").drop("crowded").join(signed, "node")
+    return materialize(plain.unionByName(with_all, allowMissingColumns=True), "signed-prefixes")
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold."""
     x = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
@@ -422,6 +474,7 @@ def _links(nodes: DataFrame, percent: int) -> DataFrame:
     if more is not None:
         tied = materialize(tied.unionByName(more), "spokes")
         labelled = with_roots()
+    labelled = _signed_in_crowds(labelled, nodes)
     here = labelled.withColumn("at", F.col("bucket"))
     near = labelled.select("*", F.explode(F.array("bucket", F.col("bucket") + 1)).alias("at"))
     order = (F.col("x.n") < F.col("y.n")) | (
@@ -430,7 +483,7 @@ def _links(nodes: DataFrame, percent: int) -> DataFrame:
     pairs = (
         near.alias("x")
         .join(here.alias("y"), ["token", "at"])
-        .where((F.col("x.root") != F.col("y.root")) & order & _reachable("x", "y", percent))
+        .where((F.col("x.root") != F.col("y.root")) & order & _reachable("x", "y", percent) & _close("x", "y", percent))
         .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         .agg(F.count(F.lit(1)).alias("matches"), F.least(F.first("x.l"), F.first("y.l")).alias("l"))
         .where("matches >= l")

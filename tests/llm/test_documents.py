@@ -460,3 +460,53 @@ def test_copies_of_a_lost_original_are_connected(spark, docs, monkeypatch, round
     found = ngram_join.ngram_jaccard_join(docs(rows), words=1, percent=80)
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == least
     assert (tied[0] > 0) == (rounds > 0)
+
+
+def test_signatures_keep_every_pair_that_reaches_the_threshold(spark):
+    rng = np.random.default_rng(5)
+    base = rng.integers(-(1 << 63), (1 << 63) - 1, 400)
+    sets = [sorted(rng.choice(base, size, replace=False).tolist()) for size in rng.integers(1, 400, 150)]
+    sets += [sorted({*base[: 200 - k].tolist(), *base[200 : 200 + k].tolist()}) for k in range(0, 60, 3)]
+    nodes = spark.createDataFrame(
+        [(k, len(s) + k % 3, len(s), s) for k, s in enumerate(sets)], "node bigint, n bigint, m bigint, tokens array<bigint>"
+    )
+    kind = ", ".join(f"{c} bigint" for c in ("node", *ngram_join.SIGNATURE))
+    signed = nodes.join(nodes.select("node", "tokens").mapInArrow(ngram_join._signatures, kind), "node")
+    pairs = signed.alias("a").join(signed.alias("b"), F.col("a.node") < F.col("b.node"))
+    found = pairs.select("a.node", "b.node", ngram_join._close("a", "b", 80)).collect()
+    kept = wrong = 0
+    for a, b, close in found:
+        both = len({*sets[a]} & {*sets[b]})
+        union = len(sets[a]) + a % 3 + len(sets[b]) + b % 3 - both
+        kept += close
+        wrong += 100 * both >= 80 * union and not close
+    assert wrong == 0 and kept < len(found) / 5
+
+
+def test_dense_group_that_is_not_similar(spark, docs, monkeypatch):
+    rng = np.random.default_rng(6)
+    words = [f"w{k}" for k in range(100)]
+    rows = [(k, " ".join(rng.choice(words, 60, replace=False))) for k in range(120)]
+    rows += [(1000 + k, f"{rows[k][1]} extra{k}") for k in range(20)]
+    signed = []
+    original = ngram_join._signed_in_crowds
+
+    def recorded(labelled, nodes):
+        found = original(labelled, nodes)
+        signed.append(found.where("s0 IS NOT NULL").count())
+        return found
+
+    monkeypatch.setattr(ngram_join, "_signed_in_crowds", recorded)
+    found = ngram_join.ngram_jaccard_join(docs(rows), words=1, percent=80)
+    by_id = {r["doc_id"]: r["component_id"] for r in found.collect()}
+    sets = {k: {*t.split()} for k, t in rows}
+    least = {k: k for k in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if least[b] < least[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    least[a], changed = least[b], True
+    assert by_id == least
+    assert signed[-1] > 100
