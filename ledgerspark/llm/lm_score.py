@@ -127,6 +127,23 @@ def make_language(units: Units, pairs: np.ndarray, config: LmConfig) -> Language
     )
 
 
+def exponentials(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of numbers and their sums along the last axis.
+
+    Where one could overflow, or all of a row vanish, ``rows`` are first shifted to a largest
+    value of 0, in place; a row's exponentials are the same multiple of its sum either way.
+    """
+    ones = np.ones(rows.shape[-1], rows.dtype)
+    if rows.max(initial=0) < 60:
+        odds = np.exp(rows)
+        total = odds @ ones
+        if total.min(initial=1) > 1e-20:
+            return odds, total
+    rows -= rows.max(-1, keepdims=True)
+    odds = np.exp(rows)
+    return odds, odds @ ones
+
+
 class Attention:
     """One head of causal attention over unit embeddings, with a bias per distance.
 
@@ -168,47 +185,71 @@ class Attention:
             at += old.size
 
     def forward(self, x: np.ndarray):
-        """Class log-probabilities (natural) after each of the last ``step`` inputs of windows."""
+        """Class log-probabilities (natural) after each of the last ``step`` inputs of windows.
+
+        Not normalised; with the logarithm of their sum, and what the gradient needs.
+        """
         d, step = self.config.hidden, self.config.step
-        last = x[:, step:]
-        q = (self.embed @ self.query / np.float32(d**0.5))[last]
-        k, v = (self.embed @ self.key)[x], (self.embed @ self.value)[x]
-        scores = q @ k.transpose(0, 2, 1)
-        scores += self.distance[self.gap]
-        scores[np.broadcast_to(self.future, scores.shape)] = -1e9
-        scores += np.where(x == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
-        scores -= scores.max(2, keepdims=True)
-        np.exp(scores, out=scores)
-        scores /= scores.sum(2, keepdims=True)
-        h = np.concatenate([scores @ v, self.embed[last]], 2)
-        logits = (h.reshape(-1, 2 * d) @ self.out) + self.bias
-        logits += self.log_class[last.ravel()]
-        logits -= logits.max(1, keepdims=True)
-        norm = np.log(np.exp(logits).sum(1))
-        return logits, norm, (x, last, q, k, v, scores, h)
+        e = self.embed.take(x, 0)
+        h = np.empty((len(x), step, 2 * d), e.dtype)
+        h[:, :, d:] = e[:, step:]
+        q = e[:, step:].reshape(-1, d) @ (self.query / np.float32(d**0.5))
+        q = q.reshape(-1, step, d)
+        kv = e.reshape(-1, d) @ np.concatenate([self.key, self.value], 1)
+        kv = kv.reshape(-1, 2 * step, 2 * d)
+        p = q @ kv[:, :, :d].transpose(0, 2, 1)
+        p += np.where(self.future, np.float32(-1e9), self.distance[self.gap])
+        absent = x == PAD
+        if absent.any():
+            p += np.where(absent, np.float32(-1e9), np.float32(0))[:, None, :]
+        p, total = exponentials(p)
+        p /= total[:, :, None]
+        np.matmul(p, kv[:, :, d:], out=h[:, :, :d])
+        logits = h.reshape(-1, 2 * d) @ self.out
+        logits += self.bias
+        logits += self.log_class.take(x[:, step:].ravel(), 0)
+        odds, total = exponentials(logits)
+        return logits, np.log(total), (e, q, kv, p, h, odds, total)
 
     def gradient(self, x: np.ndarray, target: np.ndarray, valid: np.ndarray) -> list[np.ndarray]:
-        d = self.config.hidden
-        logits, norm, (x, last, q, k, v, p, h) = self.forward(x)
-        g = np.exp(logits - norm[:, None])
-        rows = np.arange(len(g))
-        g[rows, target.ravel()] -= 1
-        g *= (valid.ravel() / max(valid.sum(), 1))[:, None].astype(np.float32)
+        d, step = self.config.hidden, self.config.step
+        _, _, (e, q, kv, p, h, g, total) = self.forward(x)
+        weight = valid.ravel() / np.float32(max(valid.sum(), 1))
+        g *= (weight / total)[:, None]
+        g[np.arange(len(g)), target.ravel()] -= weight
         g_out = h.reshape(-1, 2 * d).T @ g
         g_h = (g @ self.out.T).reshape(h.shape)
-        g_mix, g_last = g_h[:, :, :d], g_h[:, :, d:]
-        g_p = g_mix @ v.transpose(0, 2, 1)
-        g_v = p.transpose(0, 2, 1) @ g_mix
-        g_s = p * (g_p - (g_p * p).sum(2, keepdims=True))
+        g_mix = g_h[:, :, :d]
+        g_s = g_mix @ kv[:, :, d:].transpose(0, 2, 1)
+        # The sum of the weights' gradients times the weights is that of the mix times the mix.
+        g_s -= np.einsum("bij,bij->bi", g_mix, h[:, :, :d])[:, :, None]
+        g_s *= p
         g_distance = np.bincount(self.gap.ravel(), g_s.sum(0).ravel(), len(self.distance))
-        g_q = (g_s @ k) / np.float32(d**0.5)
-        g_k = g_s.transpose(0, 2, 1) @ q
-        e_x, e_last = self.embed[x].reshape(-1, d), self.embed[last].reshape(-1, d)
-        flat_q, flat_k, flat_v = (m.reshape(-1, d) for m in (g_q, g_k, g_v))
-        g_embed = np.zeros_like(self.embed)
-        np.add.at(g_embed, x.ravel(), flat_k @ self.key.T + flat_v @ self.value.T)
-        np.add.at(g_embed, last.ravel(), flat_q @ self.query.T + g_last.reshape(-1, d))
-        return [g_embed, e_last.T @ flat_q, e_x.T @ flat_k, e_x.T @ flat_v, g_distance, g_out, g.sum(0)]
+        g_q = (g_s @ kv[:, :, :d]).reshape(-1, d)
+        g_q /= np.float32(d**0.5)
+        g_kv = np.empty_like(kv)
+        np.matmul(g_s.transpose(0, 2, 1), q, out=g_kv[:, :, :d])
+        np.matmul(p.transpose(0, 2, 1), g_mix, out=g_kv[:, :, d:])
+        flat_kv = g_kv.reshape(-1, 2 * d)
+        g_key_value = e.reshape(-1, d).T @ flat_kv
+        g_e = (flat_kv @ np.concatenate([self.key, self.value], 1).T).reshape(e.shape)
+        g_e[:, step:] += (g_q @ self.query.T).reshape(-1, step, d)
+        g_e[:, step:] += g_h[:, :, d:]
+        return [
+            self._by_unit(x, g_e),
+            e[:, step:].reshape(-1, d).T @ g_q,
+            g_key_value[:, :d],
+            g_key_value[:, d:],
+            g_distance,
+            g_out,
+            np.ones(len(g), g.dtype) @ g,
+        ]
+
+    def _by_unit(self, x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Sums of the rows of each unit."""
+        total = np.zeros_like(self.embed, rows.dtype)
+        np.add.at(total.reshape(-1), (x.reshape(-1, 1) * rows.shape[2] + np.arange(rows.shape[2])).ravel(), rows.ravel())
+        return total
 
 
 class Adam:
@@ -216,15 +257,25 @@ class Adam:
         self.model, self.t = model, 0
         self.m = [np.zeros_like(p) for p in model.parameters()]
         self.v = [np.zeros_like(p) for p in model.parameters()]
+        self.room = [np.empty_like(p) for p in model.parameters()]
 
     def step(self, gradients: list[np.ndarray]) -> None:
         self.t += 1
         rate = self.model.config.rate * (1 - 0.999**self.t) ** 0.5 / (1 - 0.9**self.t)
-        for p, g, m, v in zip(self.model.parameters(), gradients, self.m, self.v):
-            g = g.astype(np.float32)
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            p -= np.float32(rate) * m / (np.sqrt(v) + np.float32(1e-8))
+        for p, g, m, v, room in zip(self.model.parameters(), gradients, self.m, self.v, self.room):
+            g = g.astype(np.float32, copy=False)
+            np.subtract(g, m, out=room)
+            room *= np.float32(0.1)
+            m += room
+            np.multiply(g, g, out=room)
+            room -= v
+            room *= np.float32(0.001)
+            v += room
+            np.sqrt(v, out=room)
+            room += np.float32(1e-8)
+            np.divide(m, room, out=room)
+            room *= np.float32(rate)
+            p -= room
 
 
 def windows(texts: list[np.ndarray], units: Units, step: int):
@@ -267,47 +318,42 @@ class Scorer:
     """The model's forward pass with everything that depends on one unit looked up.
 
     The same numbers as :meth:`Attention.forward`, without what only training needs: the
-    last unit's part of the logits is a table, the mask and the distances are one matrix,
-    and the sum of the weights is one more column of the values.
+    last unit's part of the logits is a table, keys and values are one table, and the mask
+    and the distances are one matrix.
     """
 
     def __init__(self, model: Attention, language: Language) -> None:
         d = model.config.hidden
-        self.step, self.language = model.config.step, language
+        self.step, self.hidden, self.language = model.config.step, d, language
         self.query = model.embed @ model.query / np.float32(d**0.5)
-        self.key = model.embed @ model.key
-        self.value = np.concatenate(
-            [model.embed @ model.value, np.ones((len(model.embed), 1), np.float32)], 1
-        )
+        self.seen = model.embed @ np.concatenate([model.key, model.value], 1)
         self.shift = np.where(model.future, np.float32(-1e9), model.distance[model.gap]).astype(np.float32)
-        self.absent = np.zeros(len(model.embed), np.float32)
-        self.absent[PAD] = -1e9
         self.mix_out = np.ascontiguousarray(model.out[:d])
         self.last_out = model.embed @ model.out[d:] + model.bias + language.log_class
 
     def log_words(self, x: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log10 probability of each target after the windows' inputs."""
-        last = x[:, self.step :]
-        weights = self.query[last] @ self.key[x].transpose(0, 2, 1)
+        d = self.hidden
+        flat, goal = x[:, self.step :].ravel(), target.ravel()
+        seen = self.seen.take(x, 0)
+        weights = self.query.take(flat, 0).reshape(len(x), self.step, d) @ seen[:, :, :d].transpose(0, 2, 1)
         weights += self.shift
-        weights += self.absent[x][:, None, :]
-        # Far above what training reaches, so that no exponential overflows.
-        np.minimum(weights, np.float32(60), out=weights)
-        np.exp(weights, out=weights)
-        mixed = weights @ self.value[x]
-        mixed = (mixed[:, :, :-1] / mixed[:, :, -1:]).reshape(-1, self.mix_out.shape[0])
-        flat, goal = last.ravel(), target.ravel()
-        logits = mixed @ self.mix_out
-        logits += self.last_out[flat]
-        np.minimum(logits, np.float32(60), out=logits)
-        unit = self.language.units.of[goal]
-        own = logits[np.arange(len(goal)), self.language.classes[unit]]
-        np.exp(logits, out=logits)
-        log_class = (own - np.log(logits.sum(1))) / np.log(10)
-        within = self.language.log_unit[flat, unit] + self.language.units.log_share[goal]
+        absent = x == PAD
+        if absent.any():
+            weights += np.where(absent, np.float32(-1e9), np.float32(0))[:, None, :]
+        weights, total = exponentials(weights)
+        mixed = weights @ seen[:, :, d:]
+        mixed /= total[:, :, None]
+        logits = mixed.reshape(-1, d) @ self.mix_out
+        logits += self.last_out.take(flat, 0)
+        _, total = exponentials(logits)
+        unit = self.language.units.of.take(goal)
+        own = logits[np.arange(len(goal)), self.language.classes.take(unit)]
+        log_class = (own - np.log(total)) / np.log(10)
+        within = self.language.log_unit[flat, unit] + self.language.units.log_share.take(goal)
         return (log_class + within).reshape(target.shape)
 
-    def texts(self, texts: list[np.ndarray], chunk: int = 64) -> np.ndarray:
+    def texts(self, texts: list[np.ndarray], chunk: int = 256) -> np.ndarray:
         """log10 probability of each text, end included."""
         x, target, valid, rows = windows(texts, self.language.units, self.step)
         row_score = np.empty(len(x))

@@ -351,6 +351,25 @@ def test_probabilities_of_the_next_subword_add_up_to_one():
     assert np.abs(quick.log_words(x, goal).ravel() - slow)[: row + 1].max() < 1e-4
 
 
+@pytest.mark.parametrize("shift", [200, -200])
+def test_probabilities_do_not_depend_on_how_large_the_numbers_are(shift):
+    """The same number added to all of a row's logits, or to all attention scores, changes nothing."""
+    config = lm_score.LmConfig(hidden=4, step=4, units=16, classes=6)
+    rng = np.random.default_rng(4)
+    units = lm_score.make_units(rng.integers(0, 50, 30), config)
+    language = lm_score.make_language(units, rng.integers(0, 9, (16, 16)).astype(float), config)
+    model = lm_score.Attention(config, language.log_class)
+    model.out += rng.standard_normal(model.out.shape).astype(np.float32)
+    x, target, valid, _ = lm_score.windows([rng.integers(0, 29, 11)], units, 4)
+    goal = language.classes[units.of[target]]
+    plain, slopes = lm_score.Scorer(model, language).log_words(x, target), model.gradient(x, goal, valid)
+    model.bias += np.float32(shift)
+    model.distance += np.float32(shift)
+    assert np.abs((lm_score.Scorer(model, language).log_words(x, target) - plain)[valid]).max() < 1e-3
+    for a, b in zip(slopes, model.gradient(x, goal, valid)):
+        assert np.abs(a - b).max() < 1e-3
+
+
 def test_scores_of_odd_documents(docs, odd_docs):
     found = lm_score.lm_scores(odd_docs, BYTES, 50_257, config=lm_score.LmConfig(units=256, classes=8)).collect()
     rows = [(r["doc_id"], r["text"] or "") for r in odd_docs.collect()]
