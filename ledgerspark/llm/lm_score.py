@@ -1,8 +1,9 @@
 """Language-model scores: a word unigram base and a causal self-attention model.
 
-One pass over the documents makes blocks: the subword ids of their texts, and for each
-distinct word of the block the documents that hold it. Word counts are then joined by word,
-with one row per block and word, however common the word is. The attention model is trained
+One pass over the documents makes blocks: the subword ids of their texts, and their words as
+numbers that hold within a lot of some blocks. Word counts are then joined by word, with one
+row per lot and word, however common the word is, and return to the blocks of the lot as one
+array. The attention model is trained
 in numpy by the tasks that hold the training documents: each trains a copy on its share,
 copies are averaged by a shuffle, and so on for some rounds. From a window of context it
 predicts the class of the next subword, starting from how often classes follow the last
@@ -12,9 +13,10 @@ documents. Windows overlap so that each subword is scored once, with context bef
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.llm.pieces import encoder, slices
 from ledgerspark.llm.text import LOWER, UPPER, whole_text
-from ledgerspark.session import materialize
+from ledgerspark.session import materialize, materialized
 
 
 @dataclass(frozen=True)
@@ -47,8 +49,7 @@ class LmConfig:
 # ------------------------------------------------------------------ the model, in numpy
 
 
-# Numbers of blocks and, within a block, of documents; together they fit 63 bits.
-BLOCKS_PER_TASK, DOCUMENTS_PER_BLOCK = 1 << 18, 1 << 20
+BLOCKS_PER_TASK = 1 << 18
 PAD, START = 0, 1  # units of the place before a text and of its start
 
 
@@ -366,13 +367,68 @@ class Scorer:
 # ------------------------------------------------------------------------- the passes
 
 
-def _make_blocks(tokenizer: str, block_chars: int):
-    """A row per block with its documents, and one per word of it with the documents that hold
-    it. Rows of either kind have nulls in the columns of the other."""
+class Lot:
+    """Numbers of the words of some blocks, and how often training texts of these hold each."""
+
+    def __init__(self, number: int) -> None:
+        self.number, self.chars = number, 0
+        self.of: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.train = np.zeros(0, np.int64)
+
+    def add(self, texts: list[str], training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of all texts, one after the other, and how many each text has."""
+        split = [text.encode().split() for text in texts]  # ASCII white space only
+        lengths = np.fromiter(map(len, split), np.int64, len(split))
+        numbers = np.fromiter(
+            map(self.of.__getitem__, chain.from_iterable(split)), np.int32, int(lengths.sum())
+        )
+        train = np.bincount(numbers[np.repeat(training, lengths)], minlength=len(self.of))
+        train[: len(self.train)] += self.train
+        self.train = train
+        self.chars += sum(map(len, texts))
+        return numbers, lengths
+
+
+def _halves(numbers: np.ndarray) -> bytes:
+    """Lower halves of all numbers, then the upper ones, which are few and compress well."""
+    return np.concatenate([numbers & 0xFFFF, numbers >> 16]).astype("<u2").tobytes()
+
+
+def _from_halves(data: pa.Buffer) -> np.ndarray:
+    low, high = np.frombuffer(data, "<u2").reshape(2, -1).astype(np.int32)
+    return low | high << 16
+
+
+def _make_blocks(tokenizer: str, block_chars: int, lot_words: int = 400_000):
+    """A row per block with its documents, and one per word of each lot of blocks. Rows of
+    either kind have nulls in the columns of the other. A lot is closed at some 8 blocks or
+    at ``lot_words`` words, after whole blocks."""
+
+    names = [
+        "lot", "block", "doc_id", "held_out", "n_tokens", "ids", "sizes", "id", "id_count",
+        "words", "word", "number", "train",
+    ]
+
+    def one(values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer)
-        task, made = TaskContext.get().partitionId(), 0
+        task, made, lot, kinds = TaskContext.get().partitionId(), 0, None, []
+
+        def words_of_lot() -> pa.RecordBatch:
+            n = len(lot.of)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(n, lot.number, np.int64)),
+                    *(pa.nulls(n, kind) for kind in kinds),
+                    pa.array(list(lot.of), pa.binary()),
+                    pa.array(np.arange(n, dtype=np.int32)),
+                    pa.array(lot.train),
+                ],
+                names,
+            )
+
         for batch in batches:
             texts = batch.column("body").to_pylist()
             training = ~np.array(batch.column("held_out").to_pylist(), bool)
@@ -383,29 +439,12 @@ def _make_blocks(tokenizer: str, block_chars: int):
                 sizes = np.concatenate([counts for _, counts in encoded])
                 learnt = np.bincount(ids[np.repeat(training[a:b], sizes)], minlength=1)
                 seen = np.flatnonzero(learnt)
-                split = [text.encode().split() for text in own]  # ASCII white space only
-                lengths = np.array(list(map(len, split)), np.int64)
-                words = dict.fromkeys(chain.from_iterable(split))
-                words = dict(zip(words, range(len(words))))
-                numbers = np.fromiter(
-                    map(words.__getitem__, chain.from_iterable(split)), np.int64, int(lengths.sum())
-                )
-                del split
-                owner = np.repeat(np.arange(len(own)), lengths)
-                pair, times = np.unique(numbers * len(own) + owner, return_counts=True)
-                word, doc = pair // len(own), pair % len(own)
-                bounds = np.searchsorted(word, np.arange(len(words) + 1)).astype(np.int32)
-                train = np.bincount(word, times * training[a:b][doc], len(words)).astype(np.int64)
-
-                def one(values: pa.Array) -> pa.Array:
-                    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-                def by_word(values: np.ndarray) -> pa.Array:
-                    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values.astype(np.int32)))
-
                 number = task * BLOCKS_PER_TASK + made
                 made += 1
-                of_block = [
+                lot = lot or Lot(number)
+                words, lengths = lot.add(own, training[a:b])
+                columns = [
+                    pa.array([number]),
                     one(batch.column("doc_id").slice(a, b - a)),
                     one(batch.column("held_out").slice(a, b - a)),
                     one(pa.array(lengths + 1)),
@@ -413,21 +452,16 @@ def _make_blocks(tokenizer: str, block_chars: int):
                     one(pa.array(sizes)),
                     one(pa.array(seen)),
                     one(pa.array(learnt[seen])),
+                    pa.array([_halves(words)], pa.binary()),
                 ]
-                of_words = [
-                    pa.array(list(words), pa.binary()), pa.array(train), by_word(doc), by_word(times),
-                ]
-                for n, columns in (
-                    (1, [*of_block, *(pa.nulls(1, x.type) for x in of_words)]),
-                    (len(words), [*(pa.nulls(len(words), x.type) for x in of_block), *of_words]),
-                ):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, number, np.int64)), *columns],
-                        [
-                            "block", "doc_id", "held_out", "n_tokens", "ids", "sizes", "id",
-                            "id_count", "word", "train", "docs", "times",
-                        ],
-                    )
+                kinds = [x.type for x in columns]
+                of_words = (pa.nulls(1, kind) for kind in (pa.binary(), pa.int32(), pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array([lot.number]), *columns, *of_words], names)
+                if lot.chars >= 8 * block_chars or len(lot.of) >= lot_words:
+                    yield words_of_lot()
+                    lot = None
+        if lot:
+            yield words_of_lot()
 
     return run
 
@@ -516,29 +550,28 @@ def _score(config: LmConfig, shared):
 
 
 def _base_scores(total: int, distinct: int):
-    """Sums over the words of the task, per block and document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        floor = np.log10(total + 0.1 * (distinct + 1))
-        for batch in batches:
-            count = batch.column("c").to_numpy()
-            lists, times = batch.column("docs"), batch.column("times")
-            doc = lists.flatten().to_numpy().astype(np.int64)
-            n = times.flatten().to_numpy()
-            width = np.diff(lists.offsets.to_numpy())
-            key = np.repeat(batch.column("block").to_numpy(), width) * DOCUMENTS_PER_BLOCK + doc
-            score = n * (np.log10(np.repeat(count, width) + 0.1) - floor)
-            known = n * (np.repeat(count, width) > 0)
-            found, at = np.unique(key, return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(found // DOCUMENTS_PER_BLOCK),
-                    pa.array((found % DOCUMENTS_PER_BLOCK).astype(np.int32)),
-                    pa.array(np.bincount(at, score, len(found))),
-                    pa.array(np.bincount(at, known, len(found)).astype(np.int64)),
-                ],
-                ["block", "at", "base", "known"],
+    """Sums over the words of each document of a lot, from its blocks and its words' totals."""
+
+    def run(blocks: pa.Table, counted: pa.Table) -> pa.Table:
+        c = np.zeros(counted.num_rows)
+        c[counted.column("number").to_numpy()] = counted.column("c").to_numpy()
+        score = np.log10(c + 0.1) - np.log10(total + 0.1 * (distinct + 1))
+        found = []
+        for block, words, n_tokens in zip(*(blocks.column(x) for x in ("block", "words", "n_tokens"))):
+            numbers = _from_halves(words.as_buffer())
+            lengths = n_tokens.values.to_numpy() - 1
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            found.append(
+                pa.table(
+                    {
+                        "block": pa.array(np.full(len(lengths), block.as_py(), np.int64)),
+                        "at": pa.array(np.arange(len(lengths), dtype=np.int32)),
+                        "base": pa.array(np.bincount(owner, score[numbers], len(lengths))),
+                        "known": pa.array(np.bincount(owner, c[numbers] > 0, len(lengths)).astype(np.int64)),
+                    }
+                )
             )
+        return pa.concat_tables(found)
 
     return run
 
@@ -549,12 +582,12 @@ def word_totals(words: DataFrame) -> DataFrame:
 
 
 def with_totals(words: DataFrame, totals: DataFrame) -> DataFrame:
-    """The rows of blocks and words with the word's total.
+    """The rows of words, by now without the words themselves, with the word's total.
 
     ``totals`` must be stored, so that both sides are shuffled for this join and AQE can split
-    a word that most blocks hold.
+    a word that most lots hold.
     """
-    return words.join(totals, "word").select("block", "docs", "times", "c")
+    return words.join(totals, "word").drop("word", "train")
 
 
 def lm_scores(
@@ -595,20 +628,20 @@ def lm_scores(
     stored = materialize(
         rows.mapInArrow(
             _make_blocks(tokenizer, block_chars),
-            f"block bigint, doc_id array<{kind}>, held_out array<boolean>, n_tokens array<bigint>, "
-            "ids binary, sizes array<bigint>, id array<bigint>, id_count array<bigint>, "
-            "word binary, train bigint, docs array<int>, times array<int>",
+            f"lot bigint, block bigint, doc_id array<{kind}>, held_out array<boolean>, n_tokens array<bigint>, "
+            "ids binary, sizes array<bigint>, id array<bigint>, id_count array<bigint>, words binary, "
+            "word binary, number int, train bigint",
         ),
         "lm-blocks",
     )
     blocks = stored.where("ids IS NOT NULL")
-    # Each word has one row per block.
-    words = stored.where("word IS NOT NULL")
-    totals = materialize(word_totals(words), "lm-totals")
-    counted = materialize(with_totals(words, totals), "lm-words")
-    word_total, word_types = totals.where("c > 0").agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))
-    ).first()
+    # Each word has one row per lot.
+    words = stored.where("word IS NOT NULL").select("lot", "number", "word", "train")
+    with materialized(word_totals(words), "lm-totals") as totals:
+        word_total, word_types = totals.where("c > 0").agg(
+            F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))
+        ).first()
+        counted = materialize(with_totals(words, totals), "lm-words")
     counts = np.zeros(vocabulary + 1, np.int64)  # and the end
     by_id = (
         blocks.select(F.explode(F.arrays_zip("id", "id_count")).alias("c"))
@@ -648,10 +681,10 @@ def lm_scores(
         f"block bigint, at int, doc_id {kind}, held_out boolean, n_tokens bigint, score double",
     )
     base = (
-        counted.select("block", "docs", "times", "c")
-        .mapInArrow(_base_scores(total, distinct), "block bigint, at int, base double, known bigint")
-        .groupBy("block", "at")
-        .agg(F.sum("base").alias("base"), F.sum("known").alias("known"))
+        blocks.select(F.col("lot").alias("of"), "block", "words", "n_tokens")
+        .groupBy("of")
+        .cogroup(counted.groupBy("lot"))
+        .applyInArrow(_base_scores(total, distinct), "block bigint, at int, base double, known bigint")
     )
     end_score = float(np.log10(ends + 0.1) - np.log10(total + 0.1 * (distinct + 1)))
     return scored.join(base, ["block", "at"], "left").select(

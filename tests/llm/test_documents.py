@@ -6,10 +6,13 @@ import math
 import random
 import re
 import time
+import types
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -394,6 +397,39 @@ def test_scores_of_odd_documents(docs, odd_docs):
     assert lm_score.lm_scores(docs([]), BYTES, 50_257, config=lm_score.LmConfig(units=256, classes=8)).count() == 0
 
 
+def test_a_word_has_one_row_in_a_lot_of_blocks(monkeypatch):
+    """However many blocks hold it; the blocks' numbers and the lots' counts give the base scores."""
+    here = types.SimpleNamespace(partitionId=lambda: 3)
+    monkeypatch.setattr(lm_score, "TaskContext", types.SimpleNamespace(get=lambda: here))
+    texts = ["b a a", "", "a \u00e9 c", "a b", "d", "a", "  ", "c c a"] * 5
+    held = [k % 3 == 0 for k in range(len(texts))]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "held_out": held, "body": texts})
+    rows = pa.Table.from_batches(lm_score._make_blocks(BYTES, 6)(iter([batch])))
+    blocks, words = rows.filter(pc.is_valid(rows["ids"])), rows.filter(pc.is_valid(rows["word"]))
+    keys = list(zip(words["lot"].to_pylist(), words["word"].to_pylist()))
+    lots = sorted(set(blocks["lot"].to_pylist()))
+    assert 1 < len(lots) < len(blocks) and len(set(keys)) == len(keys)
+    counts = collections.Counter(w for t, h in zip(texts, held) if not h for w in t.encode().split())
+    learnt = collections.Counter()
+    for (_, word), n in zip(keys, words["train"].to_pylist()):
+        learnt[word] += n
+    assert +learnt == counts
+    total, scores = sum(counts.values()), []
+    for lot in lots:
+        of = words.filter(pc.equal(words["lot"], lot))
+        counted = pa.table({"number": of["number"], "c": [counts[w] for w in of["word"].to_pylist()]}).take(
+            np.random.default_rng(lot).permutation(len(of))
+        )
+        own = blocks.filter(pc.equal(blocks["lot"], lot)).select(["block", "words", "n_tokens"])
+        scores += lm_score._base_scores(total, len(counts))(own, counted).to_pylist()
+    scores.sort(key=lambda r: (r["block"], r["at"]))
+    floor = math.log10(total + 0.1 * (len(counts) + 1))
+    for text, found in zip(texts, scores, strict=True):
+        split = text.encode().split()
+        assert found["known"] == sum(counts[w] > 0 for w in split)
+        assert abs(found["base"] - sum(math.log10(counts[w] + 0.1) - floor for w in split)) < 1e-9
+
+
 def test_a_word_of_every_block_is_split(spark, tmp_path):
     """A third of the posting rows are of one word: no window gathers them, AQE cuts them."""
     words = spark.range(60_000).selectExpr(
