@@ -128,3 +128,14 @@ def test_rounding_is_half_away_from_zero(spark):
     assert values(spark, rows, money.round_total(F.col("v")), "v double") == [
         Decimal("2.68"), Decimal("-0.13"), Decimal("0.01"), None,
     ]
+
+
+def test_packed_keys_are_short_and_come_back_as_they_were(spark):
+    digest = "0123456789abcdef" * 2
+    texts = [None, "", "a", digest, digest.upper(), digest + "\n", digest[:30], digest[:16], digest[:15], "ä" * 8, "\0" * 17]
+    rows = spark.createDataFrame([(t,) for t in texts], "key string").select("key", keys.pack(F.col("key")).alias("packed"))
+    found = rows.select("key", "packed", keys.unpack(F.col("packed")).alias("back")).collect()
+    assert [r["back"] for r in found] == texts
+    packed = [None if r["packed"] is None else bytes(r["packed"]) for r in found]
+    assert len(set(packed)) == len(texts)
+    assert [t for t, p in zip(texts, packed) if p is not None and len(p) == 16] == [digest]

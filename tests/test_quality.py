@@ -7,8 +7,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ledgerspark import fs
 from ledgerspark.functions.calendar import add_calendar_features
 from ledgerspark.operators import marts, quality
+from ledgerspark.session import scratch_path
 
 DDL = (
     "transaction_id string, created_at string, amount double, currency string, "
@@ -192,6 +194,15 @@ def test_hot_keys_are_split_at_run_time(splitting, hot_id, write_counts):
     assert plan.count("SortMergeJoin(skew=true)") == 1, plan
 
 
+def test_counts_hold_no_shuffle_files_while_rows_are_joined(splitting):
+    """The counts are stored and their steps removed; rows and repeated keys are shuffled once."""
+    before = set(fs.glob(splitting, scratch_path(splitting, "key-pairs").rsplit("-", 1)[0] + "-*"))
+    plan = final_plan(quality.classify(skewed(splitting, "hot", "p")))
+    after = set(fs.glob(splitting, scratch_path(splitting, "key-pairs").rsplit("-", 1)[0] + "-*"))
+    assert after <= before
+    assert plan.count("Exchange hashpartitioning") == 2, plan
+
+
 def test_accepted_rows_never_read_the_rows_without_id(spark):
     accepted = quality.accepted(quality.classify(skewed(spark, None)))
     plan = accepted._jdf.queryExecution().optimizedPlan().toString()
