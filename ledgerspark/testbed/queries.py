@@ -137,7 +137,8 @@ def dim_date(spark, sf_dir):
 
 @query
 def fct_transaction(spark, sf_dir):
-    rows = accepted(spark, sf_dir)
+    # Both read them: stored, they are classified once.
+    rows = materialize(accepted(spark, sf_dir), "accepted")
     return comparable(marts.fct_transaction(rows, marts.dim_partner(rows)))
 
 
