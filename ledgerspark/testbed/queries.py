@@ -558,10 +558,26 @@ def _json_texts(df: DataFrame) -> DataFrame:
 
 
 def _write_lines(df: DataFrame, folder: str) -> list[str]:
-    """Write rows as JSON lines that begin with a comma; the names of the files."""
-    lines = _json_texts(df).select(F.concat(F.lit(","), F.col("value")).alias("value"))
-    lines.write.text(folder)
-    return fs.glob(df.sparkSession, f"{folder}/part-*")
+    """Write rows as JSON lines that begin with a comma, compressed; the names of the files.
+
+    A task that is tried again writes the same name.
+    """
+    prefix = f"{fs.qualified(df.sparkSession, folder)}/part"
+
+    def write(batches):
+        name = f"{prefix}-{TaskContext.get().partitionId():05d}.lines"
+        with open_new_file(name) as target, pa.CompressedOutputStream(target, "zstd") as lines:
+            for batch in batches:
+                if len(batch):
+                    lines.write(f",{_joined(batch.column(0), '\n,')}\n".encode())
+        yield pa.RecordBatch.from_arrays([pa.array([name])], ["name"])
+
+    return sorted(row["name"] for row in _json_texts(df).mapInArrow(write, "name string").collect())
+
+
+def _joined(texts: pa.Array, separator: str) -> str:
+    row = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts)
+    return pc.binary_join(row, pa.scalar(separator, texts.type))[0].as_py()
 
 
 def _join_lines(paths: list[str], name: str) -> None:
@@ -569,8 +585,8 @@ def _join_lines(paths: list[str], name: str) -> None:
     opening = b"["
     with open_new_file(name) as target:
         for path in paths:
-            with open_file(path) as part:
-                while chunk := part.read(8 << 20):
+            with open_file(path) as part, pa.CompressedInputStream(part, "zstd") as lines:
+                while chunk := lines.read(8 << 20):
                     # The first line has the bracket where others have a comma.
                     target.write(opening + chunk[1:] if opening else chunk)
                     opening = b""
@@ -578,6 +594,12 @@ def _join_lines(paths: list[str], name: str) -> None:
             target.write(b"]\n")
 
 
+def _copy_file(path: str, name: str) -> None:
+    with open_file(path) as source, open_new_file(name) as target:
+        while chunk := source.read(8 << 20):
+            target.write(chunk)
+
+
 def write_landing(df: DataFrame, directory: str, rows_per_file: int = 0) -> None:
     """Write rows as JSON array files: one per partition, or more of at most ``rows_per_file``.
 
@@ -596,9 +618,7 @@ def write_landing(df: DataFrame, directory: str, rows_per_file: int = 0) -> None
                     target, room = open_new_file(f"{prefix}-{task:05d}-{made:05d}-c000.txt"), rows_per_file
                     made, opening = made + 1, "["
                 piece = texts[:room] if rows_per_file else texts
-                row = pa.ListArray.from_arrays(pa.array([0, len(piece)], pa.int32()), piece)
-                text = pc.binary_join(row, pa.scalar("\n,", piece.type))[0].as_py()
-                target.write((opening + text).encode())
+                target.write((opening + _joined(piece, "\n,")).encode())
                 texts, room = texts[len(piece):], room - len(piece)
                 if rows_per_file and not room:
                     target.write(b"\n]\n")
@@ -617,20 +637,26 @@ def write_landing(df: DataFrame, directory: str, rows_per_file: int = 0) -> None
 def write_landing_file(df: DataFrame, directory: str, copies: int = 1) -> None:
     """Write rows as one JSON array file, or several equal ones.
 
-    All tasks write its lines; one task per file joins their bytes, piece by piece.
+    All tasks write its lines, compressed; one task joins their bytes, piece by piece. Copies
+    are made of that file once the lines are gone.
     """
     spark = df.sparkSession
     names = [f"{fs.qualified(spark, directory)}/part-{uuid.uuid4().hex}.txt" for _ in range(copies)]
-    with scratch_folder(spark, "landing-lines") as folder:
-        lines = _write_lines(df, folder)
 
-        def join(batches):
+    def in_tasks(work: Callable[[int], None], count: int) -> None:
+        def run(batches):
             for batch in batches:
                 for k in batch.column(0).to_pylist():
-                    _join_lines(lines, names[k])
+                    work(k)
                 yield batch
 
-        spark.range(0, copies, 1, copies).mapInArrow(join, "id bigint").collect()
+        spark.range(0, count, 1, count).mapInArrow(run, "id bigint").collect()
+
+    with scratch_folder(spark, "landing-lines") as folder:
+        lines = _write_lines(df, folder)
+        in_tasks(lambda _: _join_lines(lines, names[0]), 1)
+    if copies > 1:
+        in_tasks(lambda k: _copy_file(names[0], names[k + 1]), copies - 1)
 
 
 # Landing files of about 8 MB, one range each.

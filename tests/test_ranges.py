@@ -12,6 +12,7 @@ from ledgerspark.operators import manifest
 from ledgerspark.schema import evolved
 from ledgerspark.sources import landing, ranges
 from ledgerspark.testbed import queries
+from ledgerspark.testbed import queries
 from ledgerspark.testbed.queries import write_landing, write_landing_file
 
 
@@ -172,6 +173,19 @@ def test_one_landing_file_written_by_many_tasks(spark, tmp_path):
     assert sorted(r["id"] for r in found) == list(range(5000)) and found[0].keys() == {"id", "text"}
 
 
+def test_lines_of_a_landing_file_take_a_part_of_its_size(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("id", "'an amount' AS text").repartition(3).where("id % 7 > 0 OR id < 9")
+    lines = queries._write_lines(rows.unionByName(rows.limit(0)), f"{tmp_path}/lines")
+    write_landing_file(rows, f"{tmp_path}/in")
+    (one,) = (tmp_path / "in").glob("part-*.txt")
+    assert len(json.loads(one.read_text())) == rows.count()
+    assert 3 * sum(path.stat().st_size for path in (tmp_path / "lines").glob("part-*")) < one.stat().st_size
+    queries._join_lines(lines, f"{tmp_path}/joined")
+    assert sorted(json.loads((tmp_path / "joined").read_text()), key=str) == sorted(json.loads(one.read_text()), key=str)
+    write_landing_file(rows.limit(0), f"{tmp_path}/none", copies=2)
+    assert [path.read_bytes() for path in (tmp_path / "none").glob("part-*.txt")] == [b"", b""]
+
+
 def test_landing_files_hold_what_was_written(spark, tmp_path):
     rows = spark.range(30_000).selectExpr("id", "'a,\\n[\"' || id AS text").repartition(3)
     write_landing(rows, f"{tmp_path}/in")
