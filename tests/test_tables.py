@@ -2,11 +2,12 @@
 
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerspark import fs
+from ledgerspark import fs, session
 from ledgerspark.operators.merge import upsert_rows
 from ledgerspark.sinks import months, tables
 
@@ -351,3 +352,80 @@ def test_a_file_is_created_once(spark, tmp_path):
     assert fs.create_text(spark, path, "é") and not fs.create_text(spark, path, "other")
     assert fs.read_text(spark, path) == "é" and os.listdir(tmp_path / "v=1")[0].lstrip(".").startswith("mark")
     assert [x for x in os.listdir(tmp_path / "v=1") if not x.endswith(".crc")] == ["mark"]
+
+
+def test_an_upsert_adds_to_months_without_its_keys(spark, tmp_path):
+    """Months that hold none of the keys keep their files; the others are written again."""
+    root = f"{tmp_path}/t"
+    columns = "id int, value string, year int, month int"
+
+    def frame(*rows):
+        return spark.createDataFrame(list(rows), columns)
+
+    tables.upsert_table(frame((1, "a", 2024, 1), (2, "b", 2024, 2)), root, ["id"], by_month=True)
+    first = tables.month_writes(spark, root)
+    tables.upsert_table(frame((3, "c", 2024, 1), (2, "d", 2024, 3), (None, "e", None, None)), root, ["id"], by_month=True)
+    writes = tables.month_writes(spark, root)
+    assert writes[202401][:1] == first[202401] and len(writes[202401]) == 2
+    assert 202402 not in writes
+    found = sorted((r["id"] or 0, r["value"], r["month"]) for r in tables.read_table(spark, root).collect())
+    assert found == [(0, "e", None), (1, "a", 1), (2, "d", 3), (3, "c", 1)]
+
+
+def test_an_upsert_that_only_adds_sees_keys_added_meanwhile(spark, tmp_path, monkeypatch):
+    root = f"{tmp_path}/t"
+    frame = spark.createDataFrame([(1, "a", 2024, 1)], "id int, value string, year int, month int")
+    tables.upsert_table(frame, root, ["id"], by_month=True)
+    mine = frame.selectExpr("2 AS id", "'mine' AS value", "year", "month")
+    other = frame.selectExpr("2 AS id", "'other' AS value", "year", "month")
+    write, waiting = tables._write_months, [True]
+
+    def late(*args):
+        made = write(*args)
+        if waiting and waiting.pop():
+            tables.append_table(other, root, by_month=True)
+        return made
+
+    monkeypatch.setattr(tables, "_write_months", late)
+    tables.upsert_table(mine, root, ["id"], by_month=True)
+    assert sorted((r["id"], r["value"]) for r in tables.read_table(spark, root).collect()) == [(1, "a"), (2, "mine")]
+
+
+def test_an_upsert_does_not_read_months_that_it_replaces_whole(spark, tmp_path, monkeypatch):
+    root = f"{tmp_path}/t"
+    old = frame(spark, [(1, "a", 2024, 1), (2, "b", 2024, 1), (3, "c", 2024, 2), (4, "d", 2024, 2)], MONTH_DDL)
+    tables.upsert_table(old, root, ["id"], by_month=True)
+    targets, merge = [], tables.upsert_rows
+
+    def spy(target, source, keys):
+        targets.extend(sorted(r["id"] for r in target.collect()))
+        return merge(target, source, keys)
+
+    monkeypatch.setattr(tables, "upsert_rows", spy)
+    new = frame(spark, [(1, "A", 2024, 1), (2, "B", 2024, 3), (3, "C", 2024, 2)], MONTH_DDL)
+    tables.upsert_table(new, root, ["id"], by_month=True)
+    assert targets == [3, 4], "of January no row stays"
+    assert content(spark, root) == [(1, "A"), (2, "B"), (3, "C"), (4, "d")]
+    tables.upsert_table(new.where("id < 3").drop("v"), root, ["id"], by_month=True)
+    assert content(spark, root) == [(1, "A"), (2, "B"), (3, "C"), (4, "d")], "old values of what the source lacks"
+
+
+def shuffles_on_disk(spark):
+    """Numbers of the shuffles that have files."""
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = [found.apply(k).name() for k in range(found.size())]
+    return {int(name.split("_")[1]) for name in names if name.startswith("shuffle_")}
+
+
+def test_shuffle_files_of_table_writes_are_removed(spark, tmp_path):
+    before, setting = shuffles_on_disk(spark), spark.conf.get(session.SHUFFLE_CLEANUP, "false")
+    rows = spark.range(40).selectExpr("id", "2024 AS year", "int(id % 3 + 1) AS month").repartition(3, "id")
+
+    def write(k):
+        tables.write_table(rows, f"{tmp_path}/{k}", "append", by_month=k % 2 == 0)
+        months.append_months(rows, f"{tmp_path}/bronze-{k}")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(4)))
+    assert shuffles_on_disk(spark) <= before
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, "false") == setting
